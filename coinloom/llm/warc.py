@@ -44,8 +44,10 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     kind = F.when(other, F.lit("revisit")).otherwise(F.lit("response"))
     records = rows.select("page_id", "url", "digest", "size").join(first, "digest")
     records.select("page_id", "digest", header(kind, F.col("page_id"), F.col("url"), F.col("digest"), F.col("size"), F.col("first")).alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
-    # only the row of a payload's first page brings its bytes: copies are dropped before the shuffle where that page is known
-    owners = rows.select("page_id", "digest", "payload").join(first.withColumnRenamed("digest", "_digest"), F.expr("digest = _digest and page_id <=> first"), "left_semi")
+    # Only the row of a payload's first page brings its bytes on; dealt by digest alone, so that taking one of repeated
+    # rows needs no further shuffle.
+    first = first.select(F.col("digest").alias("_digest"), F.col("first"))
+    owners = rows.select("page_id", "digest", "payload").join(first, (F.col("digest") == F.col("_digest")) & (F.coalesce(F.col("page_id") - F.col("first"), F.lit(0)) == 0), "left_semi")
     owners.select("digest", "payload").dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
