@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 from .common import Words, bounded_batches, materialize, mix64, portions, utf8
 from .components import connected_components
 
-BANDS, ROWS = 25, 4
+BANDS, ROWS = 30, 6
 BASE, RATE, TOP = 1.08, 20.0, 255  # registers lie on a scale of powers of BASE, from 0 to TOP
+#: How far below the threshold an estimate may lie: over five standard errors of this many registers.
+SLACK = 0.16
+#: Rows of a bucket that one task compares with as many others.
+BLOCK = 256
+#: Ids that are broadcast, at most; beyond, the join is by sorting.
+FEW_IDS = 200_000
 _SEEDS = mix64(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 
 
@@ -70,6 +76,12 @@ def likely_jaccard(u: np.ndarray, v: np.ndarray, n_u: np.ndarray, n_v: np.ndarra
     return found
 
 
+def bytes_of(bands) -> np.ndarray:
+    """The registers, rows x (BANDS * ROWS), from a column of bands."""
+    wide = bands.flatten().to_numpy(zero_copy_only=False).reshape(len(bands), BANDS, 1)
+    return (wide >> (8 * np.arange(ROWS)) & 255).astype(np.uint8).reshape(len(bands), -1)
+
+
 def sketched(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(doc_id, node, n_shingles, bands): node is a 128-bit digest of the word sequence, null where there are no words;
     bands are the sketch's registers, ROWS to a long under the band's number."""
@@ -103,7 +115,7 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
                         keep.append(asked[r]), out.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keep, pa.string()), pa.array(out, pa.binary())], ["node", "shingles"])
 
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "doc_id").select("node", "text")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "doc_id").select("node", "text")
     return materialize(texts.mapInArrow(sets, "node string, shingles binary").dropDuplicates(["node"]), "sets")
 
 
@@ -124,14 +136,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(compare, "u string, v string")
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, percent: int, slack: float = 0.3) -> DataFrame:
-    """The pairs whose sizes allow the similarity and whose sketches make it likely; slack is about eight standard errors."""
+def likely(pairs: DataFrame, nodes: DataFrame, percent: int, slack: float = SLACK) -> DataFrame:
+    """The pairs whose sizes allow the similarity and whose sketches make it likely; SLACK is over five standard errors."""
 
     def estimate(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            u, v = (np.array(batch.column(c).to_pylist(), np.int64).astype("<u4").view(np.uint8) for c in (2, 3))
+            u, v = (bytes_of(batch.column(c)) for c in (2, 3))
             n_u, n_v = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (4, 5))
             yield batch.select([0, 1]).filter(pa.array(likely_jaccard(u, v, n_u, n_v) >= percent / 100 - slack))
 
@@ -145,8 +157,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Links join texts whose sets of distinct k-word shingles have 100 * intersection >= percent * union. Equal word
     sequences are one node, so groups of copies cost one sketch row in the joins. In a bucket of equal bands every
-    node meets the node of the smallest doc_id; after components of those links, only nodes of different components
-    that still share a bucket meet, so no link between components is left out and no group is expanded into all pairs.
+    node meets the node of the smallest doc_id; after components of those links, buckets that still hold several are
+    settled in blocks of rows, so no link between components is left out and no group is expanded into all pairs.
 
     Null and empty texts, and those without words: n_shingles 0, linked with nothing. Rows with a null id get a null
     component_id and kept true, and link nothing. Repeated rows get equal results. An empty table gives an empty one.
@@ -163,15 +175,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = full_links(docs, pairs, nodes, id_col, text_col, k, percent)
     found = connected_components(links)
-    # What shares a bucket and is not yet in one component meets now; for groups of copies that is next to nothing.
+    # In buckets that hold several components, blocks of rows meet in tasks, and what they link comes out.
     placed = shared.select("band", "node").join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     placed = materialize(placed, "placed")
-    mixed = materialize(placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("band"), "mixed")
+    mixed = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where("a <> b")
+    mixed = materialize(mixed.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
     rest = materialize(placed.join(mixed, "band"), "rest")
-    cross = rest.alias("x").join(rest.alias("y"), F.expr("x.band = y.band and x.root < y.root")).select(F.expr("least(x.node, y.node)").alias("u"), F.expr("greatest(x.node, y.node)").alias("v")).distinct()
-    done = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    cross = materialize(likely(cross.join(done, ["u", "v"], "left_anti"), nodes, percent), "likely")
-    more = full_links(docs, cross, nodes, id_col, text_col, k, percent)
+    more = materialize(settled(docs, rest, nodes, id_col, text_col, k, percent), "settled")
     if not more.isEmpty():
         found = connected_components(links.union(more))
 
@@ -183,6 +193,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def settled(docs: DataFrame, rest: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """Links (u, v) that connect what is still apart: rest (band, node, root, blocks) -> a forest over each pair of blocks.
+
+    Within a task the rows of a bucket meet by their registers, each pair in the first bucket that it shares, and full sets
+    decide for pairs that are not connected yet; no pair leaves a task but as a link.
+    """
+
+    def settle(table: pa.Table) -> pa.Table:
+        order = np.argsort(np.array(table.column("node").to_pylist()), kind="stable")
+        table = table.take(pa.array(order)).combine_chunks()
+        band, a, b = (table.column(c)[0].as_py() for c in ("band", "a", "b"))
+        column = table.column("bands").combine_chunks()
+        regs, bands = bytes_of(column), column.flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+        own, size = table.column("own").to_numpy(), table.column("n_shingles").to_numpy().astype(float)
+        names, sets = table.column("node").to_pylist(), [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        at = int(band) >> 8 * ROWS
+        index: dict[str, int] = {}
+        group = np.array([index.setdefault(r, len(index)) for r in table.column("root").to_pylist()])
+        u, v, want = [], [], percent / 100
+        above = lambda x: -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
+        for i in range(len(names) - 1):
+            j = np.arange(i + 1, len(names))
+            j = j[(group[j] != group[i]) & (np.minimum(size[j], size[i]) >= want * np.maximum(size[j], size[i]) - 1e-9)]
+            if a != b:
+                j = j[own[j] != own[i]]
+            j = j[~(bands[j, :at] == bands[i, :at]).any(1)] if len(j) else j
+            if not len(j):
+                continue
+            x, y = size[i] / (size[i] + size[j]), size[j] / (size[i] + size[j])
+            least = 1 - above(x - y * want) - above(y - x * want) - SLACK
+            same = (regs[j] == regs[i]).mean(1)
+            j, same = j[same >= least], same[same >= least]
+            for o in j[np.argsort(-same, kind="stable")].tolist():
+                if group[o] != group[i]:
+                    both = len(np.intersect1d(sets[i], sets[o], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[i]) + len(sets[o]) - both):
+                        u.append(names[i]), v.append(names[o])
+                        group[group == group[o]] = group[i]
+        return pa.table({"u": pa.array(u, pa.string()), "v": pa.array(v, pa.string())})
+
+    wanted = materialize(nodes.select("node", "doc_id").join(rest.select("node").distinct(), "node"), "wanted")
+    sets = shingles_of(docs, wanted, id_col, text_col, k)
+    full = materialize(sets.join(nodes.select("node", "bands", "n_shingles"), "node"), "full")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = rest.withColumn("own", own).select("*", other).select("band", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "root")
+    return dealt.join(full, "node").groupBy("band", "a", "b").applyInArrow(settle, "u string, v string")
+
+
 def full_links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     wanted = materialize(nodes.select("node", "doc_id").join(wanted, "node"), "wanted")
