@@ -1,2 +1,523 @@
-QUERIES = {}
-ORACLE = {}
+"""Registered queries over the driver's tables, and DuckDB SQL that tells the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import functions as fn
+from .. import streaming
+from ..constants import BANDS, PARAMETERS
+from ..operators import balances as bal
+from ..operators import bank, calendar, diffs, exchanges, metrics, network, prices
+from ..operators.helpers import height_spine
+from ..sources import added, upserted
+from . import ledger as led
+
+QUERIES, ORACLE = {}, {}
+T = 852_076_800_000  # a time within the orders' range: 1997-01-01
+HEIGHT = 700
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+_SUP = "(l_suppkey + 1000000) * 10 + CASE WHEN l_suppkey % 10 = 9 THEN 2 ELSE 3 END"
+LINES = f"lines AS (SELECT CAST(datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1 AS BIGINT) AS height, o_orderkey AS tx_idx, o_custkey * 10 + 1 AS customer, {_SUP} AS supplier, l_partkey AS part, CAST(round(l_extendedprice * 100) AS BIGINT) AS nano, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+LEGS = f"{LINES}, legs AS (SELECT height, tx_idx, customer AS address_id, -nano AS nano FROM lines UNION ALL SELECT height, tx_idx, supplier, nano FROM lines UNION ALL SELECT 0, 0, c_custkey * 10 + 1, 1000000000 FROM customer)"
+DIFFS = f"{LEGS}, diffs AS (SELECT height, tx_idx, address_id, CAST(sum(nano) AS BIGINT) AS nano FROM legs GROUP BY ALL HAVING sum(nano) <> 0)"
+BAL = f"{DIFFS}, balances AS (SELECT address_id, CAST(sum(nano) AS BIGINT) AS nano FROM diffs GROUP BY 1 HAVING sum(nano) > 0)"
+TOK = f"{LINES}, tlegs AS (SELECT height, tx_idx, supplier AS address_id, part AS asset_id, -quantity AS value FROM lines UNION ALL SELECT height, tx_idx, customer, part, quantity FROM lines UNION ALL SELECT 0, 0, supplier, part, CAST(sum(quantity) AS BIGINT) FROM lines GROUP BY supplier, part), tdiffs AS (SELECT height, tx_idx, address_id, asset_id, CAST(sum(value) AS BIGINT) AS value FROM tlegs GROUP BY ALL HAVING sum(value) <> 0)"
+HEAD = "heads AS (SELECT DISTINCT CAST(datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1 AS BIGINT) AS height FROM orders UNION SELECT 0), headers AS (SELECT height, 788918400000 + (height - 1) * 86400000 AS timestamp FROM heads)"
+MAIN = "main AS (SELECT (s_suppkey + 1000000) * 10 + CASE WHEN s_suppkey % 10 = 9 THEN 2 ELSE 3 END AS address_id, CAST(s_suppkey % 50 AS INT) AS cex_id FROM supplier WHERE s_suppkey % 50 < 3)"
+EV = "ev AS (SELECT event_id AS height, epoch_us(ts) // 1000 AS timestamp, event_type, CAST(round(value * 100) AS BIGINT) AS amount, value, user_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)"
+SPINE = "spine AS (SELECT unnest(range((SELECT min(height) FROM diffs), (SELECT max(height) FROM diffs) + 1)) AS height)"
+
+
+def erg(s, d):
+    return diffs.erg_diffs(*led.legs(s, d))
+
+
+def tokens(s, d):
+    return diffs.token_diffs(*led.token_legs(s, d))
+
+
+@query(f"WITH {BAL} SELECT address_id, nano FROM balances WHERE address_id NOT IN (13, 5965233, 5993503) ORDER BY nano DESC, address_id LIMIT 100")
+def rich_list(s, d):
+    return metrics.rich_list(bal.erg_balances(erg(s, d)), 100)
+
+
+@query(f"WITH {DIFFS} SELECT * FROM diffs")
+def erg_diffs(s, d):
+    return erg(s, d)
+
+
+@query(f"WITH {TOK} SELECT * FROM tdiffs")
+def token_diffs(s, d):
+    return tokens(s, d)
+
+
+@query(f"WITH {BAL} SELECT * FROM balances")
+def erg_balances(s, d):
+    return bal.erg_balances(erg(s, d))
+
+
+@query(f"WITH {DIFFS} SELECT address_id, CAST(sum(nano) AS BIGINT) AS nano FROM diffs WHERE height <= {HEIGHT} GROUP BY 1 HAVING sum(nano) > 0")
+def erg_balances_at_height(s, d):
+    return bal.erg_balances(erg(s, d), HEIGHT)
+
+
+@query(f"WITH {TOK} SELECT address_id, asset_id, CAST(sum(value) AS BIGINT) AS value FROM tdiffs GROUP BY 1, 2 HAVING sum(value) <> 0")
+def token_balances(s, d):
+    return bal.token_balances(tokens(s, d))
+
+
+@query(f"WITH {TOK} SELECT address_id, asset_id, CAST(sum(value) AS BIGINT) AS value FROM tdiffs WHERE height <= {HEIGHT} GROUP BY 1, 2 HAVING sum(value) <> 0")
+def token_balances_at_height(s, d):
+    return bal.token_balances(tokens(s, d), HEIGHT)
+
+
+@query(f"WITH {DIFFS}, {HEAD} SELECT address_id, CAST(sum(nano) AS BIGINT) AS nano FROM diffs JOIN headers USING (height) WHERE timestamp <= {T} GROUP BY 1")
+def balances_at_timestamp(s, d):
+    return bal.balances_at_timestamp(erg(s, d), led.headers(s, d), T)
+
+
+@query(f"WITH {DIFFS}, {MAIN} SELECT height, CAST(sum(nano) AS BIGINT) AS nano FROM diffs WHERE address_id IN (SELECT address_id FROM main) AND height <= {HEIGHT} GROUP BY 1")
+def aggregate_diff_series(s, d):
+    return bal.aggregate_diff_series(erg(s, d), led.main_addresses(s, d), HEIGHT)
+
+
+@query(f"WITH {LEGS} SELECT height, count(DISTINCT address_id) AS n_addresses FROM legs GROUP BY 1")
+def transacting_addresses(s, d):
+    return diffs.transacting_addresses(*led.legs(s, d))
+
+
+@query(f"WITH {BAL} SELECT count(*) AS n FROM balances WHERE address_id % 10 = 1 AND nano >= 500000000 AND nano < 900000000")
+def p2pk_count(s, d):
+    return metrics.address_count(bal.erg_balances(erg(s, d)), "p2pk", at_least=500_000_000, below=900_000_000)
+
+
+@query(f"WITH {BAL} SELECT count(*) AS n FROM balances WHERE address_id % 10 <> 1 AND nano >= 1000000")
+def contract_count(s, d):
+    return metrics.address_count(bal.erg_balances(erg(s, d)), "contracts", at_least=1_000_000)
+
+
+@query(f"WITH {BAL} SELECT CAST(coalesce(sum(nano), 0) AS BIGINT) AS supply FROM balances WHERE address_id % 10 <> 1 AND address_id NOT IN (13, 33)")
+def contract_supply(s, d):
+    return metrics.contract_supply(bal.erg_balances(erg(s, d)))
+
+
+@query(f"WITH {TOK}, f AS (SELECT asset_id, min((height, tx_idx)) AS a FROM tdiffs GROUP BY 1), e AS (SELECT t.asset_id, CAST(sum(value) AS BIGINT) AS emitted FROM tdiffs t JOIN f ON t.asset_id = f.asset_id AND (height, tx_idx) = a GROUP BY 1) SELECT asset_id, emitted, CAST(sum(CASE WHEN address_id % 10 = 1 THEN value ELSE 0 END) AS BIGINT) AS in_p2pks, CAST(sum(CASE WHEN address_id % 10 <> 1 THEN value ELSE 0 END) AS BIGINT) AS in_contracts, CAST(emitted - sum(value) AS BIGINT) AS burned FROM tdiffs JOIN e USING (asset_id) GROUP BY asset_id, emitted")
+def token_supply_breakdown(s, d):
+    return metrics.token_supply(tokens(s, d))
+
+
+@query(f"WITH {HEAD} SELECT max_by(height, timestamp) AS height, (SELECT max(timestamp) FROM headers WHERE height = {HEIGHT}) AS timestamp, (SELECT max(height) FROM headers) AS sync_height FROM headers WHERE timestamp <= {T}")
+def time_lookup(s, d):
+    h = led.headers(s, d)
+    return calendar.timestamp_to_height(h, T).crossJoin(calendar.height_to_timestamp(h, HEIGHT)).crossJoin(calendar.sync_height(h).withColumnRenamed("height", "sync_height"))  # one row each
+
+
+@query(f"WITH {DIFFS} SELECT address_id, min(height) AS height FROM diffs GROUP BY 1")
+def first_tx_height(s, d):
+    return bal.first_tx_height(erg(s, d))
+
+
+_BANDS_SQL = ", ".join(f"count(*) FILTER (nano >= {n}) AS {k}" for k, n in BANDS.items())
+
+
+@query(f"WITH {BAL} SELECT CAST(address_id % 10 AS INT) AS type, {_BANDS_SQL} FROM balances GROUP BY 1")
+def holder_buckets(s, d):
+    return metrics.holder_buckets(bal.erg_balances(erg(s, d)))
+
+
+@query(f"WITH {DIFFS} SELECT *, CAST(sum(nano) OVER (PARTITION BY address_id ORDER BY height) AS BIGINT) AS balance FROM diffs")
+def balance_history(s, d):
+    return bal.balance_history(erg(s, d))
+
+
+@query(f"WITH {TOK} SELECT *, CAST(sum(value) OVER (PARTITION BY address_id, asset_id ORDER BY height) AS BIGINT) AS balance FROM tdiffs")
+def token_balance_history(s, d):
+    return bal.balance_history(tokens(s, d), "value", ("address_id", "asset_id"))
+
+
+@query(f"WITH {DIFFS}, h AS (SELECT height, tx_idx, nano, CAST(sum(nano) OVER (ORDER BY height) AS BIGINT) AS balance FROM diffs WHERE address_id = 10000033) SELECT * FROM h ORDER BY height DESC, tx_idx DESC LIMIT 20 OFFSET 5")
+def history_page(s, d):
+    own = bal.balance_history(erg(s, d).where("address_id = 10000033")).drop("address_id")
+    return diffs.paged(own, [F.desc("height"), F.desc("tx_idx")], 20, 5)
+
+
+@query(f"WITH {BAL} SELECT address_id, nano, rank() OVER (ORDER BY nano DESC) AS rank FROM balances WHERE address_id % 10 = 1")
+def p2pk_ranks(s, d):
+    return metrics.ranks(bal.erg_balances(erg(s, d)))
+
+
+@query(f"""WITH {BAL}, p AS (SELECT address_id, nano, rank() OVER (ORDER BY nano DESC) AS rank FROM balances WHERE address_id % 10 = 1), t AS (SELECT * FROM p WHERE address_id = 71)
+    (SELECT 'above' AS position, p.* FROM p, t WHERE p.nano > t.nano ORDER BY p.nano, p.address_id LIMIT 1) UNION ALL SELECT 'target', * FROM t UNION ALL (SELECT 'under', p.* FROM p, t WHERE p.nano < t.nano ORDER BY p.nano DESC, p.address_id LIMIT 1)""")
+def p2pk_rank_of_one(s, d):
+    return metrics.rank_of(bal.erg_balances(erg(s, d)), 71)
+
+
+_RUN = "b AS (SELECT address_id, height, CAST(sum(nano) AS BIGINT) AS nano FROM diffs GROUP BY 1, 2), r AS (SELECT address_id, height, CAST(sum(nano) OVER (PARTITION BY address_id ORDER BY height) AS BIGINT) AS new, nano FROM b), ch AS (SELECT address_id, height, new - nano AS old, new FROM r WHERE new <> 0 OR new - nano <> 0)"
+
+
+@query(f"WITH {DIFFS}, {_RUN} SELECT address_id, height, old, new, CASE WHEN old = 0 THEN 'new' WHEN new = 0 THEN 'spent' ELSE 'modified' END AS kind FROM ch")
+def balance_changes(s, d):
+    return bal.balance_changes(erg(s, d))
+
+
+_SERIES = ", ".join(f"CAST(coalesce(sum(sum(CAST(new >= {n} AS INT) - CAST(old >= {n} AS INT))) OVER w, 0) AS BIGINT) AS {k}" for k, n in BANDS.items())
+
+
+@query(f"WITH {DIFFS}, {_RUN}, {SPINE}, ty AS (SELECT unnest([1, 2, 3]) AS type) SELECT s.height, CAST(type AS INT) AS type, {_SERIES} FROM spine s CROSS JOIN ty LEFT JOIN ch ON ch.height = s.height AND ch.address_id % 10 = type GROUP BY s.height, type WINDOW w AS (PARTITION BY type ORDER BY s.height)")
+def address_counts_series(s, d):
+    return metrics.address_counts_series(erg(s, d))
+
+
+_COMP = ", ".join(f"CAST(coalesce(sum(sum(CASE WHEN address_id % 10 = {t} THEN nano ELSE 0 END)) OVER w, 0) AS BIGINT) AS {k}" for k, t in (("p2pks", 1), ("contracts", 3), ("miners", 2)))
+
+
+@query(f"WITH {DIFFS}, {SPINE} SELECT s.height, {_COMP} FROM spine s LEFT JOIN diffs x ON x.height = s.height GROUP BY s.height WINDOW w AS (ORDER BY s.height)")
+def supply_composition(s, d):
+    return metrics.supply_composition(erg(s, d))
+
+
+@query()
+def mean_age(s, d):
+    return bal.mean_age(erg(s, d), led.headers(s, d))
+
+
+@query(f"""WITH {EV}, x AS (SELECT height, timestamp, CAST(sum(CAST(round(value * 1000000) AS HUGEINT)) OVER w AS HUGEINT) AS s, count(*) OVER w AS n, timestamp - min(timestamp) OVER w AS span FROM ev WINDOW w AS (ORDER BY timestamp RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW))
+    SELECT height, CAST(CASE WHEN 2 * (s % n) < n OR (2 * (s % n) = n AND (s // n) % 2 = 0) THEN s // n ELSE s // n + 1 END AS BIGINT) AS difficulty_24h, CAST(s // greatest(span // 1000, 120) AS BIGINT) AS hash_rate_24h FROM x""")
+def difficulty_24h(s, d):
+    return network.difficulty_24h(led.events(s, d).withColumn("difficulty", F.round(F.col("value") * 1_000_000).cast("long")))
+
+
+def _calendar_sql(step: int, shift: int, source: str) -> str:
+    return f"""n AS (SELECT height, timestamp, lead(timestamp) OVER (ORDER BY height) AS nx, ((timestamp - {shift} + {step} - 1) // {step}) * {step} + {shift} AS b0 FROM {source})
+      SELECT height, timestamp FROM n WHERE nx IS NULL OR height = 0 UNION ALL
+      SELECT height, b FROM (SELECT height, b0, nx, unnest(range(b0, nx + 1, {step})) AS b FROM n WHERE nx IS NOT NULL AND height > 0 AND b0 <= nx) WHERE b = b0 OR b < nx"""
+
+
+@query(f"WITH {EV}, {_calendar_sql(3600000, 0, 'ev')}")
+def calendar_hourly(s, d):
+    return calendar.calendar_heights(led.events(s, d), "hourly")
+
+
+@query(f"WITH {HEAD}, {_calendar_sql(86400000, 0, 'headers')}")
+def calendar_daily(s, d):
+    return calendar.calendar_heights(led.headers(s, d), "daily")
+
+
+@query(f"WITH {EV}, {_calendar_sql(604800000, 345600000, 'ev')}")
+def calendar_weekly(s, d):
+    return calendar.calendar_heights(led.events(s, d), "weekly")
+
+
+_CAND = f"{DIFFS}, {MAIN}, rx AS (SELECT height, tx_idx, list_sort(list(DISTINCT cex_id)) AS cex_ids FROM diffs JOIN main USING (address_id) WHERE nano > 0 GROUP BY 1, 2), cand AS (SELECT height, tx_idx, address_id, cex_ids FROM diffs JOIN rx USING (height, tx_idx) WHERE nano < 0 AND address_id <> 2403 AND address_id NOT IN (SELECT address_id FROM main))"
+_CLASS = f"{_CAND}, bl AS (SELECT address_id, height, min(list_min(cex_ids)) AS lo, max(list_max(cex_ids)) AS hi FROM cand GROUP BY 1, 2), ru AS (SELECT *, min(lo) OVER w AS l, max(hi) OVER w AS h FROM bl WINDOW w AS (PARTITION BY address_id ORDER BY height)), cl AS (SELECT address_id, min(height) AS spot_height, min(CASE WHEN l <> h THEN height END) AS conflict_spot_height, arg_min(lo, height) AS first FROM ru GROUP BY 1)"
+
+
+def candidates(s, d):
+    return exchanges.deposit_candidates(erg(s, d), led.main_addresses(s, d))
+
+
+@query(f"WITH {_CAND} SELECT height, tx_idx, address_id, CAST(len(cex_ids) AS INT) AS n_cex FROM cand")
+def deposit_candidates(s, d):
+    return candidates(s, d).select("height", "tx_idx", "address_id", F.size("cex_ids").alias("n_cex"))
+
+
+@query(f"WITH {_CLASS} SELECT address_id, first AS cex_id, spot_height FROM cl WHERE conflict_spot_height IS NULL")
+def deposit_addresses(s, d):
+    return exchanges.deposit_addresses(candidates(s, d))
+
+
+@query(f"WITH {_CLASS} SELECT address_id, CASE WHEN conflict_spot_height > spot_height THEN first END AS first_cex_id, spot_height AS deposit_spot_height, conflict_spot_height FROM cl WHERE conflict_spot_height IS NOT NULL")
+def deposit_conflicts(s, d):
+    return exchanges.deposit_conflicts(candidates(s, d))
+
+
+_SUPPLY = f"{_CLASS}, {SPINE}, su AS (SELECT s.height, CAST(coalesce(sum(sum(CASE WHEN x.address_id IN (SELECT address_id FROM main) THEN nano END)) OVER w, 0) AS BIGINT) AS main, CAST(coalesce(sum(sum(CASE WHEN x.address_id IN (SELECT address_id FROM cl WHERE conflict_spot_height IS NULL) THEN nano END)) OVER w, 0) AS BIGINT) AS deposits FROM spine s LEFT JOIN diffs x ON x.height = s.height GROUP BY s.height WINDOW w AS (ORDER BY s.height))"
+
+
+@query(f"WITH {_SUPPLY} SELECT * FROM su")
+def exchange_supply(s, d):
+    return exchanges.exchange_supply(erg(s, d), led.main_addresses(s, d), exchanges.deposit_addresses(candidates(s, d)))
+
+
+@query(f"WITH {_SUPPLY}, pa AS (SELECT height, sum(nano) AS p FROM diffs WHERE address_id % 10 = 2 GROUP BY 1) SELECT su.height, main, CAST(deposits - coalesce(sum(p) OVER (ORDER BY su.height), 0) AS BIGINT) AS deposits FROM su LEFT JOIN pa ON pa.height = su.height")
+def patched_supply(s, d):
+    """The supply series after all miners, say, had turned out not to be deposits."""
+    no = erg(s, d).where("address_id % 10 = 2")
+    return exchanges.patched_supply(exchange_supply(s, d), exchanges.supply_patch(no.limit(0), no))
+
+
+@query(f"WITH {BAL}, {MAIN} SELECT 'cex' || cex_id AS text_id, 'Exchange ' || cex_id AS name, m.address_id, CAST(coalesce(nano, 0) AS BIGINT) AS nano FROM main m LEFT JOIN balances b ON b.address_id = m.address_id")
+def tracklist(s, d):
+    names = s.range(3).select(F.col("id").cast("int").alias("cex_id"), F.concat(F.lit("cex"), "id").alias("text_id"), F.concat(F.lit("Exchange "), "id").alias("name"))
+    return metrics.tracklist(led.main_addresses(s, d), names, bal.erg_balances(erg(s, d)))
+
+
+# Orders of customers 0 and 1 modulo 7 stand for system transactions
+_NET = f"{LEGS}, n AS (SELECT height, tx_idx, CASE WHEN nano < 0 AND (address_id // 10) % 7 = 0 THEN 13 WHEN nano < 0 AND (address_id // 10) % 7 = 1 THEN 2403 WHEN nano > 0 AND address_id % 10 = 3 AND (address_id // 10) % 5 = 0 THEN 2403 ELSE address_id END AS address_id, nano FROM legs WHERE height > 0)"
+
+
+def network_legs(s, d):
+    key, ident = F.floor(F.col("address_id") / 10), F.col("address_id")
+    inputs, outputs = (x.where("height > 0") for x in led.legs(s, d))
+    return inputs.withColumn("address_id", F.when(key % 7 == 0, 13).when(key % 7 == 1, 2403).otherwise(ident).cast("long")), outputs.withColumn("address_id", F.when((ident % 10 == 3) & (key % 5 == 0), 2403).otherwise(ident).cast("long"))
+
+
+@query(f"WITH {_NET} SELECT height, count(*) AS transactions, count(*) FILTER (NOT sys) AS user_transactions FROM (SELECT height, tx_idx, bool_or(nano < 0 AND address_id IN (13, 2403)) AS sys FROM n GROUP BY 1, 2) GROUP BY 1")
+def block_tx_counts(s, d):
+    inputs, outputs = network_legs(s, d)
+    return network.block_tx_counts(outputs.select("height", "tx_idx").distinct(), inputs)
+
+
+@query(f"WITH {_NET} SELECT height, CAST(coalesce(sum(CASE WHEN address_id = 2403 THEN nano END), 0) AS BIGINT) AS fees FROM n WHERE nano >= 0 GROUP BY 1")
+def block_fees(s, d):
+    return network.block_fees(network_legs(s, d)[1])
+
+
+@query(f"""WITH {_NET}, k AS (SELECT height, tx_idx, max(CAST(address_id = 13 AS INT)) AS e FROM n WHERE nano < 0 AND address_id IN (13, 2403) GROUP BY 1, 2), p AS (SELECT height, tx_idx, e, min(address_id) AS miner FROM n JOIN k USING (height, tx_idx) WHERE nano > 0 AND address_id % 10 = 2 GROUP BY 1, 2, 3),
+    c AS (SELECT *, row_number() OVER (PARTITION BY height ORDER BY e DESC, tx_idx) AS rn FROM p), g AS (SELECT height, tx_idx, address_id, sum(nano) AS net FROM n GROUP BY 1, 2, 3)
+    SELECT c.height, miner, CAST(CASE WHEN e = 1 AND net > 0 THEN net ELSE 0 END AS BIGINT) AS reward FROM c LEFT JOIN g ON g.height = c.height AND g.tx_idx = c.tx_idx AND g.address_id = miner WHERE rn = 1""")
+def block_miner_reward(s, d):
+    return network.block_miner_reward(*network_legs(s, d))
+
+
+@query(f"WITH {_NET}, p AS (SELECT DISTINCT height, address_id AS miner FROM n WHERE nano > 0 AND address_id % 10 = 2) SELECT height, miner, CASE WHEN (miner // 10) % 100 < 50 THEN 'pool ' || (miner // 10) % 100 END AS name FROM p")
+def miner_labels(s, d):
+    mined = network_legs(s, d)[1].where("address_id % 10 = 2").select("height", F.col("address_id").alias("miner")).distinct()
+    n = F.floor(F.col("address_id") / 10) % 100
+    known = led.table(s, d, "supplier").select(led.supplier_id("s_suppkey").alias("address_id")).where((F.col("address_id") % 10 == 2) & (n < 50)).select("address_id", F.concat(F.lit("pool "), n).alias("name"))
+    return network.miner_labels(mined, known).select("height", "miner", "name")
+
+
+def fields(s, d):
+    """An extension of one to two fields for each event: a parameter, an interlink, or an unknown key."""
+    e = led.events(s, d)
+    one = lambda pos, key, value: F.struct(F.lit(pos).alias("pos"), key.alias("key"), value.alias("value"))
+    ident = F.when(F.col("k") % 10 == 9, 123).otherwise(F.col("k") % 10)
+    key = F.when(F.col("k") % 4 == 3, "0105").when(F.col("k") % 4 == 2, "f00d").otherwise(F.concat(F.lit("00"), F.lower(F.lpad(F.hex(ident.cast("long")), 2, "0"))))
+    return e.select("height", F.inline(F.array(one(0, key, F.lower(F.lpad(F.hex("amount"), 8, "0"))), one(1, key, F.lower(F.lpad(F.hex(F.col("amount") + 1), 8, "0"))))))
+
+
+_PAR = ", ".join(f"CASE WHEN (CASE WHEN k % 10 = 9 THEN 123 ELSE k % 10 END) = {i} THEN CAST(amount + 1 AS INT) ELSE 0 END AS {n}" for i, n in PARAMETERS.items())
+
+
+@query(f"WITH {EV} SELECT height, {_PAR} FROM ev WHERE k % 4 < 2")
+def network_parameters(s, d):
+    return network.network_parameters(fields(s, d))
+
+
+@query(f"WITH {EV} SELECT height, CAST(-4083 AS INT) AS key, printf('%08x', amount + i) AS value FROM ev, (SELECT unnest([0, 1]) AS i) WHERE k % 4 = 2")
+def unhandled_extensions(s, d):
+    return network.unhandled_extensions(fields(s, d))
+
+
+@query(f"""WITH {EV}, v AS (SELECT height, height // 64 AS epoch, k % 3 AS v1, k % 5 AS v2, k % 2 AS v3 FROM ev), p AS (SELECT * FROM v WHERE height % 64 = 0 AND (v1 <> 0 OR v2 <> 0 OR v3 <> 0))
+    SELECT p.epoch, p.height, p.v1, p.v2, p.v3, {", ".join(f"CAST(coalesce(sum(CASE WHEN p.v{i} <> 0 AND w.v{i} = p.v{i} THEN 1 ELSE 0 END), 0) AS BIGINT) AS tally_{i}" for i in (1, 2, 3))} FROM p LEFT JOIN v w ON w.epoch = p.epoch AND w.height % 64 <> 0 GROUP BY ALL""")
+def proposals(s, d):
+    votes = led.events(s, d).select("height", (F.col("k") % 3).alias("v1"), (F.col("k") % 5).alias("v2"), (F.col("k") % 2).alias("v3"))
+    return network.proposals(votes, 64)
+
+
+_BANK = f"""{EV}, bk AS (SELECT height, event_type, amount, k, CASE event_type WHEN 'purchase' THEN amount * 1000 WHEN 'error' THEN -amount * 100 ELSE 0 END AS r, CASE event_type WHEN 'purchase' THEN amount WHEN 'error' THEN -(amount // 10) ELSE 0 END AS c FROM ev WHERE event_type IN ('purchase', 'error', 'view')),
+  hi AS (SELECT height, CAST(sum(CASE WHEN k % 2 = 0 THEN c ELSE 0 END) OVER w AS BIGINT) AS circ_sc, CAST(sum(CASE WHEN k % 2 = 1 THEN c ELSE 0 END) OVER w AS BIGINT) AS circ_rc, CAST(sum(r) OVER w AS BIGINT) AS reserves, CAST(sum(CASE WHEN k % 2 = 0 AND c <> 0 THEN r ELSE 0 END) OVER w AS BIGINT) AS sc_net, CAST(sum(CASE WHEN k % 2 = 1 AND c <> 0 THEN r ELSE 0 END) OVER w AS BIGINT) AS rc_net, last_value(CASE WHEN event_type = 'view' THEN amount + 1 END IGNORE NULLS) OVER w AS oracle FROM bk WINDOW w AS (ORDER BY height ROWS UNBOUNDED PRECEDING)),
+  tk AS (SELECT height, CASE WHEN circ_rc > 0 AND reserves - (oracle::HUGEINT * circ_sc) // 100 > 0 THEN CAST((reserves - (oracle::HUGEINT * circ_sc) // 100) // circ_rc AS BIGINT) ELSE 1000000 END AS price FROM hi WHERE oracle IS NOT NULL)"""
+
+
+def history(s, d):
+    return bank.bank_history(led.bank_stream(s, d))
+
+
+@query(f"WITH {_BANK} SELECT * FROM hi")
+def bank_history(s, d):
+    return history(s, d)
+
+
+@query(f"WITH {_BANK} SELECT * FROM tk")
+def rc_prices(s, d):
+    return bank.rc_ticks(history(s, d))
+
+
+@query(f"WITH {_BANK} SELECT reserves, circ_rc, CAST(round(circ_sc / 100.0, 2) AS DOUBLE) AS circ_sc, oracle FROM hi ORDER BY height DESC LIMIT 1")
+def bank_state(s, d):
+    return metrics.latest(history(s, d)).select("reserves", "circ_rc", fn.to_display_units(F.col("circ_sc")).alias("circ_sc"), "oracle")
+
+
+@query(f"WITH {_BANK} SELECT height, row_number() OVER (ORDER BY height) AS idx FROM bk WHERE event_type <> 'view'")
+def bank_tx_index(s, d):
+    return bank.bank_tx_index(led.bank_stream(s, d)).select("height", "idx")
+
+
+def _ohlc_sql(unit: str) -> str:
+    step = {"day": "1 DAY", "week": "7 DAY", "month": "1 MONTH"}[unit]
+    return f"""WITH {_BANK}, f AS (SELECT e.height, CAST(date_trunc('{unit}', make_timestamp(e.timestamp * 1000)) AS DATE) AS date, last_value(price IGNORE NULLS) OVER (ORDER BY e.height ROWS UNBOUNDED PRECEDING) AS price FROM ev e LEFT JOIN tk ON tk.height = e.height),
+      g AS (SELECT date, arg_min(price, height) AS open, max(price) AS high, min(price) AS low, arg_max(price, height) AS close FROM f WHERE price IS NOT NULL GROUP BY 1),
+      x AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM g)::TIMESTAMP, (SELECT max(date) FROM g)::TIMESTAMP, INTERVAL {step})) AS DATE) AS date),
+      y AS (SELECT x.date, open, high, low, close, last_value(close IGNORE NULLS) OVER (ORDER BY x.date ROWS UNBOUNDED PRECEDING) AS c FROM x LEFT JOIN g ON g.date = x.date)
+      SELECT date, coalesce(open, c) AS open, coalesce(high, c) AS high, coalesce(low, c) AS low, c AS close FROM y"""
+
+
+def _ohlc(s, d, unit):
+    ticks = bank.rc_ticks(history(s, d)).withColumn("seq", F.lit(0))
+    return bank.ohlc(ticks, led.events(s, d), unit)
+
+
+@query(_ohlc_sql("day"))
+def rc_ohlc_daily(s, d):
+    return _ohlc(s, d, "day")
+
+
+@query(_ohlc_sql("week"))
+def rc_ohlc_weekly(s, d):
+    return _ohlc(s, d, "week")
+
+
+@query(_ohlc_sql("month"))
+def rc_ohlc_monthly(s, d):
+    return _ohlc(s, d, "month")
+
+
+_STATS = "SELECT service, count(*) AS tx_count, min(timestamp) AS first_tx, max(timestamp) AS last_tx, CAST(sum(amount % 100) AS BIGINT) AS fees, CAST(sum(amount * CASE event_type WHEN 'purchase' THEN 1000 ELSE 100 END) AS BIGINT) AS volume FROM (SELECT *, CASE WHEN user_id % 7 = 0 THEN user_id % 70 END AS service FROM ev WHERE event_type IN ('purchase', 'error')) GROUP BY 1"
+
+
+def fees(s, d):
+    e = led.events(s, d).where("event_type in ('purchase', 'error')")
+    return e.select("height", F.when(F.col("user_id") % 7 == 0, F.col("user_id") % 70).alias("service"), "timestamp", (F.col("amount") % 100).alias("fee"), (F.col("amount") * F.when(F.col("event_type") == "purchase", 1000).otherwise(-100)).alias("reserves_diff"))
+
+
+@query(f"WITH {EV} {_STATS}")
+def service_stats(s, d):
+    return bank.service_stats(fees(s, d))
+
+
+@query(f"WITH {EV} SELECT * REPLACE (coalesce(service, 0) AS service) FROM ({_STATS.replace('CASE WHEN user_id % 7 = 0 THEN user_id % 70 END', 'CASE WHEN user_id % 7 = 0 THEN user_id % 70 ELSE 0 END')})")
+def service_stats_added(s, d):
+    """Statistics of even heights with those of odd heights added."""
+    part = lambda n: bank.service_stats(fees(s, d).where(F.col("height") % 2 == n))
+    return added(part(0), part(1))
+
+
+@query(f"WITH {BAL}, o AS (SELECT address_id, CAST(sum(nano) AS BIGINT) AS nano FROM diffs WHERE height <= {HEIGHT} GROUP BY 1 HAVING sum(nano) > 0) SELECT coalesce(b.address_id, o.address_id) AS address_id, coalesce(b.nano, o.nano) AS nano FROM o FULL JOIN balances b ON b.address_id = o.address_id")
+def balances_upserted(s, d):
+    """Balances at a height, brought up to date by upserting the current ones."""
+    x = erg(s, d)
+    return upserted(bal.erg_balances(x, HEIGHT), bal.erg_balances(x), ["address_id"])
+
+
+_PRICE = f"{EV}, pr AS (SELECT timestamp // 3600000 * 3600000 AS t0, avg(value) AS p0 FROM ev WHERE event_type = 'view' GROUP BY 1), iv AS (SELECT t0, p0, lead(t0) OVER w AS t1, lead(p0) OVER w AS p1 FROM pr WINDOW w AS (ORDER BY t0)), pu AS (SELECT height, timestamp FROM ev WHERE event_type = 'purchase')"
+
+
+@query(f"""WITH {_PRICE}, l AS (SELECT max(t0) AS t, arg_max(p0, t0) AS p FROM pr)
+    SELECT height, CASE WHEN height <= 3 THEN 5.581469768257971 ELSE round(p0 + (p1 - p0) * (timestamp - t0) / (t1 - t0), 6) END AS price, FALSE AS provisional FROM pu ASOF LEFT JOIN iv ON timestamp > t0 WHERE height <= 3 OR timestamp <= t1
+    UNION ALL SELECT height, round(p, 6), TRUE FROM pu, l WHERE height > 3 AND timestamp > t""")
+def price_interpolated(s, d):
+    out = prices.interpolated(led.events(s, d).where("event_type = 'purchase'").select("height", "timestamp"), led.hourly_prices(s, d))
+    return out.withColumn("price", F.when(F.col("height") <= 3, F.col("price")).otherwise(F.round("price", 6)))
+
+
+@query(f"WITH {_PRICE} SELECT height, timestamp, round(p0, 6) AS price FROM pu ASOF JOIN pr ON timestamp >= t0")
+def price_last_prior(s, d):
+    return prices.last_prior(led.events(s, d).where("event_type = 'purchase'").select("height", "timestamp"), led.hourly_prices(s, d)).withColumn("price", F.round("price", 6))
+
+
+_BOX = "bx AS (SELECT CAST(datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1 AS BIGINT) AS height, o_orderkey AS tx_idx, 'o' || o_orderkey AS box_id, o_custkey * 10 + 1 AS address_id, CAST(round(o_totalprice * 100) AS BIGINT) AS value FROM orders), sp AS (SELECT *, lead(height) OVER w AS h, lead(tx_idx) OVER w AS t FROM bx WINDOW w AS (PARTITION BY address_id ORDER BY height, tx_idx))"
+
+
+@query(f"WITH {_BOX} SELECT h AS height, t AS tx_idx, box_id, height AS output_height, address_id, value, 788918400000 + (height - 1) * 86400000 AS output_timestamp FROM sp WHERE h IS NOT NULL")
+def expanded_inputs(s, d):
+    outputs, inputs = led.boxes(s, d)
+    return diffs.expand_inputs(inputs, outputs.drop("out_idx"), led.headers(s, d))
+
+
+@query(f"WITH {_BOX} SELECT a.height, a.tx_idx, 'o' || (a.tx_idx - 1) AS box_id, b.address_id, b.value FROM bx a LEFT JOIN bx b ON b.box_id = 'o' || (a.tx_idx - 1)")
+def expanded_data_inputs(s, d):
+    outputs, _ = led.boxes(s, d)
+    reads = outputs.select("height", "tx_idx", F.concat(F.lit("o"), F.col("tx_idx") - 1).alias("box_id"))
+    return diffs.expand_data_inputs(reads, outputs.drop("out_idx")).select("height", "tx_idx", "box_id", "address_id", "value")
+
+
+@query(f"WITH {_BOX} SELECT height, tx_idx, box_id, address_id, value FROM sp WHERE h IS NULL")
+def unspent_boxes(s, d):
+    outputs, inputs = led.boxes(s, d)
+    return diffs.unspent_boxes(outputs, inputs).select("height", "tx_idx", "box_id", "address_id", "value")
+
+
+_ADDR = "CASE WHEN o_custkey % 3 = 0 THEN rpad('9' || o_custkey, 51, 'x') WHEN o_custkey % 3 = 1 THEN '88dhgzEuTX' || o_custkey ELSE 'c' || o_custkey END"
+
+
+def _address(key):
+    k = F.col(key)
+    return F.when(k % 3 == 0, F.rpad(F.concat(F.lit("9"), k.cast("string")), 51, "x")).when(k % 3 == 1, F.concat(F.lit("88dhgzEuTX"), k)).otherwise(F.concat(F.lit("c"), k))
+
+
+@query(f"""WITH f AS (SELECT {_ADDR} AS address, o_custkey % 3 AS m, min((datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1, o_orderkey)) AS a FROM orders GROUP BY 1, 2)
+    SELECT row_number() OVER (ORDER BY a) * 10 + CASE m WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS id, CAST(a[1] AS BIGINT) AS spot_height, address FROM f""")
+def address_index(s, d):
+    o = led.table(s, d, "orders").select(led.height_of(F.col("o_orderdate")).alias("height"), F.col("o_orderkey").alias("tx_idx"), F.lit(0).alias("out_idx"), _address("o_custkey").alias("address"))
+    return diffs.index_addresses(o)
+
+
+@query(f"WITH {LINES}, f AS (SELECT 't' || part AS token_id, min((height, tx_idx, part)) AS a FROM lines GROUP BY part) SELECT row_number() OVER (ORDER BY a) AS asset_id, a[1] AS spot_height, token_id FROM f")
+def token_index(s, d):
+    x = led.lines(s, d).select("height", "tx_idx", F.col("part").alias("out_idx"), F.array(F.struct(F.concat(F.lit("t"), "part").alias("token_id"), F.lit(1).alias("amount"))).alias("assets"))
+    return diffs.index_tokens(x)
+
+
+@query(f"WITH {EV} SELECT height, CAST(CASE WHEN h > 127 THEN h - 256 ELSE h END AS INT) AS v1, 3 AS v2, 250 - 256 AS v3 FROM (SELECT height, amount % 256 AS h FROM ev)")
+def parsed_votes(s, d):
+    hexes = F.concat(F.lower(F.lpad(F.hex(F.col("amount") % 256), 2, "0")), F.lit("03fa"))
+    return led.events(s, d).select("height", fn.parse_votes(hexes).alias("v")).select("height", *(F.col("v")[i].cast("int").alias(f"v{i + 1}") for i in range(3)))
+
+
+@query("SELECT o_orderkey, CASE o_custkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS type, o_custkey % 3 = 0 AND CAST(o_custkey AS VARCHAR) NOT LIKE '%0%' AS is_wallet FROM orders")
+def address_types(s, d):
+    return led.table(s, d, "orders").select("o_orderkey", fn.address_type(a := _address("o_custkey")).alias("type"), fn.valid(a, "p2pk").alias("is_wallet"))
+
+
+@query(f"WITH {EV} SELECT height, amount FROM ev")
+def decoded_registers(s, d):
+    """Amounts written as serialized longs and read back."""
+    z = F.col("amount") * 2
+    groups = [F.floor(z / 128**i).cast("long") for i in range(6)]
+    byte = lambda i: F.when(groups[i] > 0, F.lpad(F.hex(groups[i] % 128 + F.when(groups[i] >= 128, 128).otherwise(0)), 2, "0")).otherwise(F.lit("00" if i == 0 else ""))
+    return led.events(s, d).select("height", fn.decode_slong(F.concat(F.lit("05"), *map(byte, range(6)))).alias("amount"))
+
+
+@query(f"WITH {EV}, b AS (SELECT height, timestamp FROM ev) SELECT CAST(make_timestamp(timestamp * 1000) AS DATE) AS date, count(*) AS blocks FROM b GROUP BY 1")
+def blocks_by_date(s, d):
+    return led.events(s, d).groupBy(fn.utc_date(F.col("timestamp")).alias("date")).agg(F.count("*").alias("blocks"))
+
+
+@query(f"WITH {DIFFS}, {SPINE} SELECT s.height, count(x.height) AS n FROM spine s LEFT JOIN diffs x ON x.height = s.height GROUP BY 1")
+def diffs_by_height(s, d):
+    x = erg(s, d)
+    return height_spine(x).join(x.groupBy("height").agg(F.count("*").alias("n")), "height", "left").na.fill(0)
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 40 MINUTE FROM events) GROUP BY 1, 2")
+def stream_hourly(s, d):
+    """Hourly totals by a stream over the events; hours that the watermark hasn't passed are not final and have no row."""
+    stream = streaming.hourly_totals(streaming.events_stream(s, d).withColumn("ts", F.col("ts").cast("timestamp")), "ts")
+    out = streaming.to_table(stream, streaming.scratch(s, "hourly"))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(f"WITH {EV}, x AS (SELECT height, user_id * 10 + 1 AS address_id, amount + 1 AS nano FROM ev) SELECT address_id, CAST(sum(nano) AS BIGINT) AS nano FROM x GROUP BY 1")
+def stream_balances(s, d):
+    """Balances of a ledger that a stream of events feeds through foreachBatch."""
+    path = streaming.scratch(s, "ledger")
+    book = streaming.Ledger(s, path)
+    e = streaming.events_stream(s, d)
+    moved = e.select((F.col("user_id") * 10 + 1).alias("address_id"), F.floor(F.col("event_id") / 1000).cast("long").alias("height"), F.col("event_id").alias("tx_idx"), (F.round(F.col("value") * 100).cast("long") + 1).alias("nano"))
+    streaming.run_available(moved, book.append, f"{path}/checkpoint")
+    return book.balances()
