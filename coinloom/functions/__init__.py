@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..constants import DAY_MS, DEFAULT_RC_PRICE, MINER, MINER_PREFIX, OTHER, P2PK, WEEK_MS
 
@@ -48,7 +49,7 @@ def has_register(registers: Column, name: str) -> Column:
     return F.coalesce(F.get_json_object(registers, f"$.{name}").isNotNull(), F.lit(False))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def decode_slong(hexes: pd.Series) -> pd.Series:
     """A serialized long: type byte 05, then a zig-zag number in groups of seven bits. Anything else gives null."""
     out = []

@@ -59,7 +59,7 @@ def height_spine(df: DataFrame) -> DataFrame:
 def with_next(df: DataFrame, order: str, columns: Sequence[str], bucket: int = 10_000) -> DataFrame:
     """df with next_<c>: the columns of the row after, in a unique integer order. Buckets look up their successor's first row."""
     keyed = df.withColumn("_bucket", F.floor(F.col(order) / bucket).cast("long"))
-    row = F.struct(order, *columns)
+    row = F.struct(F.col(order).alias("_at"), *columns)
     firsts = keyed.groupBy("_bucket").agg(F.min(row).alias("_first"))
     after = firsts.select("_bucket", F.lead("_first").over(Window.orderBy("_bucket")).alias("_after"))
     own = Window.partitionBy("_bucket").orderBy(order)
