@@ -101,6 +101,7 @@ def fit(texts: list[str], labels: np.ndarray, odds: float, seed: int = 5, epochs
     data = [slots(*utf8(pa.array([t]))) for t in texts]
     order = r.permutation(len(texts))
     held, own = order[: len(order) // 5], order[len(order) // 5 :]
+    held = held if len(held) else own
     common = model.start([data[i][0] for i in own], labels[own])
     dense = [*model.banks, *model.shifts, model.out]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in dense]
