@@ -59,7 +59,7 @@ class Model:
         # widest - 1 empty words follow each text, so that no window reaches into the next one
         place = np.arange(len(ids)) + np.repeat(np.arange(n) * (widest - 1), np.diff(rows))
         x = np.zeros((len(ids) + n * (widest - 1) + widest, len(VIEWS) * DIM), np.float32)
-        x[place] = self.table[ids].reshape(len(ids), -1)
+        x[place] = self.table[ids].reshape(len(ids), len(VIEWS) * DIM)
         first = rows[:-1] + np.arange(n) * (widest - 1)
         top = np.zeros((n, len(WIDTHS) * FILTERS), np.float32)
         at = np.zeros(top.shape, np.int64)
