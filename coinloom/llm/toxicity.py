@@ -109,7 +109,7 @@ def fit(texts: list[str], labels: np.ndarray, odds: float, seed: int = 5, epochs
     m_bias = v_bias = 0.0
     e, step = len(VIEWS) * DIM, 0
     best = None
-    epochs = max(epochs, -(-least_steps * 32 // max(len(own), 1)))
+    epochs = max(epochs, -(-least_steps // -(-max(len(own), 1) // 32)))
     for epoch in range(epochs):
         rate = 0.01 * (1 - epoch / epochs) + 0.001
         own = r.permutation(own)
