@@ -23,7 +23,7 @@ BASE, RATE, TOP = 1.08, 20.0, 255  # registers lie on a scale of powers of BASE,
 SLACK = 0.16
 #: Rows of a bucket that one task compares with as many others.
 BLOCK = 256
-#: Ids that are broadcast, at most; beyond, the join is by sorting.
+#: Ids that are broadcast, at most; beyond, the join deals both sides by key.
 FEW_IDS = 200_000
 _SEEDS = mix64(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 
@@ -45,6 +45,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int):
             yield w, np.unique(s)
 
 
+def node_of(w: np.ndarray) -> bytes:
+    """The digest of a word sequence, by its words' hashes."""
+    return hashlib.blake2b(w.tobytes(), digest_size=16).digest()
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """ids, a materialized table, to be broadcast where it has no more than FEW_IDS rows."""
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
+
 def hash_sequence(w: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(w.tobytes(), digest_size=8).digest(), "little")
 
@@ -93,12 +103,12 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
             for i, j in portions(offsets):
                 for w, s in shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k):
                     size.append(len(s))
-                    node.append(hashlib.blake2b(w.tobytes(), digest_size=16).hexdigest() if len(w) else None)
+                    node.append(node_of(w) if len(w) else None)
                     bands.append((registers(s).reshape(BANDS, ROWS).astype(np.int64) @ (256 ** np.arange(ROWS)) + (np.arange(BANDS) << 8 * ROWS)).tolist() if len(w) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.string()), pa.array(size, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "n_shingles", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.binary()), pa.array(size, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "n_shingles", "bands"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(sketch, f"doc_id {kind}, node string, n_shingles long, bands array<long>")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(sketch, f"doc_id {kind}, node binary, n_shingles long, bands array<long>")
 
 
 def shingles_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -111,12 +121,14 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
             asked = batch.column(0).to_pylist()
             for i, j in portions(offsets):
                 for r, (w, s) in enumerate(shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k), i):
-                    if hashlib.blake2b(w.tobytes(), digest_size=16).hexdigest() == asked[r]:
+                    if node_of(w) == asked[r]:
                         keep.append(asked[r]), out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.string()), pa.array(out, pa.binary())], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.binary()), pa.array(out, pa.binary())], ["node", "shingles"])
 
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "doc_id").select("node", "text")
-    return materialize(texts.mapInArrow(sets, "node string, shingles binary").dropDuplicates(["node"]), "sets")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(few(wanted), "doc_id").select("node", "text")
+    found = materialize(texts.mapInArrow(sets, "node binary, shingles binary"), "sets")
+    # only repeated rows give a node twice; the check reads digests alone, and sets are dealt out anew only where it finds some
+    return found if found.groupBy("node").count().where("count > 1").isEmpty() else materialize(found.dropDuplicates(["node"]), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -133,7 +145,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     one = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
     both = pairs.join(one("v"), "v").join(one("u"), "u").select("u", "v", "u_set", "v_set")
-    return both.mapInArrow(compare, "u string, v string")
+    return both.mapInArrow(compare, "u binary, v binary")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int, slack: float = SLACK) -> DataFrame:
@@ -149,7 +161,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int, slack: float = SLAC
 
     one = lambda c: nodes.select(F.col("node").alias(c), F.col("bands").alias(f"{c}_bands"), F.col("n_shingles").alias(f"{c}_n"))
     both = pairs.join(one("v"), "v").join(one("u"), "u").where(F.least("u_n", "v_n") * 100 >= F.greatest("u_n", "v_n") * percent)
-    return both.select("u", "v", "u_bands", "v_bands", "u_n", "v_n").mapInArrow(estimate, "u string, v string")
+    return both.select("u", "v", "u_bands", "v_bands", "u_n", "v_n").mapInArrow(estimate, "u binary, v binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -157,7 +169,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Links join texts whose sets of distinct k-word shingles have 100 * intersection >= percent * union. Equal word
     sequences are one node, so groups of copies cost one sketch row in the joins. In a bucket of equal bands every
-    node meets the node of the smallest doc_id; after components of those links, buckets that still hold several are
+    node meets the node of the smallest digest; after components of those links, buckets that still hold several are
     settled in blocks of rows, so no link between components is left out and no group is expanded into all pairs.
 
     Null and empty texts, and those without words: n_shingles 0, linked with nothing. Rows with a null id get a null
@@ -167,9 +179,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialize(sketched(docs, id_col, text_col, k), "sketches")
     filled = rows.where("node is not null and doc_id is not null")
     nodes = materialize(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "nodes")
-    banded = nodes.select("node", "doc_id", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min(F.struct("doc_id", "node")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    hubs = materialize(hubs.select("band", F.col("hub.node").alias("u")), "hubs")
+    banded = nodes.select("node", F.explode("bands").alias("band"))
+    hubs = banded.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).where("n > 1")
+    hubs = materialize(hubs.select("band", "u"), "hubs")
     shared = materialize(banded.join(hubs, "band").select("band", "node", "u"), "shared")
     pairs = materialize(likely(shared.where("node <> u").select("u", F.col("node").alias("v")).distinct(), nodes, percent), "likely")
 
@@ -196,50 +208,71 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def settled(docs: DataFrame, rest: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """Links (u, v) that connect what is still apart: rest (band, node, root, blocks) -> a forest over each pair of blocks.
 
-    Within a task the rows of a bucket meet by their registers, each pair in the first bucket that it shares, and full sets
-    decide for pairs that are not connected yet; no pair leaves a task but as a link.
+    Within a task the rows of a bucket meet by their registers, each pair in the first bucket that it shares. Rows that are
+    likely to link with none drop out by their sketches, before full sets are dealt out; full sets decide for the others, for
+    pairs that are not connected yet. No pair leaves a task but as a link.
     """
+    above = lambda x: -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
+    want = percent / 100
 
-    def settle(table: pa.Table) -> pa.Table:
-        order = np.argsort(np.array(table.column("node").to_pylist()), kind="stable")
-        table = table.take(pa.array(order)).combine_chunks()
+    def partners(table: pa.Table):
+        """For each row but the last: the later ones of other components that may link with it, the likeliest first."""
         band, a, b = (table.column(c)[0].as_py() for c in ("band", "a", "b"))
         column = table.column("bands").combine_chunks()
         regs, bands = bytes_of(column), column.flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
         own, size = table.column("own").to_numpy(), table.column("n_shingles").to_numpy().astype(float)
-        names, sets = table.column("node").to_pylist(), [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
         at = int(band) >> 8 * ROWS
-        index: dict[str, int] = {}
+        index: dict[bytes, int] = {}
         group = np.array([index.setdefault(r, len(index)) for r in table.column("root").to_pylist()])
-        u, v, want = [], [], percent / 100
-        above = lambda x: -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
-        for i in range(len(names) - 1):
-            j = np.arange(i + 1, len(names))
+
+        def of(i: int) -> np.ndarray:
+            j = np.arange(i + 1, len(group))
             j = j[(group[j] != group[i]) & (np.minimum(size[j], size[i]) >= want * np.maximum(size[j], size[i]) - 1e-9)]
             if a != b:
                 j = j[own[j] != own[i]]
             j = j[~(bands[j, :at] == bands[i, :at]).any(1)] if len(j) else j
             if not len(j):
-                continue
+                return j
             x, y = size[i] / (size[i] + size[j]), size[j] / (size[i] + size[j])
             least = 1 - above(x - y * want) - above(y - x * want) - SLACK
             same = (regs[j] == regs[i]).mean(1)
             j, same = j[same >= least], same[same >= least]
-            for o in j[np.argsort(-same, kind="stable")].tolist():
+            return j[np.argsort(-same, kind="stable")]
+
+        return group, of
+
+    def hopeful(table: pa.Table) -> pa.Table:
+        group, of = partners(table)
+        hit = np.zeros(len(group), bool)
+        for i in range(len(group) - 1):
+            j = of(i)
+            hit[j] = True
+            hit[i] |= len(j) > 0
+        return table.select(["band", "a", "b", "own", "node", "root"]).filter(pa.array(hit))
+
+    def settle(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node").combine_chunks()
+        names, sets = table.column("node").to_pylist(), [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        group, of = partners(table)
+        u, v = [], []
+        for i in range(len(names) - 1):
+            for o in of(i).tolist():
                 if group[o] != group[i]:
                     both = len(np.intersect1d(sets[i], sets[o], assume_unique=True))
                     if 100 * both >= percent * (len(sets[i]) + len(sets[o]) - both):
                         u.append(names[i]), v.append(names[o])
                         group[group == group[o]] = group[i]
-        return pa.table({"u": pa.array(u, pa.string()), "v": pa.array(v, pa.string())})
+        return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
 
-    wanted = materialize(nodes.select("node", "doc_id").join(rest.select("node").distinct(), "node"), "wanted")
-    sets = shingles_of(docs, wanted, id_col, text_col, k)
-    full = materialize(sets.join(nodes.select("node", "bands", "n_shingles"), "node"), "full")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = rest.withColumn("own", own).select("*", other).select("band", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "root")
-    return dealt.join(full, "node").groupBy("band", "a", "b").applyInArrow(settle, "u string, v string")
+    sketches = nodes.select("node", "bands", "n_shingles")
+    near = dealt.join(sketches, "node").groupBy("band", "a", "b").applyInArrow(hopeful, "band long, a int, b int, own int, node binary, root binary")
+    near = materialize(near, "hopeful")
+    wanted = materialize(nodes.select("node", "doc_id").join(near.select("node").distinct(), "node"), "wanted")
+    full = materialize(shingles_of(docs, wanted, id_col, text_col, k).join(sketches, "node"), "full")
+    return near.join(full, "node").groupBy("band", "a", "b").applyInArrow(settle, "u binary, v binary")
 
 
 def full_links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
@@ -251,7 +284,12 @@ def full_links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, id_col: str,
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """docs without all but one document of each group. Rows without words or without an id stay; of rows with equal
-    id and text one stays."""
-    kept = near_duplicates(docs, id_col, text_col, k, percent).where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where(F.col(id_col).isNotNull())
-    return named.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col, text_col]).union(docs.where(F.col(id_col).isNull()))
+    id and text one stays. Texts are dealt out only where ids repeat, or where more than FEW_IDS of them go."""
+    found = near_duplicates(docs, id_col, text_col, k, percent).where("doc_id is not null")
+    by_id = materialize(found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "by-id")
+    gone, twice = by_id.where("not kept").select("_id"), by_id.where("kept and n > 1").select("_id")
+    same, named = F.col(id_col) == F.col("_id"), docs.where(F.col(id_col).isNotNull())
+    stay = named.join(few(gone), same, "left_anti")
+    if not twice.isEmpty():
+        stay = stay.join(few(twice), same, "left_anti").union(stay.join(few(twice), same, "left_semi").dropDuplicates([id_col, text_col]))
+    return stay.union(docs.where(F.col(id_col).isNull()))
