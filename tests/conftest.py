@@ -31,5 +31,6 @@ def oracle():
 
 
 def canonical(frame):
+    """Sorted rows of strings, and the columns. A date and its midnight are alike: DuckDB's frames hold dates as timestamps."""
     frame = frame[sorted(frame.columns)].astype(object)
-    return sorted(tuple("None" if v is None or v is pd.NA or v != v else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in frame.itertuples(index=False)), sorted(frame.columns)
+    return sorted(tuple("None" if v is None or v is pd.NA or v != v else f"{v:.6g}" if isinstance(v, float) else str(v).removesuffix(" 00:00:00") for v in r) for r in frame.itertuples(index=False)), sorted(frame.columns)
