@@ -33,7 +33,8 @@ def timestamp_to_height(headers: DataFrame, t: int) -> DataFrame:
 
 
 def height_to_timestamp(headers: DataFrame, height: int) -> DataFrame:
-    return headers.where(F.col("height") == height).select("timestamp")
+    """One row, null where no block has that height."""
+    return headers.where(F.col("height") == height).agg(F.max("timestamp").alias("timestamp"))
 
 
 def sync_height(headers: DataFrame) -> DataFrame:
