@@ -1,34 +1,16 @@
-"""Small helpers shared by the operators: shared storage, Arrow text access, word hashing, global ranks."""
+"""Small helpers shared by the operators: Arrow text access and word hashing; shared storage and global ranks come from ..shared."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
+
+from ..shared import materialize, ordered_rank, shared_dir  # noqa: F401
 
 #: What separates words: these six ASCII characters and no others.
 WORD = r"[^\x20\x09-\x0D]+"
-_OWN_DIRS: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    app = spark.sparkContext.applicationId
-    return found or _OWN_DIRS.setdefault(app, tempfile.mkdtemp(prefix="spark-"))
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: lineage ends there, and any executor can be lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
@@ -37,20 +19,6 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
-def ordered_rank(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
-    """Add the 0-based position of each row in a global order.
-
-    Range partitions are sorted each by itself and get the count of the rows before them as offset. Only
-    a count for each partition, never the rows, meets in one task. Rows that tie in `order` get adjacent positions.
-    """
-    placed = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
-    counts = placed.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count("*").alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    local = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    # one row for each partition of the sort: as small as the number of partitions
-    return placed.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + local).cast("long")).drop("_part", "_before", "_at")
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow string column in one array, and n + 1 offsets; null counts as empty."""
     a = pc.fill_null(column.cast(pa.large_string()), "")

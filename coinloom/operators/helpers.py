@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import ordered_rank
+
 
 def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[str] = (), bucket: int = 10_000) -> DataFrame:
     """df with each value replaced by its sum up to and including the row's `order`, within `by`.
@@ -35,15 +37,8 @@ def forward_fill(df: DataFrame, order: str, values: Sequence[str], bucket: int =
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:
-    """df with consecutive numbers from `start` in a global order: range partitions number their rows and add the count of
-    the rows before. Only a count for each partition is gathered. The order must be total for reruns to agree."""
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    placed = placed.withColumn("_part", F.shiftright("_at", 33))
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    local = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    # one row for each partition: as small as their number
-    return placed.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + local + start).cast("long")).drop("_part", "_before", "_at")
+    """df with consecutive numbers from `start` in a global order. The order must be total for reruns to agree."""
+    return ordered_rank(df, list(order), name).withColumn(name, F.col(name) + start)
 
 
 def spine(lo: int, hi: int, spark) -> DataFrame:

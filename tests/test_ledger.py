@@ -151,6 +151,21 @@ def test_helpers(spark):
     assert rows(helpers.dense_ids(df, ["k"], "i", 5), "k", "i") == [(i, i + 5) for i in range(50)]
 
 
+def test_dense_ids_of_a_wide_table(spark):
+    """The rows that are counted and those that are numbered are the same, though only one of the two needs the wide column."""
+    n, before = 300_000, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        k = F.xxhash64("id")
+        df = spark.range(n).select(k.alias("k"), F.pmod(k, F.lit(7)).alias("j"), F.concat(F.sha2(F.col("id").cast("string"), 512), F.repeat(F.lit("x"), 100)).alias("wide"))
+        got = helpers.dense_ids(df, ["j", "k"], "i", 1)
+        seen = got.agg(F.count("*"), F.countDistinct("i"), F.min("i"), F.max("i"), F.countDistinct("wide")).first()
+        assert tuple(seen) == (n, n, 1, n, n)
+        assert helpers.with_next(got, "i", ["j", "k"]).where("next_k is not null and struct(j, k) >= struct(next_j, next_k)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_registers(spark):
     df = spark.createDataFrame([("0500",), ("0501",), ("0580897a",), ("04",), (None,), ("05ff",)], "h string")
     assert [r[0] for r in df.select(fn.decode_slong("h")).collect()] == [0, -1, 1_000_000, None, None, None]
