@@ -1,12 +1,15 @@
-"""Embedding near-dedup on a robust-pruned flat graph.
+"""Embedding near-dedup by exact comparison of all vectors that can be in range.
 
-Vectors go to the shards of their nearest centres, so shards overlap. Each shard builds a pruned neighbour list for its
-vectors; a vector's lists from all its shards are united; then every vector searches its shards' graph, greedily from the
-medoid and its own node, and goes on through all that lies in range. Double-precision cosines confirm what is found.
+Each vector has a home: a block of the vectors whose nearest centre is the same, or one of a few. It visits the other blocks
+in which a vector within range of it can live, by a bound that no pair escapes, and is compared there with each vector by
+matrix products; double-precision cosines decide what is close to the threshold. No neighbours are capped and no pair is left
+to chance; where the bound excludes nothing (directions without clusters), that is each pair of the table once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -15,11 +18,12 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, materialize
 from .components import connected_components
 
-#: Vectors a centre, centres a vector, and centres at most; these are a bounded sample of the rows, by seeded hash.
-SHARD, OVERLAP, MAX_CENTRES = 800, 3, 4096
-#: A shard with more vectors is dealt into blocks of this size, and each pair of blocks is searched by itself.
+#: Vectors a centre, and centres at most; these are a bounded sample of the rows, by seeded hash.
+SHARD, MAX_CENTRES = 800, 4096
+#: Vectors in a block, about: centres with more are dealt into several blocks, those with fewer share one.
 BLOCK = 6000
-CANDIDATES, DEGREE, ALPHA, BEAM = 48, 24, 1.2, 16
+#: Rows that meet a block at a time, and the width around the threshold in which single precision doesn't decide.
+PORTION, DOUBT = 1024, 1e-4
 
 
 def unit(flat: np.ndarray, n: int) -> np.ndarray:
@@ -27,98 +31,27 @@ def unit(flat: np.ndarray, n: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def pruned_graph(x: np.ndarray) -> np.ndarray:
-    """Neighbours of each unit vector, padded with -1: from the nearest candidates, each takes the best and drops those that
-    lie closer to it, by the factor ALPHA, than to the vector itself."""
-    n = len(x)
-    s = (x @ x.T).astype(np.float32)
-    np.fill_diagonal(s, -2)
-    c = min(CANDIDATES, n - 1)
-    if c < 1:
-        return np.full((n, 1), -1, np.int64)
-    near = np.argpartition(-s, c - 1, axis=1)[:, :c]
-    like = np.take_along_axis(s, near, 1)
-    order = np.argsort(-like, axis=1, kind="stable")
-    near, like = np.take_along_axis(near, order, 1), np.take_along_axis(like, order, 1)
-    far, alive, out = 1 - like, np.ones(near.shape, bool), np.full((n, DEGREE), -1, np.int64)
-    for r in range(DEGREE):
-        best = alive.argmax(1)
-        some = alive[np.arange(n), best]
-        pick = near[np.arange(n), best]
-        out[some, r] = pick[some]
-        alive[np.arange(n), best] = False
-        alive &= ~(some[:, None] & (ALPHA * (1 - s[pick[:, None], near]) <= far))
+def blocks_of(sizes: dict[int, int], dims: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """The blocks of each centre as (first, number), from its vectors and their length. A block holds vectors of one length."""
+    out, block, room, last = {}, -1, 0, None
+    for c in sorted(sizes, key=lambda c: (dims[c], c)):
+        many = -(-sizes[c] // BLOCK)
+        if many > 1 or sizes[c] > room or dims[c] != last:
+            out[c] = (block + 1, many)
+            block, room = block + many, (BLOCK - sizes[c] if many == 1 else 0)
+        else:
+            out[c], room = (block, 1), room - sizes[c]
+        last = dims[c]
     return out
 
 
-def range_search(x: np.ndarray, lists: np.ndarray, threshold: float, wide: int = 4, most: int = 256):
-    """Yield (queries, hits): for a block of the vectors, which vectors each finds at `threshold` or nearer.
+def placed(nodes: DataFrame, shard: int, threshold: float) -> tuple[DataFrame, int]:
+    """((block, visits, node, weight, vec), number of blocks): each vector at home (visits = 0) and where it visits (1).
 
-    A query keeps expanding its nearest unexpanded nodes while they are among the BEAM best or in range, so a
-    large group is followed to its end.
+    Let v have the nearest centre c, and u the nearest centre d. If their cosine is at least threshold, |v - u| is at most
+    r = sqrt(2 - 2 threshold), and u (c - d) <= 0, so v (c - d) <= r |c - d|: v visits where that holds, and misses nothing. Of
+    two blocks one visits the other, by turns, so each pair meets in one block and all get equally many visits.
     """
-    n = len(x)
-    f = x.astype(np.float32)
-    medoid = int((f @ f.mean(0)).argmax())
-    low = threshold - 1e-4
-    for at in range(0, n, most):
-        q = np.arange(at, min(at + most, n))
-        rows = np.arange(len(q))[:, None]
-        score = np.full((len(q), n + 1), -2, np.float32)  # the last column takes what lists are padded with
-        done = np.zeros((len(q), n + 1), bool)
-        done[:, n] = True
-        score[:, medoid] = f[q] @ f[medoid]
-        score[rows[:, 0], q] = 1
-        active = np.arange(len(q))
-        while len(active):
-            sub = np.where(done[active], np.float32(-3), score[active])
-            k = min(wide, n)
-            pick = np.argpartition(-sub, k - 1, axis=1)[:, :k]
-            value = np.take_along_axis(sub, pick, 1)
-            beam = min(BEAM, n)
-            bar = -np.partition(-score[active], beam - 1, axis=1)[:, beam - 1]
-            go = (value > -2) & ((value >= bar[:, None]) | (value >= low))
-            keep = go.any(1)
-            active, pick, go = active[keep], pick[keep], go[keep]
-            if not len(active):
-                break
-            done[active[:, None], np.where(go, pick, n)] = True
-            reach = np.where(go[:, :, None], lists[pick], n).reshape(len(active), -1)
-            reach[reach < 0] = n
-            new = np.where(score[active[:, None], reach] > -2, n, reach)
-            row, col = np.nonzero(new < n)
-            target = new[row, col]
-            score[active[row], target] = np.einsum("ij,ij->i", f[q[active[row]]], f[target])
-            score[:, n] = -2
-        hits = score[:, :n] >= low
-        hits[rows[:, 0], q] = False
-        yield q, hits
-
-
-def exact(x: np.ndarray, q: np.ndarray, hits: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs (query, vector) of hits with a double-precision cosine of at least threshold."""
-    row, col = np.nonzero(hits)
-    ok = np.concatenate([np.zeros(0, bool), *(np.einsum("ij,ij->i", x[q[row[i : i + 65536]]], x[col[i : i + 65536]]) >= threshold for i in range(0, len(row), 65536))])
-    return q[row[ok]], col[ok]
-
-
-def roots(n: int, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The smallest index that links reach, by repeated minima."""
-    label = np.arange(n)
-    while True:
-        old = label.copy()
-        for a, b in links:
-            low = np.minimum(label[a], label[b])
-            np.minimum.at(label, a, low)
-            np.minimum.at(label, b, low)
-        label = label[label]
-        if (old == label).all():
-            return label
-
-
-def sharded(nodes: DataFrame, shard: int, overlap: int) -> DataFrame:
-    """(shard, a, b, node, weight, vec, shards): each vector in the shards of its nearest centres, for each pair of blocks
-    (a, b) there that its own block takes part in. Vectors of different lengths share no shard."""
     spark = nodes.sparkSession
     n = nodes.count()
     sample = nodes.orderBy(F.xxhash64(F.lit(3), "node")).limit(min(MAX_CENTRES, max(1, -(-n // shard)))).select("vec").collect()
@@ -127,97 +60,164 @@ def sharded(nodes: DataFrame, shard: int, overlap: int) -> DataFrame:
         by_size.setdefault(len(r["vec"]), []).append((i, r["vec"]))
     centres = spark.sparkContext.broadcast({d: (np.array([i for i, _ in c]), unit(np.array([v for _, v in c], np.float64).ravel(), len(c))) for d, c in by_size.items()})
 
+    def portions(batch: pa.RecordBatch, columns: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray | None, np.ndarray | None, np.ndarray]]:
+        """Rows of one length, ids and vectors of its centres (none: the length has none), and unit vectors."""
+        length = batch.column(columns - 1).value_lengths().to_numpy()
+        for d in np.unique(length).tolist():
+            some = np.flatnonzero(length == d)
+            for i in range(0, len(some), PORTION):
+                part = batch.take(pa.array(some[i : i + PORTION]))
+                yield part, *centres.value.get(d, (None, None)), matrix(part, columns - 1)
+
     def assign(batches):
         for batch in batches:
-            vec, out = batch.column(2), []
-            for v in vec.to_pylist():
-                ids, c = centres.value.get(len(v), (np.array([-len(v)]), None))
-                best = [0] if c is None else np.argsort(-(c @ (np.array(v, np.float64) / np.linalg.norm(v))), kind="stable")[:overlap]
-                out.append(ids[best].tolist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], ["node", "weight", "vec", "shards"])
-
-    # a few narrow rows: dealt anew, since files of a small table are read by few tasks
-    assigned = materialize(nodes.select("node", "weight", "vec").mapInArrow(assign, "node long, weight long, vec array<float>, shards array<long>"), "assigned")
-    sizes = assigned.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    # one row for each centre
-    each = assigned.select("*", F.explode("shards").alias("shard")).join(F.broadcast(sizes), "shard")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    return each.withColumn("own", own).select("*", other).select("shard", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "weight", "vec", "shards")
-
-
-def matrix(table: pa.Table, name: str = "vec") -> np.ndarray:
-    return unit(table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False), table.num_rows)
-
-
-def adjacency(placed: DataFrame) -> DataFrame:
-    """(node, near): each vector's pruned neighbours in all its shards, united: at most OVERLAP * DEGREE, more only where
-    blocks divide a shard."""
+            for part, ids, c, x in portions(batch, 3):
+                cell = np.full(len(x), -x.shape[1]) if c is None else ids[(x @ c.T).argmax(1)]
+                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(np.full(len(x), x.shape[1]), pa.int64()), *part.columns], ["cell", "dim", "node", "weight", "vec"])
+
+    assigned = materialize(nodes.select("node", "weight", "vec").mapInArrow(assign, "cell long, dim long, node long, weight long, vec array<float>"), "assigned")
+    counted = assigned.groupBy("cell").agg(F.count("*").alias("n"), F.first("dim").alias("dim")).collect()  # a row for each centre
+    blocks = blocks_of({r["cell"]: r["n"] for r in counted}, {r["cell"]: r["dim"] for r in counted})
+    total = max((first + many for first, many in blocks.values()), default=1)
+    where = spark.sparkContext.broadcast(blocks)
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+
+    def visit(batches):
+        for batch in batches:
+            for part, ids, c, x in portions(batch, 4):
+                cell, node = part.column(0).to_numpy(), part.column(1).to_numpy()
+                first, many = np.array([where.value[k] for k in cell.tolist()]).T
+                home = first + node % many
+                near = np.zeros((len(x), total), bool)
+                if c is None:
+                    cells, can = cell[:1], np.ones((len(x), 1), bool)
+                else:
+                    filled = np.array([k for k in range(len(ids)) if int(ids[k]) in where.value])
+                    own, c = c[np.searchsorted(ids, cell)], c[filled]
+                    cells, score = ids[filled], x @ c.T
+                    apart = np.sqrt(np.maximum(2 - 2 * own @ c.T, 0))
+                    can = np.einsum("ij,ij->i", x, own)[:, None] - score <= reach * apart + 1e-6
+                for k, cell_id in enumerate(cells.tolist()):
+                    at, count = where.value[cell_id]
+                    near[:, at : at + count] |= can[:, k, None]
+                turn = (home[:, None] - np.arange(total)) % total
+                near &= (turn > 0) & ((2 * turn < total) | ((2 * turn == total) & (home[:, None] > np.arange(total))))
+                near[np.arange(len(x)), home] = True
+                out = [np.flatnonzero(r) for r in near]
+                yield pa.RecordBatch.from_arrays([pa.array([o.tolist() for o in out], pa.list_(pa.int32())), pa.array(home, pa.int32()), *part.columns[1:]], ["blocks", "home", "node", "weight", "vec"])
+
+    each = assigned.select("cell", "node", "weight", "vec").mapInArrow(visit, "blocks array<int>, home int, node long, weight long, vec array<float>")
+    each = each.select(F.explode("blocks").alias("block"), "home", "node", "weight", "vec")
+    return each.select("block", (F.col("block") != F.col("home")).cast("int").alias("visits"), "node", "weight", "vec"), total
+
+
+def matrix(table: pa.Table | pa.RecordBatch, name: str | int = "vec") -> np.ndarray:
+    return unit(table.column(name).flatten().to_numpy(zero_copy_only=False), table.num_rows)
+
+
+class Block:
+    """Vectors at home in a block: what they link with so far, and the smallest position that links reach (label)."""
+
+    def __init__(self, parts: list[pa.RecordBatch], threshold: float):
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        self.node, self.weight = (rows.column(c).to_numpy() for c in ("node", "weight"))
+        self.x, self.threshold = matrix(rows), threshold
+        self.f = self.x.astype(np.float32)
+        self.label = np.arange(len(self.x))
+        self.links = np.zeros(len(self.x))
+        for i in range(0, len(self.x), PORTION):
+            own = np.arange(i, min(i + PORTION, len(self.x)))
+            hits = self.hits(self.x[own])
+            hits[own - i, own] = True
+            self.unite(hits)
+            hits[own - i, own] = False
+            self.links[own] += hits @ self.weight.astype(np.float64)
+
+    def hits(self, x: np.ndarray) -> np.ndarray:
+        """Which rows of x reach which vectors of the block: by single precision, in doubt by double."""
+        s = x.astype(np.float32) @ self.f.T
+        hits = s >= self.threshold + DOUBT
+        row, col = np.nonzero((s >= self.threshold - DOUBT) & ~hits)
+        for i in range(0, len(row), 65536):
+            r, c = row[i : i + 65536], col[i : i + 65536]
+            hits[r, c] = np.einsum("ij,ij->i", x[r], self.x[c]) >= self.threshold
+        return hits
+
+    def unite(self, hits: np.ndarray) -> None:
+        """Join the vectors that a row reaches, by repeated minima."""
+        col, none = np.flatnonzero(hits.any(0)), len(self.label)
+        hits = hits[hits.any(1)][:, col]
+        while len(col):
+            old, label = self.label, self.label.copy()
+            low = np.where(hits, label[col], none).min(1)
+            low = np.where(hits, low[:, None], none).min(0)
+            np.minimum.at(label, old[col], low)
+            np.minimum.at(label, col, low)
+            while (label[label] != label).any():
+                label = label[label]
+            self.label = label
+            if (old == label).all():
+                break
 
-    def build(table: pa.Table) -> pa.Table:
-        ids = table.column("node").to_numpy()
-        lists = pruned_graph(matrix(table))
-        return pa.table({"node": ids, "near": pa.array([ids[x[x >= 0]].tolist() for x in lists], pa.list_(pa.int64()))})
+    def meet(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+        """(node, links, root) of the visiting rows that reach a vector; those of the block are kept for the end."""
+        node, weight = (rows.column(c).to_numpy() for c in ("node", "weight"))
+        x = matrix(rows)
+        out = []
+        for i in range(0, len(x), PORTION):
+            hits = self.hits(x[i : i + PORTION])
+            self.unite(hits)
+            some = np.flatnonzero(hits.any(1))
+            hits = hits[some]
+            self.links += weight[i + some].astype(np.float64) @ hits
+            out.append((node[i + some], hits @ self.weight.astype(np.float64), self.node[self.label[hits.argmax(1)]] if len(some) else node[:0]))
+        return found_rows(*(np.concatenate(c) for c in zip(*out, strict=True)))
 
-    own = placed.groupBy("shard", "a", "b").applyInArrow(build, "node long, near array<long>")
-    return own.select("node", F.explode("near").alias("near")).groupBy("node").agg(F.collect_set("near").alias("near"))
+    def own(self) -> pa.RecordBatch:
+        some = self.links > 0
+        return found_rows(self.node[some], self.links[some], self.node[self.label[some]])
 
 
-FOUND = "node long, links long, root long"
+def found_rows(node: np.ndarray, links: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.round(links).astype(np.int64)), pa.array(root, pa.int64())], ["node", "links", "root"])
 
 
-def searched(placed: DataFrame, near: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, root) for each shard: what each vector links with there, and the smallest node of its local component.
+def searched(rows: DataFrame, blocks: int, threshold: float) -> DataFrame:
+    """(node, links, root) for each block: what each vector links with there, and a vector of its local component.
 
-    Two vectors that share several shards are counted in the first of them only, so no pairs leave a shard.
+    Blocks stream sorted, those at home first: a task holds one block and a batch of visitors, however many come.
     """
 
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("node").to_numpy(), kind="stable")
-        table = table.take(pa.array(order))
-        ids, weight, own = (table.column(c).to_numpy() for c in ("node", "weight", "own"))
-        shard, a, b = (table.column(c)[0].as_py() for c in ("shard", "a", "b"))
-        x, n = matrix(table), table.num_rows
-        rank = [np.array(s) for s in table.column("shards").to_pylist()]
-        flat = np.concatenate([np.array(l if l else [-1]) for l in table.column("near").to_pylist()])
-        size = np.array([max(len(l or []), 1) for l in table.column("near").to_pylist()])
-        spot = np.searchsorted(ids, flat)
-        spot[spot == n] = 0
-        flat = np.where(ids[spot] == flat, spot, -1)
-        lists = np.full((n, size.max()), -1, np.int64)
-        lists[np.repeat(np.arange(n), size), np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
-        links = [exact(x, q, hits, threshold) for q, hits in range_search(x, lists, threshold)]
-        u, v = (np.concatenate([p[i] for p in links]) for i in (0, 1))
-        pair = np.unique(np.minimum(u, v) * n + np.maximum(u, v))  # found from either side
-        u, v = pair // n, pair % n
-        if a != b:
-            cross = own[u] != own[v]
-            u, v = u[cross], v[cross]
-        first = np.full((n, OVERLAP), np.iinfo(np.int64).max)
-        for i, s in enumerate(rank):
-            first[i, : len(s)] = s
-        early = np.array([s < shard for s in first.ravel()]).reshape(first.shape)
-        shared = np.zeros(len(u), bool)
-        for i in range(first.shape[1]):
-            for j in range(first.shape[1]):
-                shared |= early[u, i] & (first[u, i] == first[v, j])
-        counted = ~shared
-        total = np.bincount(u[counted], weight[v[counted]], n) + np.bincount(v[counted], weight[u[counted]], n)
-        root = roots(n, [(u, v)])
-        some = np.zeros(n, bool)
-        some[u], some[v] = True, True
-        return pa.table({"node": ids[some], "links": total[some].astype(np.int64), "root": ids[root[some]]})
-
-    each = placed.join(near.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node")
-    return each.groupBy("shard", "a", "b").applyInArrow(run, FOUND)
-
-
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, shard: int = SHARD, overlap: int = OVERLAP) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, block = None, [], None
+        for batch in batches:
+            at, visits = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            turns = np.flatnonzero((np.diff(at) != 0) | (np.diff(visits) != 0)) + 1
+            for lo, hi in zip([0, *turns.tolist()], [*turns.tolist(), len(at)], strict=True):
+                if lo == hi:
+                    continue
+                if at[lo] != current:
+                    if parts:
+                        yield (block or Block(parts, threshold)).own()
+                    current, parts, block = at[lo], [], None
+                if not visits[lo]:
+                    parts.append(batch.slice(lo, hi - lo))
+                elif parts:
+                    block = block or Block(parts, threshold)
+                    yield block.meet(batch.slice(lo, hi - lo))
+        if parts:
+            yield (block or Block(parts, threshold)).own()
+
+    dealt = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "visits")
+    return dealt.mapInArrow(run, "node long, links long, root long")
+
+
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, shard: int = SHARD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
     Vectors link at a cosine of at least threshold. Null, empty and zero vectors, and those with null or non-finite
     components, link with nothing and are their own component. Equal vectors are one node with a weight: each counts
-    the others, and a group of copies costs one row in a shard. Rows with a null id take part in links; their kept is
+    the others, and a group of copies costs one row in a block. Rows with a null id take part in links; their kept is
     true. Repeated rows are further vectors.
     """
     bounded_batches(vectors.sparkSession, 4000)
@@ -226,9 +226,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.when(usable, vec).alias("vec"))
     nodes = rows.where("vec is not null").groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    placed = materialize(sharded(nodes, shard, overlap), "placed")
-    near = materialize(adjacency(placed), "adjacency")
-    found = materialize(searched(placed, near, threshold), "found")
+    found = materialize(searched(*placed(nodes, shard, threshold), threshold), "found")
     reach = connected_components(found.select("node", "root"), "root", "node")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     by_node = nodes.join(links, "node", "left").join(reach, "node", "left").select("node", "vec", "vec_id", "weight", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))

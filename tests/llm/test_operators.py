@@ -152,6 +152,45 @@ def test_blocks_count_as_one_shard(spark, monkeypatch):
     assert sorted(q["n_links"] for q in got) == sorted(((f @ f.T >= 0.9).sum(1) - 1).tolist()) and {q["component_id"] for q in got} == {0}
 
 
+def links_by_brute_force(x):
+    f = np.asarray(x, np.float32).astype(float)
+    f /= np.linalg.norm(f, axis=1, keepdims=True)
+    hit = f @ f.T >= 0.9
+    label = np.arange(len(f))
+    while True:
+        low = np.where(hit, label[None, :], len(f)).min(1)
+        if (low == label).all():
+            return (hit.sum(1) - 1).tolist(), label.tolist()
+        label = low
+
+
+def links_found(spark, x, **options):
+    got = sorted(flat_graph.near_vectors(vectors(spark, x), **options).collect(), key=lambda q: q["vec_id"])
+    return [q["n_links"] for q in got], [q["component_id"] for q in got]
+
+
+def at_cosine(r, x, c):
+    """A vector at cosine c to each unit row of x, in a random direction."""
+    w = r.normal(size=x.shape)
+    w -= (w * x).sum(1, keepdims=True) * x
+    return c * x + np.sqrt(1 - c * c) * w / np.linalg.norm(w, axis=1, keepdims=True)
+
+
+def directions(r, n, d):
+    x = r.normal(size=(n, d))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("d", [3, 64])
+def test_pairs_are_found_however_many_centres(spark, monkeypatch, d):
+    """Many centres, as in large tables; a hot group of near copies has its share of them. In three dimensions the bound prunes."""
+    r = np.random.default_rng(d)
+    x = directions(r, 1200, d)
+    x = np.concatenate([x, at_cosine(r, x, 0.901), at_cosine(r, np.repeat(x[:1], 600, 0), 0.96)])
+    monkeypatch.setattr(flat_graph, "BLOCK", 200)
+    assert links_found(spark, x, shard=8) == links_by_brute_force(x)
+
+
 def test_toxicity_on_held_out_texts():
     r = random.Random(3)
     texts = [prose(150, r) + (" vile" + r.choice(SYLLABLES) + " nasty " if i % 4 == 0 else " ") + prose(50, r) for i in range(400)]
