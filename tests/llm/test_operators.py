@@ -191,6 +191,16 @@ def test_pairs_are_found_however_many_centres(spark, monkeypatch, d):
     assert links_found(spark, x, shard=8) == links_by_brute_force(x)
 
 
+def test_tight_clusters_in_range_of_each_other_link(spark):
+    """Two clusters of 100 near copies at cosine 0.92 to each other, and a larger one elsewhere, which holds the middle."""
+    r = np.random.default_rng(4)
+    a, m = directions(r, 2, 64)[:, None]
+    b = at_cosine(r, a, 0.92)
+    x = np.concatenate([at_cosine(r, np.repeat(c, k, 0), 0.998) for c, k in ((m, 300), (a, 100), (b, 100))])
+    want = links_by_brute_force(x)
+    assert len(set(want[1])) == 2 and links_found(spark, x) == want
+
+
 def test_toxicity_on_held_out_texts():
     r = random.Random(3)
     texts = [prose(150, r) + (" vile" + r.choice(SYLLABLES) + " nasty " if i % 4 == 0 else " ") + prose(50, r) for i in range(400)]
