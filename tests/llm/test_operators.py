@@ -201,6 +201,14 @@ def test_tight_clusters_in_range_of_each_other_link(spark):
     assert len(set(want[1])) == 2 and links_found(spark, x) == want
 
 
+def test_links_and_components_agree(spark):
+    """Groups that many centres divide: each pair of a component is counted, once."""
+    r = np.random.default_rng(3)
+    x = directions(r, 120, 6)
+    x = np.concatenate([x, *(at_cosine(r, x[i : i + 1].repeat(70, 0), 0.96) for i in range(6))])
+    assert links_found(spark, x, shard=25) == links_by_brute_force(x)
+
+
 def test_toxicity_on_held_out_texts():
     r = random.Random(3)
     texts = [prose(150, r) + (" vile" + r.choice(SYLLABLES) + " nasty " if i % 4 == 0 else " ") + prose(50, r) for i in range(400)]
