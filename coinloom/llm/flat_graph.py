@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialize
@@ -24,6 +24,8 @@ SHARD, MAX_CENTRES = 800, 4096
 BLOCK = 6000
 #: Rows that meet a block at a time, and the width around the threshold in which single precision doesn't decide.
 PORTION, DOUBT = 1024, 1e-4
+#: Queries in a block of the audit.
+QUERIES = 6000
 
 
 def unit(flat: np.ndarray, n: int) -> np.ndarray:
@@ -239,26 +241,62 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
 
 def audit_recall(vectors: DataFrame, result: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, every: int = 20) -> DataFrame:
-    """(links, found, recall) over the rows whose id is divisible by `every`, each compared with all rows by brute force in
-    blocks. The stated queries alone travel to the tasks, in blocks of 2000, so no group is multiplied."""
-    queries = vectors.where(F.pmod(F.col(id_col), F.lit(every)) == 0).select(F.col(id_col).alias("q"), F.col(vec_col).alias("qv"))
-    blocks = queries.withColumn("block", F.floor(F.row_number().over(Window.orderBy("q")) / 2000))
-    packed = blocks.groupBy("block").agg(F.collect_list(F.struct("q", "qv")).alias("queries"))
-    true: DataFrame | None = None
-    for r in packed.toLocalIterator():
-        ids = np.array([x["q"] for x in r["queries"]])
-        q = unit(np.array([x["qv"] for x in r["queries"]], np.float64).ravel(), len(ids))
-
-        def run(batches, ids=ids, q=q):
-            for batch in batches:
-                own = batch.column(0).to_numpy(zero_copy_only=False)
-                hit = q @ unit(batch.column(1).flatten().to_numpy(zero_copy_only=False), batch.num_rows).T >= threshold
-                hit &= ids[:, None] != own[None, :]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hit.sum(1).astype(np.int64))], ["q", "n"])
-
-        part = vectors.select(id_col, vec_col).mapInArrow(run, "q long, n long")
-        true = part if true is None else true.union(part)
-    if true is None:
-        return vectors.sparkSession.createDataFrame([(0, 0, 1.0)], "links long, found long, recall double")
-    both = true.groupBy("q").agg(F.sum("n").alias("n")).join(result.select(F.col("vec_id").alias("q"), "n_links"), "q")
-    return both.agg(F.sum("n").alias("links"), F.sum(F.least("n", "n_links")).alias("found")).withColumn("recall", F.when(F.col("links") > 0, F.col("found") / F.col("links")).otherwise(1.0))
+    """(links, found, recall) over the rows whose id is divisible by `every`, each compared with all rows by brute force.
+
+    The stated queries are dealt by a hash into blocks of about QUERIES, and each row goes to each block, by its number: rows x
+    blocks, which every task counts for itself. A block has several tasks where blocks are few, and none passes the driver.
+    Ids are unique and not null.
+    """
+    bounded_batches(vectors.sparkSession, 4000)
+    rows = vectors.select(F.col(id_col).alias("id"), F.transform(F.col(vec_col), lambda x: x.cast("float")).alias("vec"))
+    rows = rows.where((F.size("vec") > 0) & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0))
+    asked = rows.where(F.pmod("id", F.lit(every)) == 0)
+    blocks = max(1, -(-asked.count() // QUERIES))
+    home = asked.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("visits"), "id", "vec")
+    visits = rows.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("visits"), "id", "vec")
+    parts = max(1, -(-4 * vectors.sparkSession.sparkContext.defaultParallelism // blocks))  # a block's rows go to so many tasks
+
+    # each task has a copy of its block, so a few blocks keep all cores busy
+    copies = home.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    dealt = copies.unionByName(visits.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int")))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, queries, found = None, [], {}
+
+        def done() -> pa.RecordBatch:
+            ids, n = [i for i, _, _ in found.values()], [n for _, _, n in found.values()]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids), pa.int64()), pa.array(np.concatenate(n), pa.int64())], ["q", "n"])
+
+        for batch in batches:
+            at, kind, length = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3).value_lengths().to_numpy()
+            turns = np.flatnonzero((np.diff(at) != 0) | (np.diff(kind) != 0)) + 1
+            for lo, hi in zip([0, *turns.tolist()], [*turns.tolist(), len(at)], strict=True):
+                if lo == hi:
+                    continue
+                if at[lo] != current:
+                    if found:
+                        yield done()
+                    current, queries, found = at[lo], [], {}
+                if not kind[lo]:
+                    queries.append(batch.slice(lo, hi - lo))
+                    continue
+                if queries and not found:
+                    all_q = pa.Table.from_batches(queries).combine_chunks().to_batches()[0]
+                    sizes = all_q.column(3).value_lengths().to_numpy()
+                    for d in np.unique(sizes).tolist():
+                        q = all_q.take(pa.array(np.flatnonzero(sizes == d)))
+                        found[d] = (q.column(2).to_numpy(), matrix(q), np.zeros(q.num_rows, np.int64))
+                for d, (ids, q, n) in found.items():
+                    at_d = lo + np.flatnonzero(length[lo:hi] == d)
+                    for i in range(0, len(at_d), PORTION):
+                        some = batch.take(pa.array(at_d[i : i + PORTION]))
+                        hit = matrix(some) @ q.T >= threshold
+                        n += (hit & (some.column(2).to_numpy()[:, None] != ids[None, :])).sum(0)
+        if found:
+            yield done()
+
+    dealt = dealt.select((F.col("block") * parts + F.col("part")).alias("at"), "visits", "id", "vec").repartitionById(blocks * parts, F.col("at")).sortWithinPartitions("at", "visits")
+    true = dealt.mapInArrow(count, "q long, n long").groupBy("q").agg(F.sum("n").alias("n"))
+    both = true.join(result.select(F.col("vec_id").alias("q"), "n_links"), "q")
+    sums = both.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("links"), F.coalesce(F.sum(F.least("n", "n_links")), F.lit(0)).alias("found"))
+    return sums.withColumn("recall", F.when(F.col("links") > 0, F.col("found") / F.col("links")).otherwise(1.0))

@@ -209,6 +209,19 @@ def test_links_and_components_agree(spark):
     assert links_found(spark, x, shard=25) == links_by_brute_force(x)
 
 
+def test_audit_counts_what_a_result_lacks(spark, monkeypatch):
+    """Several blocks of queries, vectors of two lengths and unusable ones; a result with half of the links has half the recall."""
+    r = np.random.default_rng(6)
+    x = directions(r, 700, 3)
+    monkeypatch.setattr(flat_graph, "QUERIES", 60, raising=False)
+    df = vectors(spark, [*x, [1.0, 2.0], [1.0, 2.1], None, [0.0] * 3, [float("nan")] * 3])
+    want = sum(links_by_brute_force(x)[0]) + 2
+    result = flat_graph.near_vectors(df)
+    assert tuple(flat_graph.audit_recall(df, result, every=1).first()) == (want, want, 1.0)
+    none = result.withColumn("n_links", F.when(F.col("vec_id") % 2 == 0, F.col("n_links")).otherwise(0))
+    assert 0.4 < flat_graph.audit_recall(df, none, every=1).first()["recall"] < 0.6
+
+
 def test_toxicity_on_held_out_texts():
     r = random.Random(3)
     texts = [prose(150, r) + (" vile" + r.choice(SYLLABLES) + " nasty " if i % 4 == 0 else " ") + prose(50, r) for i in range(400)]
