@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import materialize
+from .helpers import prefix_sum
+
 
 def erg_balances(diffs: DataFrame, at_height: int | None = None) -> DataFrame:
     """(address_id, nano) above zero, now or after a height."""
@@ -56,32 +59,55 @@ def balance_changes(diffs: DataFrame, value: str = "nano", keys: tuple = ("addre
     return run.where("old <> 0 or new <> 0").select(*keys, "height", "old", "new", kind.alias("kind"))
 
 
+def live_steps(diffs: DataFrame, headers: DataFrame) -> DataFrame:
+    """(address_id, step, credit, timestamp, debit): an address's credits after its last zero balance, in order, each with the sum
+    of the debits that follow it. Debits before the first credit are a step without one.
+
+    Balances and counts of credits are two-level prefix sums over blocks, and windows within an address's block, so a busy
+    address is dealt out like the others.
+    """
+    key = ["address_id", "height"]
+    rows = diffs.join(headers.select("height", "timestamp"), "height").select(*key, "tx_idx", "nano", "timestamp", (F.col("nano") > 0).cast("long").alias("is_credit"))
+    rows = materialize(rows, "dated")
+    block = rows.groupBy(*key).agg(F.sum("nano").alias("balance"), F.sum("is_credit").alias("step"))
+    later = Window.partitionBy(*key).orderBy("tx_idx").rowsBetween(1, Window.unboundedFollowing)
+    up_to = lambda end, c: (F.col(end) - F.coalesce(F.sum(c).over(later), F.lit(0))).alias(end)
+    run = rows.join(prefix_sum(block, "height", ["balance", "step"], ["address_id"]), key)
+    run = materialize(run.select(*key, "tx_idx", "nano", "timestamp", up_to("balance", "nano"), up_to("step", "is_credit")), "balances")
+    at = F.struct("height", "tx_idx")
+    zeros = run.where("balance = 0").groupBy("address_id").agg(F.max(at).alias("zero"))
+    live = run.join(zeros, "address_id", "left").where(F.col("zero").isNull() | (at > F.col("zero")))
+    is_credit = F.col("nano") > 0
+    return live.groupBy("address_id", "step").agg(
+        F.sum(F.when(is_credit, F.col("nano")).otherwise(0)).alias("credit"), F.max(F.when(is_credit, F.col("timestamp"))).alias("timestamp"), F.sum(F.when(~is_credit, F.col("nano")).otherwise(0)).alias("debit")
+    )
+
+
 def mean_age(diffs: DataFrame, headers: DataFrame) -> DataFrame:
     """(address_id, nano, mean_age_timestamp): the value-weighted mean time at which an address's coins came.
 
     A credit moves the mean to trunc((mean * balance + time * amount) / new balance); a debit leaves it; at zero it is
-    forgotten. The truncation makes this an ordered fold: rows are dealt by address, sorted, and stream through with one
-    address's state at a time, so no group is held in memory.
+    forgotten. What lies before the last zero can't matter, and debits between credits count by their sum. The truncation
+    makes the rest an ordered fold: steps are dealt by address, sorted, and stream through with one address's state at a
+    time, so no group is held in memory.
     """
-    rows = diffs.join(headers.select("height", "timestamp"), "height").select("address_id", "height", "tx_idx", "nano", "timestamp")
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, balance, mean = None, 0, 0
         for frame in frames:
             out = []
-            for a, nano, t in zip(frame["address_id"].tolist(), frame["nano"].tolist(), frame["timestamp"].tolist(), strict=True):
+            for a, credit, t, debit in zip(frame["address_id"].tolist(), frame["credit"].tolist(), frame["timestamp"].tolist(), frame["debit"].tolist(), strict=True):
                 if a != current:
                     if current is not None and balance > 0:
                         out.append((current, balance, mean))
                     current, balance, mean = a, 0, 0
-                if nano > 0:
-                    mean = (mean * balance + t * nano) // (balance + nano)
-                balance += nano
-                if balance == 0:
-                    mean = 0
+                if credit > 0:
+                    mean = (mean * balance + t * credit) // (balance + credit)
+                balance += credit + debit
             yield pd.DataFrame(out, columns=["address_id", "nano", "mean_age_timestamp"])
         if current is not None and balance > 0:
             yield pd.DataFrame([(current, balance, mean)], columns=["address_id", "nano", "mean_age_timestamp"])
 
-    dealt = rows.repartition("address_id").sortWithinPartitions("address_id", "height", "tx_idx")
+    steps = live_steps(diffs, headers).withColumn("timestamp", F.coalesce("timestamp", F.lit(0)))  # else pandas makes floats of them
+    dealt = steps.repartition("address_id").sortWithinPartitions("address_id", "step")
     return dealt.mapInPandas(fold, "address_id long, nano long, mean_age_timestamp long")

@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -34,6 +35,24 @@ def test_diffs_balances_and_mean_age(spark):
     assert rows(bal.mean_age(d, heads)) == [(A, 101 * E9, 1563159994628), (C, 4 * E9, TS + 120000)]
 
 
+def test_mean_age_folds_only_what_counts(spark):
+    """A busy address with zero balances and runs of debits: few steps are left to fold, and the result is that of all rows."""
+    r, d, want = random.Random(1), [], []
+    for a, n in ((A, 3000), (B, 40), (C, 41)):
+        balance = mean = 0
+        for i in range(n):
+            h, tx = i // 7, i % 7
+            nano = -balance if balance and (i % 50 == 0 or (i == n - 1 and a == C)) else r.randint(1, 10**9) if balance < 10 or i % 5 == 0 else -r.randint(1, balance // 3)
+            mean = mean if nano < 0 else (mean * balance + (TS + h * 977) * nano) // (balance + nano)
+            balance += nano
+            mean = mean if balance else 0
+            d.append((h, tx, a, nano))
+        want += [(a, balance, mean)] if balance else []
+    df, heads = spark.createDataFrame(d, DIFF), spark.createDataFrame([(h, TS + h * 977) for h in range(500)], "height long, timestamp long")
+    assert rows(bal.mean_age(df, heads)) == sorted(want) and {w[0] for w in want} == {A, B}
+    assert bal.live_steps(df, heads).where(F.col("address_id") == A).count() <= 11
+
+
 def test_rollback_and_replay(spark, tmp_path):
     d = diffs.erg_diffs(*chain(spark))
     book = streaming.Ledger(spark, str(tmp_path / "book"))
