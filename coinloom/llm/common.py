@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..shared import materialize, ordered_rank, shared_dir  # noqa: F401
 
@@ -13,12 +13,23 @@ from ..shared import materialize, ordered_rank, shared_dir  # noqa: F401
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the Arrow batches that go to Python, by rows and by bytes, so that long texts don't add up."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that go to Python, by rows and by bytes, so that long texts don't add up. The same bounds for
+    every operator; they stay set in the session, as plans read them when they run."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """names as columns that df doesn't have, by underscores before them; Spark's columns don't tell case apart."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow string column in one array, and n + 1 offsets; null counts as empty."""
     a = pc.fill_null(column.cast(pa.large_string()), "")

@@ -222,7 +222,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     the others, and a group of copies costs one row in a block. Rows with a null id take part in links; their kept is
     true. Repeated rows are further vectors.
     """
-    bounded_batches(vectors.sparkSession, 4000)
+    bounded_batches(vectors.sparkSession)
     vec = F.transform(F.col(vec_col), lambda x: x.cast("float"))
     usable = F.coalesce((F.size(vec_col) > 0) & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec_col, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.when(usable, vec).alias("vec"))
@@ -247,7 +247,7 @@ def audit_recall(vectors: DataFrame, result: DataFrame, id_col: str = "vec_id",
     blocks, which every task counts for itself. A block has several tasks where blocks are few, and none passes the driver.
     Ids are unique and not null.
     """
-    bounded_batches(vectors.sparkSession, 4000)
+    bounded_batches(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).alias("id"), F.transform(F.col(vec_col), lambda x: x.cast("float")).alias("vec"))
     rows = rows.where((F.size("vec") > 0) & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0))
     asked = rows.where(F.pmod("id", F.lit(every)) == 0)

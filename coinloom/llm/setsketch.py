@@ -11,20 +11,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_batches, materialize, mix64, portions, utf8
+from .common import Words, bounded_batches, materialize, mix64, portions, unused, utf8
 from .components import connected_components
 
 BANDS, ROWS = 30, 6
 BASE, RATE, TOP = 1.08, 20.0, 255  # registers lie on a scale of powers of BASE, from 0 to TOP
 #: How far below the threshold an estimate may lie: over five standard errors of this many registers.
 SLACK = 0.16
-#: Rows of a bucket that one task compares with as many others.
-BLOCK = 256
-#: Ids that are broadcast, at most; beyond, the join deals both sides by key.
-FEW_IDS = 200_000
+#: Bands in which rows also meet a second hub, drawn anew for each bucket.
+EXTRA = (0, 8, 15, 23)
+#: Rows of a bucket whose sketches one task compares with as many others, and bytes of full sets likewise.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
 _SEEDS = mix64(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 
 
@@ -50,11 +50,6 @@ def node_of(w: np.ndarray) -> bytes:
     return hashlib.blake2b(w.tobytes(), digest_size=16).digest()
 
 
-def few(ids: DataFrame) -> DataFrame:
-    """ids, a materialized table, to be broadcast where it has no more than FEW_IDS rows."""
-    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-
-
 def hash_sequence(w: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(w.tobytes(), digest_size=8).digest(), "little")
 
@@ -112,7 +107,10 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
 
 
 def shingles_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(node, shingles): full sets of the wanted nodes (node, doc_id), from one text each."""
+    """(node, shingles): full sets of the wanted nodes (node, doc_id), from one text each.
+
+    Texts are dealt out by id whatever the number of nodes: one plan for all sizes.
+    """
 
     def sets(batches):
         for batch in batches:
@@ -125,7 +123,7 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
                         keep.append(asked[r]), out.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keep, pa.binary()), pa.array(out, pa.binary())], ["node", "shingles"])
 
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(few(wanted), "doc_id").select("node", "text")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted.select("doc_id", "node").hint("merge"), "doc_id").select("node", "text")
     found = materialize(texts.mapInArrow(sets, "node binary, shingles binary"), "sets")
     # only repeated rows give a node twice; the check reads digests alone, and sets are dealt out anew only where it finds some
     return found if found.groupBy("node").count().where("count > 1").isEmpty() else materialize(found.dropDuplicates(["node"]), "sets")
@@ -169,8 +167,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Links join texts whose sets of distinct k-word shingles have 100 * intersection >= percent * union. Equal word
     sequences are one node, so groups of copies cost one sketch row in the joins. In a bucket of equal bands every
-    node meets the node of the smallest digest; after components of those links, buckets that still hold several are
-    settled in blocks of rows, so no link between components is left out and no group is expanded into all pairs.
+    node meets the node of the smallest digest, and in a few bands a second hub; after components of those links,
+    buckets that still hold several are settled (see settled), so no link between components is left out and no group is
+    expanded into all pairs.
 
     Null and empty texts, and those without words: n_shingles 0, linked with nothing. Rows with a null id get a null
     component_id and kept true, and link nothing. Repeated rows get equal results. An empty table gives an empty one.
@@ -180,24 +179,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     filled = rows.where("node is not null and doc_id is not null")
     nodes = materialize(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).where("n > 1")
-    hubs = materialize(hubs.select("band", "u"), "hubs")
-    shared = materialize(banded.join(hubs, "band").select("band", "node", "u"), "shared")
-    pairs = materialize(likely(shared.where("node <> u").select("u", F.col("node").alias("v")).distinct(), nodes, percent), "likely")
-
-    links = full_links(docs, pairs, nodes, id_col, text_col, k, percent)
-    found = connected_components(links)
-    # In buckets that hold several components, blocks of rows meet in tasks, and what they link comes out.
-    placed = shared.select("band", "node").join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    placed = materialize(placed, "placed")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where("a <> b")
-    mixed = materialize(mixed.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rest = materialize(placed.join(mixed, "band"), "rest")
-    more = materialize(settled(docs, rest, nodes, id_col, text_col, k, percent), "settled")
-    if not more.isEmpty():
-        found = connected_components(links.union(more))
-
-    reach = nodes.select("node", "doc_id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    hubs = banded.groupBy("band").agg(F.min("node").alias("u"), F.min_by("node", F.xxhash64("node", "band")).alias("w"), F.count("*").alias("n")).where("n > 1")
+    extra = F.shiftright("band", 8 * ROWS).isin(*EXTRA)
+    hubs = materialize(hubs.select("band", "u", F.when(extra, F.col("w")).alias("w")), "hubs")
+    shared = materialize(banded.join(hubs, "band").select("band", "node", "u", "w"), "shared")
+    wanted = materialize(nodes.select("node", "doc_id").join(shared.select("node").distinct(), "node"), "wanted")
+    sets = shingles_of(docs, wanted, id_col, text_col, k)
+
+    to_first = shared.where("node <> u").select("u", F.col("node").alias("v"))
+    links = materialize(confirmed(materialize(likely(to_first.distinct(), nodes, percent), "likely"), sets, percent), "confirmed")
+    labels = nodes.select("node").join(connected_components(links), "node", "left")
+    labels = materialize(labels.select("node", F.coalesce("root", "node").alias("root")), "labels")
+    to_second = shared.where("w is not null and w <> u and w <> node and node <> u").select("w", "node").distinct()
+    root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    apart = to_second.withColumnsRenamed({"w": "u", "node": "v"}).join(root("u"), "u").join(root("v"), "v").where("u_root <> v_root").select("u", "v")
+    links = materialize(confirmed(materialize(likely(apart, nodes, percent), "likely"), sets, percent), "confirmed")
+    labels = united(labels, links)
+    links = materialize(settled(shared.select("band", "node"), labels, nodes, sets, percent), "settled")
+    labels = united(labels, links)
+
+    reach = nodes.select("node", "doc_id").join(labels, "node")
     lowest = materialize(reach.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
     by_node = materialize(reach.join(lowest, "root").select("node", "component_id"), "by-node")
     out = rows.select("doc_id", "node", "n_shingles").join(by_node, "node", "left")
@@ -205,18 +206,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def settled(docs: DataFrame, rest: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """Links (u, v) that connect what is still apart: rest (band, node, root, blocks) -> a forest over each pair of blocks.
+def united(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, root) after links (u, v): components of the roots that they join, and the labels renamed."""
+    if links.isEmpty():
+        return labels
+    root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    between = links.join(root("u"), "u").join(root("v"), "v").select("u_root", "v_root")
+    moved = connected_components(between, "u_root", "v_root").select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return materialize(labels.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
+
+
+def dealt(rows: DataFrame, weight: Column, most: int) -> DataFrame:
+    """rows (band, node, minor) -> with own, a, b: every pair of blocks (a, b) of a bucket that holds a minor row meets once.
+
+    Minor rows are those outside a bucket's largest component. Blocks weigh about `most`, minor ones before the others; rows of
+    the largest component go to each minor block once, and none of its own rows meet each other.
+    """
+    sums = rows.groupBy("band").agg(*(F.ceil(F.sum(F.when(F.col("minor") == m, weight).otherwise(0)) / most).cast("int").alias(c) for c, m in (("minors", True), ("majors", False))))
+    blocks = F.when(F.col("minor"), F.col("minors")).otherwise(F.col("majors"))
+    own = (F.pmod(F.xxhash64("node"), blocks) + F.when(F.col("minor"), 0).otherwise(F.col("minors"))).cast("int")
+    last = F.col("minors") + F.when(F.col("minor"), F.col("majors")).otherwise(0) - 1
+    each = rows.join(sums, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return each.withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")}).drop("other", "minors", "majors")
+
+
+def settled(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect what is still apart in buckets of several components: shared (band, node).
 
-    Within a task the rows of a bucket meet by their registers, each pair in the first bucket that it shares. Rows that are
-    likely to link with none drop out by their sketches, before full sets are dealt out; full sets decide for the others, for
-    pairs that are not connected yet. No pair leaves a task but as a link.
+    Only pairs with a row outside the bucket's largest component can add anything, so that component's rows are dealt out
+    once for each block of the others, which are few where hubs have linked most. Within a task rows meet by their
+    registers, each pair in the first bucket that it shares; rows likely to link with none drop out before full sets are dealt
+    out, in blocks of bounded bytes; those decide, for pairs not connected yet. No pair leaves a task but as a link.
     """
     above = lambda x: -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
     want = percent / 100
 
+    placed = materialize(shared.join(labels, "node").select("band", "node", "root"), "placed")
+    parts = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    # a bucket of two nodes has its one pair decided: either is the other's hub
+    mixed = parts.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("parts"), F.sum("n").alias("n")).where("parts > 1 and n > 2")
+    mixed = materialize(mixed.select("band", "largest"), "mixed")
+    rest = placed.join(mixed, "band").select("band", "node", "root", (F.col("root") != F.col("largest")).alias("minor"))
+    rest = materialize(rest.join(nodes.select("node", "bands", "n_shingles"), "node"), "rest")
+
     def partners(table: pa.Table):
-        """For each row but the last: the later ones of other components that may link with it, the likeliest first."""
+        """The rows of block a, and for each of them: those of block b, of other components, that may link with it,
+        the likeliest first."""
         band, a, b = (table.column(c)[0].as_py() for c in ("band", "a", "b"))
         column = table.column("bands").combine_chunks()
         regs, bands = bytes_of(column), column.flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
@@ -224,12 +259,11 @@ def settled(docs: DataFrame, rest: DataFrame, nodes: DataFrame, id_col: str, tex
         at = int(band) >> 8 * ROWS
         index: dict[bytes, int] = {}
         group = np.array([index.setdefault(r, len(index)) for r in table.column("root").to_pylist()])
+        there = np.flatnonzero(own == b)
 
         def of(i: int) -> np.ndarray:
-            j = np.arange(i + 1, len(group))
+            j = there if a != b else there[there > i]
             j = j[(group[j] != group[i]) & (np.minimum(size[j], size[i]) >= want * np.maximum(size[j], size[i]) - 1e-9)]
-            if a != b:
-                j = j[own[j] != own[i]]
             j = j[~(bands[j, :at] == bands[i, :at]).any(1)] if len(j) else j
             if not len(j):
                 return j
@@ -239,57 +273,56 @@ def settled(docs: DataFrame, rest: DataFrame, nodes: DataFrame, id_col: str, tex
             j, same = j[same >= least], same[same >= least]
             return j[np.argsort(-same, kind="stable")]
 
-        return group, of
+        return np.flatnonzero(own == a).tolist(), group, of
 
     def hopeful(table: pa.Table) -> pa.Table:
-        group, of = partners(table)
-        hit = np.zeros(len(group), bool)
-        for i in range(len(group) - 1):
+        here, _, of = partners(table)
+        hit = np.zeros(table.num_rows, bool)
+        for i in here:
             j = of(i)
             hit[j] = True
             hit[i] |= len(j) > 0
-        return table.select(["band", "a", "b", "own", "node", "root"]).filter(pa.array(hit))
+        return table.select(["band", "node", "root", "minor"]).filter(pa.array(hit))
 
     def settle(table: pa.Table) -> pa.Table:
         table = table.sort_by("node").combine_chunks()
-        names, sets = table.column("node").to_pylist(), [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        group, of = partners(table)
+        names, full = table.column("node").to_pylist(), table.column("shingles")
+        here, group, of = partners(table)
         u, v = [], []
-        for i in range(len(names) - 1):
+        for i in here:
+            mine = None
             for o in of(i).tolist():
                 if group[o] != group[i]:
-                    both = len(np.intersect1d(sets[i], sets[o], assume_unique=True))
-                    if 100 * both >= percent * (len(sets[i]) + len(sets[o]) - both):
+                    mine = np.frombuffer(full[i].as_buffer(), np.uint64) if mine is None else mine
+                    other = np.frombuffer(full[o].as_buffer(), np.uint64)
+                    both = len(np.intersect1d(mine, other, assume_unique=True))
+                    if 100 * both >= percent * (len(mine) + len(other) - both):
                         u.append(names[i]), v.append(names[o])
                         group[group == group[o]] = group[i]
         return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
 
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = rest.withColumn("own", own).select("*", other).select("band", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "root")
-    sketches = nodes.select("node", "bands", "n_shingles")
-    near = dealt.join(sketches, "node").groupBy("band", "a", "b").applyInArrow(hopeful, "band long, a int, b int, own int, node binary, root binary")
-    near = materialize(near, "hopeful")
-    wanted = materialize(nodes.select("node", "doc_id").join(near.select("node").distinct(), "node"), "wanted")
-    full = materialize(shingles_of(docs, wanted, id_col, text_col, k).join(sketches, "node"), "full")
-    return near.join(full, "node").groupBy("band", "a", "b").applyInArrow(settle, "u binary, v binary")
-
-
-def full_links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = materialize(nodes.select("node", "doc_id").join(wanted, "node"), "wanted")
-    sets = shingles_of(docs, wanted, id_col, text_col, k)
-    return materialize(confirmed(pairs, sets, percent), "confirmed")
+    near = dealt(rest, F.lit(1), BLOCK).groupBy("band", "a", "b").applyInArrow(hopeful, "band long, node binary, root binary, minor boolean")
+    near = materialize(near.distinct(), "hopeful")
+    full = nodes.select("node", "bands", "n_shingles").join(sets, "node")
+    met = dealt(near.join(nodes.select("node", "n_shingles"), "node"), F.col("n_shingles") * 8, BLOCK_BYTES).drop("n_shingles")
+    return met.join(full, "node").groupBy("band", "a", "b").applyInArrow(settle, "u binary, v binary")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """docs without all but one document of each group. Rows without words or without an id stay; of rows with equal
-    id and text one stays. Texts are dealt out only where ids repeat, or where more than FEW_IDS of them go."""
+    """docs without all but one document of each group: that of the smallest id stays.
+
+    Rows without words or without an id stay; of rows with equal id and text one stays, null counting as a text of its own.
+    An empty table gives an empty one. Texts are dealt out once, by id, at every size.
+    """
     found = near_duplicates(docs, id_col, text_col, k, percent).where("doc_id is not null")
-    by_id = materialize(found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "by-id")
-    gone, twice = by_id.where("not kept").select("_id"), by_id.where("kept and n > 1").select("_id")
-    same, named = F.col(id_col) == F.col("_id"), docs.where(F.col(id_col).isNotNull())
-    stay = named.join(few(gone), same, "left_anti")
-    if not twice.isEmpty():
-        stay = stay.join(few(twice), same, "left_anti").union(stay.join(few(twice), same, "left_semi").dropDuplicates([id_col, text_col]))
+    key, kept, n = unused(docs, "id", "kept", "n")
+    by_id = found.groupBy(F.col("doc_id").alias(key)).agg(F.max("kept").alias(kept), F.count("*").alias(n))
+    by_id = materialize(by_id, "by-id")
+    named = docs.where(F.col(id_col).isNotNull())
+    marked = named.join(by_id.where(f"not {kept} or {n} > 1").hint("merge"), F.col(id_col) == F.col(key), "left").where(F.coalesce(kept, F.lit(True)))
+    if by_id.where(f"{n} > 1").isEmpty():
+        stay = marked.select(*docs.columns)
+    else:
+        marked = materialize(marked, "marked")
+        stay = marked.where(f"{n} is null").union(marked.where(f"{n} > 1").dropDuplicates([id_col, text_col])).select(*docs.columns)
     return stay.union(docs.where(F.col(id_col).isNull()))

@@ -111,6 +111,33 @@ def test_near_duplicates_match_brute_force(spark, k, percent):
     assert got == brute_components(texts, k, percent)
 
 
+def test_buckets_of_several_components_are_settled_in_blocks(spark, monkeypatch):
+    """Versions of one text at all distances from it: buckets hold many components, in many blocks of rows and of bytes."""
+    monkeypatch.setattr(setsketch, "BLOCK", 16)
+    monkeypatch.setattr(setsketch, "BLOCK_BYTES", 16 * 800)
+    r = random.Random(9)
+    base, texts = prose(100, r).split(), []
+    for i in range(260):
+        words = list(base if i % 2 else texts[r.randrange(len(texts))].split() if texts else base)
+        for _ in range(i % 7):
+            words[r.randrange(len(words))] = f"edit{r.randrange(99)}"
+        texts.append(" ".join(words))
+    want = brute_components(texts, 3, 85)
+    assert 20 < len({c for _, _, c, _ in want}) < 200
+    assert sorted(tuple(x) for x in setsketch.near_duplicates(docs(spark, texts), k=3, percent=85).collect()) == want
+
+
+def test_deduplication_keeps_one_of_repeated_rows(spark):
+    """Clashing names, null ids and texts, a group of copies, rows repeated whole, and one id with two texts."""
+    base = prose(40)
+    rows = [(1, base), (1, base), (2, base), (3, None), (3, None), (4, ""), (None, base), (5, prose(40)), (5, "other words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"id": F.lit(1), "KEPT": F.lit(False), "n": F.lit(7), "_id": F.lit(0)})
+    out = setsketch.deduplicated(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "-") for r in out.collect()) == sorted([(0, base), (1, base), (3, "-"), (4, "-"), (5, rows[7][1]), (5, "other words")])
+    assert setsketch.deduplicated(df.limit(0)).count() == 0
+
+
 def test_sketches_merge_and_estimate():
     r = np.random.default_rng(0)
     pool = r.integers(0, 2**63, 3000).astype(np.uint64)
