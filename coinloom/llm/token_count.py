@@ -1,16 +1,20 @@
 """Token counts by finite-state transducers with emitted-token counts, composed over chunks by a parallel prefix scan.
 
 Two machines in cascade stand for a word-level BPE tokenizer. The first reads character classes and marks where
-pre-tokens start; its chunks are state maps, which compose associatively. The second is the lexicon: a word's path
-ends in a transition that emits as many tokens as the word has; paths are compiled as words appear, within a bound.
+pre-tokens start; its chunks are state maps, which compose associatively. The second reads the bytes of a pre-token and is
+compiled from the vocabulary and the merges: a transition's label is by how many tokens the word's count changes. It starts
+anew with each pre-token, so the marks of the first are all that chunks have to tell each other. No text is given to a
+tokenizer's library, which only normalizes characters beyond Latin ones.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import unicodedata
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +23,10 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches
 
-CHUNK, LEXICON = 512, 1_000_000
+CHUNK = 512
+#: Words whose counts a task keeps, and states that its machine keeps; beyond, it starts anew and compiles what it meets.
+LEXICON, STATES = 1_000_000, 300_000
+LAST = 256  # added to the last byte of a word, a symbol of its own
 # Classes of characters, and states of the pre-token machine. Contractions are 's 't 'm 'd 're 've 'll.
 GAP, LETTER, DIGIT, OTHER, QUOTE, SHORT, C_R, C_V, C_L, C_E = range(10)
 OPEN, IN_WORD, IN_OTHER, QUOTED, Q_R, Q_V, Q_L = range(7)
@@ -96,6 +103,129 @@ def starts_by_scan(classes: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     return starts
 
 
+def byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 for itself, and for the
+    others, in order, the characters from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+class WordMachine:
+    """A deterministic transducer from the bytes of a word to its number of BPE tokens, compiled transition by transition.
+
+    The tokens of a word's prefix, taken as if no more came, end in one token; before it lie the tokens of a shorter prefix. So
+    the last token of a longer prefix is the one vocabulary entry that ends there and may follow the last token of
+    the prefix before it. A state is therefore the longest end of what was read that may begin an entry, and for it and
+    each shorter such end: the last token of the prefix before that end, and that prefix's count less the present one. Such
+    ends are no longer than entries are, so the states are finitely many; those that words reach are compiled.
+    """
+
+    def __init__(self, model: dict):
+        vocab, byte = model["vocab"], byte_of()
+        self.rank, self.left, self.right = [-1] * len(vocab), [0] * len(vocab), [0] * len(vocab)
+        self.merges: dict[tuple[int, int], int] = {}
+        for rank, pair in enumerate(model["merges"]):
+            a, b = pair.split(" ") if isinstance(pair, str) else pair
+            both = vocab[a + b]
+            self.rank[both], self.left[both], self.right[both] = rank, vocab[a], vocab[b]
+            self.merges[vocab[a], vocab[b]] = rank
+        # A trie of the entries by symbols; shorter[n] is the node of the longest proper end of n's symbols in the trie.
+        self.after, self.entry, self.depth = [{}], [-1], [0]
+        for word, i in vocab.items():
+            symbols = [byte[c] for c in word.removesuffix("</w>")]
+            symbols[-1] += LAST * word.endswith("</w>")
+            at = 0
+            for x in symbols:
+                if x not in self.after[at]:
+                    self.after[at][x] = len(self.after)
+                    self.after.append({}), self.entry.append(-1), self.depth.append(self.depth[at] + 1)
+                at = self.after[at][x]
+            self.entry[at] = i
+        self.shorter = [0] * len(self.after)
+        queue = deque(self.after[0].values())
+        while queue:
+            at = queue.popleft()
+            for x, to in self.after[at].items():
+                self.shorter[to] = self.follow(self.shorter[at], x)
+                queue.append(to)
+        self.shared: dict[tuple[int, int], tuple[int, int]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.states = {(0, ((-1, 0),)): 0}
+        self.meaning = list(self.states)
+        self.step: dict[int, tuple[int, int]] = {}
+        self.adjacent: dict[tuple[int, int], bool] = {}
+
+    def follow(self, node: int, symbol: int) -> int:
+        """The node of the longest end of (node's symbols, symbol) in the trie."""
+        while symbol not in self.after[node]:
+            if not node:
+                return 0
+            node = self.shorter[node]
+        return self.after[node][symbol]
+
+    def may_follow(self, a: int, b: int) -> bool:
+        """Whether a text that is the entries a and b has just these two as tokens: that is, no merge joins what ends a and
+        what begins b, at a time when both are there. Time is undone: of the two, the part made later goes first."""
+        before = 2 * len(self.rank)
+        while True:
+            across = self.merges.get((a, b))
+            if across is not None and 2 * across < before:
+                return False
+            if self.rank[a] > self.rank[b]:
+                before, a = 2 * self.rank[a], self.right[a]
+            elif self.rank[b] >= 0:  # of equal merges the left one comes first, so one across comes before one in b
+                before, b = 2 * self.rank[b] + 1, self.left[b]
+            else:
+                return True
+
+    def compile(self, state: int, symbol: int) -> tuple[int, int]:
+        """(next state, change of the count) of a transition that no word took before."""
+        node, known = self.meaning[state]
+        at, n = {}, node  # by the length of an end: (last token before it, that prefix's count less the present one)
+        for pair in known:
+            at[self.depth[n]] = pair
+            n = self.shorter[n]
+        to = n = self.follow(node, symbol)
+        while n:
+            token = self.entry[n]
+            if token >= 0:
+                last, count = at[self.depth[n] - 1]
+                if last < 0 or self.adjacent_pair(last, token):
+                    break
+            n = self.shorter[n]
+        else:
+            raise ValueError("a byte without an entry of its own")
+        change, ends, n = count + 1, [], to
+        while n:
+            last, count = at[self.depth[n] - 1]
+            ends.append((last, count - change))
+            n = self.shorter[n]
+        ends.append((token, 0))
+        meaning = (0, ()) if symbol >= LAST else (to, tuple(self.shared.setdefault(e, e) for e in ends))
+        number = self.states.setdefault(meaning, len(self.meaning))
+        if number == len(self.meaning):
+            self.meaning.append(meaning)
+        self.step[state << 9 | symbol] = number, change
+        return number, change
+
+    def adjacent_pair(self, a: int, b: int) -> bool:
+        if (a, b) not in self.adjacent:
+            self.adjacent[a, b] = self.may_follow(a, b)
+        return self.adjacent[a, b]
+
+    def count(self, word: bytes) -> int:
+        """The sum of what the transitions of a word emit."""
+        if len(self.meaning) > STATES:
+            self.clear()
+        state, total, step = 0, 0, self.step
+        for symbol in (*word[:-1], word[-1] + LAST):
+            state, change = step.get(state << 9 | symbol) or self.compile(state, symbol)
+            total += change
+        return total
+
+
 class Counter:
     """Counts tokens as the tokenizers library gives them for a BPE json with word ends, such as lower-cased word BPE."""
 
@@ -103,11 +233,11 @@ class Counter:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library = Tokenizer.from_file(path)
-        ends = [i for word, i in self.library.get_vocab(with_added_tokens=False).items() if word.endswith("</w>")]
-        self.ends = np.zeros(self.library.get_vocab_size(), bool)
-        self.ends[ends] = True
-        self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or r"(?!)")
+        self.normalizer = Tokenizer.from_file(path).normalizer
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        self.machine = WordMachine(told["model"])
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in told["added_tokens"]) or r"(?!)")
         self.lexicon: dict[str, int] = {}
 
     def normal(self, text: str) -> str:
@@ -116,17 +246,7 @@ class Counter:
             return text.lower()
         if max(text) < "ɐ" and unicodedata.is_normalized("NFC", text):
             return text.lower()
-        return self.library.normalizer.normalize_str(text)
-
-    def compile(self, words: set[str]) -> None:
-        """Add the words' paths to the lexicon: the count on a word's last transition is its number of tokens."""
-        fresh = sorted(words)
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            last = np.flatnonzero(self.ends[self.library.encode(" ".join(part), add_special_tokens=False).ids])
-            if len(last) != len(part):
-                raise ValueError("a word has no end token, or more than one")
-            self.lexicon.update(zip(part, np.diff(last, prepend=-1).tolist(), strict=True))
+        return self.normalizer.normalize_str(text)
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text; special strings count one each."""
@@ -151,7 +271,7 @@ class Counter:
             if len(self.lexicon) + len(missing) > LEXICON:  # start anew with the words of these texts
                 self.lexicon.clear()
                 missing = set(words)
-            self.compile(missing)
+            self.lexicon.update((w, self.machine.count(w.encode())) for w in missing)
             emitted = [self.lexicon[w] for w in words]
         bounds = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
         sums = np.concatenate([[0], np.cumsum(np.array(emitted, np.int64))])
@@ -167,7 +287,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """(doc_id, n_bytes, n_tokens, over_limit) for each row; null and empty texts have 0 of both.
 
     Each row is counted where it is read: one pass, no shuffle, memory bounded by `portion` characters of text (or one
-    longer text) and LEXICON words. path: the tokenizer's json, on every executor.
+    longer text), LEXICON words and STATES states. path: the tokenizer's json, on every executor. Repeated rows get equal
+    results, a null id stays null, an empty table gives an empty one, and columns other than the two named aren't read.
     """
     bounded_batches(docs.sparkSession)
 
