@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,41 +15,54 @@ REVISIT_BYTES = 100
 CRLF = "\r\n"
 
 
-def header(kind: Column, page: Column, url: Column, digest: Column, size: Column, refers_to: Column) -> Column:
-    """A record's header block, with the empty line that ends it. A null page or url gives an empty value; line ends in a
-    url become %0D and %0A, as a header line can't hold them."""
+def record_id(page: Column, row: Column) -> Column:
+    """Pages may repeat, so the row's number is part of it."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(":"), row.cast("string"), F.lit(">"))
+
+
+def header(kind: Column, own: Column, url: Column, digest: Column, size: Column, refers_to: Column, date: str) -> Column:
+    """A record's header block, with the empty line that ends it. A null url gives an empty value; line ends in a url become
+    %0D and %0A, as a header line can't hold them. own and refers_to are record ids."""
     clean = F.replace(F.replace(F.coalesce(url, F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    number = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    revisit = F.when(kind == "revisit", F.concat(F.lit(f"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{CRLF}WARC-Refers-To: <urn:page:"), number(refers_to), F.lit(f">{CRLF}"))).otherwise(F.lit(""))
+    revisit = F.when(kind == "revisit", F.concat(F.lit(f"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{CRLF}WARC-Refers-To: "), refers_to, F.lit(CRLF))).otherwise(F.lit(""))
     return F.concat(
-        F.lit(f"WARC/1.1{CRLF}WARC-Type: "), kind, F.lit(f"{CRLF}WARC-Record-ID: <urn:page:"), number(page), F.lit(f">{CRLF}WARC-Target-URI: "), clean,
+        F.lit(f"WARC/1.1{CRLF}WARC-Type: "), kind, F.lit(f"{CRLF}WARC-Record-ID: "), own, F.lit(f"{CRLF}WARC-Date: {date}{CRLF}WARC-Target-URI: "), clean,
         F.lit(f"{CRLF}WARC-Payload-Digest: sha256:"), digest, F.lit(CRLF), revisit, F.lit(f"Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.when(kind == "revisit", F.lit("0")).otherwise(size.cast("string")), F.lit(f"{CRLF}X-Payload-Length: "), size.cast("string"), F.lit(CRLF * 2),
     )
 
 
-def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
+def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str | None = None) -> None:
     """Write path/headers (page_id, digest, header) and path/payloads (digest, payload), a row of payloads for each digest.
 
     Null payloads count as empty. Of equal payloads of at least REVISIT_BYTES the record of the smallest page_id is the
-    response and others revisit it; rows that repeat that page_id are responses too; null page_ids come last. Two payloads
-    of one digest that differ in length or in a second hash stop the job.
+    response and others revisit it; rows that repeat that page_id are responses too; null page_ids come last, and are
+    responses where no page has an id. Two payloads of one digest that differ in length or in a second hash stop the
+    job. Every record has an id of its own, and date (UTC; now where it is None) as WARC-Date. An empty table gives
+    an empty archive; other columns aren't kept.
     """
+    spark = pages.sparkSession
+    date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    zstd = lambda df, name: df.write.option("compression", "zstd").parquet(f"{path}/{name}")
     body = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("long"))
-    seen = rows.select("page_id", "digest", "size", F.xxhash64("payload").alias("check"))
-    first = seen.groupBy("digest").agg(F.min("page_id").alias("first"), F.min("size").alias("a"), F.max("size").alias("b"), F.min("check").alias("c"), F.max("check").alias("d"))
-    sound = F.when((F.col("a") == F.col("b")) & (F.col("c") == F.col("d")), F.col("first")).otherwise(F.raise_error(F.lit("different payloads have one digest")).cast("long"))
-    first.select("digest", sound.alias("first")).write.option("compression", "zstd").parquet(f"{path}/firsts")
-    first = pages.sparkSession.read.parquet(f"{path}/firsts")
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    # payloads are hashed once; what follows moves narrow rows, numbered as written
+    zstd(rows.select("page_id", "url", "digest", F.octet_length("payload").cast("long").alias("size"), F.xxhash64("payload").alias("check"), F.monotonically_increasing_id().alias("row")), "seen")
+    seen = spark.read.parquet(f"{path}/seen")
+    order = F.struct(F.col("page_id").isNull(), "page_id", "row")
+    first = seen.groupBy("digest").agg(F.min(order).alias("f"), F.min("size").alias("a"), F.max("size").alias("b"), F.min("check").alias("c"), F.max("check").alias("d"))
+    sound = F.when((F.col("a") == F.col("b")) & (F.col("c") == F.col("d")), F.col("f.row")).otherwise(F.raise_error(F.lit("different payloads have one digest")).cast("long"))
+    zstd(first.select("digest", F.col("f.page_id").alias("first"), sound.alias("first_row")), "firsts")
+    first = spark.read.parquet(f"{path}/firsts")
     other = (F.col("size") >= REVISIT_BYTES) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     kind = F.when(other, F.lit("revisit")).otherwise(F.lit("response"))
-    records = rows.select("page_id", "url", "digest", "size").join(first, "digest")
-    records.select("page_id", "digest", header(kind, F.col("page_id"), F.col("url"), F.col("digest"), F.col("size"), F.col("first")).alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
-    # Only the row of a payload's first page brings its bytes on; dealt by digest alone, so that taking one of repeated
-    # rows needs no further shuffle.
-    first = first.select(F.col("digest").alias("_digest"), F.col("first"))
-    owners = rows.select("page_id", "digest", "payload").join(first, (F.col("digest") == F.col("_digest")) & (F.coalesce(F.col("page_id") - F.col("first"), F.lit(0)) == 0), "left_semi")
-    owners.select("digest", "payload").dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/payloads")
+    told = header(kind, record_id(F.col("page_id"), F.col("row")), F.col("url"), F.col("digest"), F.col("size"), record_id(F.col("first"), F.col("first_row")), date)
+    zstd(seen.join(first, "digest").select("page_id", "digest", told.alias("header")), "headers")
+    # Only rows of a payload's first page bring its bytes on. Dealt by digest and page, so that copies of a common payload
+    # spread; only rows that repeat page and payload meet, and of these one stays without a further shuffle.
+    page = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    first = first.select("digest", page(F.col("first")).alias("page"))
+    owners = rows.select(page(F.col("page_id")).alias("page"), "digest", "payload").join(first, ["digest", "page"], "left_semi")
+    zstd(owners.dropDuplicates(["digest", "page"]).select("digest", "payload"), "payloads")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -60,23 +74,36 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def record_bytes(records: DataFrame) -> DataFrame:
     """With record: the bytes of the WARC record, header, block and two line ends; a revisit's block is empty."""
-    block = F.when(field("WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
+    block = F.when(field("header", "WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
     return records.withColumn("record", F.concat(F.encode("header", "UTF-8"), block, F.lit(CRLF * 2).cast("binary")))
 
 
-def field(name: str) -> Column:
+def parsed(records: DataFrame) -> DataFrame:
+    """records (record, and others) with head, the header block read from the record's bytes, and block, the bytes that its
+    Content-Length tells. A record that doesn't end two line ends after its block stops the job."""
+    head = F.substring_index(F.decode("record", "UTF-8"), CRLF * 2, 1)
+    out = records.withColumn("head", head).withColumns({"_at": F.octet_length("head") + 4, "_n": field("head", "Content-Length").cast("int")})
+    whole = F.octet_length("record") == F.col("_at") + F.col("_n") + 4
+    block = F.when(whole, F.expr("substring(record, _at + 1, _n)")).otherwise(F.raise_error(F.lit("a record of another length than it tells")).cast("binary"))
+    return out.withColumn("block", block).drop("_at", "_n")
+
+
+def field(column: str, name: str) -> Column:
     """A header field's value."""
-    return F.regexp_extract("header", rf"(?m)^{name}: ([^\r\n]*)", 1)
+    return F.regexp_extract(column, rf"(?m)^{name}: ([^\r\n]*)", 1)
 
 
 def archived(pages: DataFrame, **columns) -> DataFrame:
-    """Write pages to an archive in the shared folder, read it back, and tell for each record what its header says:
-    (page_id, payload_bytes, payload_digest, record_type, refers_to). Length and digest are those of the payload as read."""
+    """Write pages to an archive in the shared folder, rebuild its records, and tell what each says as read from its bytes:
+    (page_id, payload_bytes, payload_digest, record_type, refers_to). A response's length and digest are those of its
+    block; a revisit's those of the payload that its digest leads to."""
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archive(pages, path, **columns)
-    target = F.regexp_extract(field("WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1)
-    return read_records(spark, path).select(
-        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
-        field("WARC-Type").alias("record_type"), F.when(target != "", target).cast("long").alias("refers_to"),
+    records = parsed(record_bytes(read_records(spark, path)))
+    payload = F.when(field("head", "WARC-Type") == "revisit", F.col("payload")).otherwise(F.col("block"))
+    target = F.regexp_extract(field("head", "WARC-Refers-To"), r"<urn:page:(-?\d+):", 1)
+    return records.select(
+        "page_id", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"),
+        field("head", "WARC-Type").alias("record_type"), F.when(target != "", target).cast("long").alias("refers_to"),
     )
