@@ -57,7 +57,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y"))
     chosen = materialize(known.orderBy(F.xxhash64(F.lit(11), "_id"), "_id").limit(TRAINING_ROWS), "quality-sample")
     # at most TRAINING_ROWS rows
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col), "_y").mapInArrow(_features_of, "y double, f array<double>").collect()
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = texts.join(F.broadcast(chosen), "_id").select("_text", "_y").mapInArrow(_features_of, "y double, f array<double>").collect()
     y = np.array([r["y"] for r in rows])
     if not len(y) or y.min() == y.max():
         return np.zeros(len(NAMES)), 0.0, 0.0
@@ -100,37 +101,43 @@ def strength_of(groups: DataFrame, n: str, good: str, rate: str) -> float:
     return float(min(max(mean * (1 - mean) / between, 2.0), 1000.0))
 
 
-def posteriors(scored: DataFrame, prior: float) -> tuple[DataFrame, DataFrame, float]:
-    """Rates of good documents: (host, host_rate), (host, path, path_rate) and the world's rate.
+def posteriors(scored: DataFrame, prior: float) -> tuple[DataFrame, float, float]:
+    """Sums over all documents, and how many documents each prior weighs: (host, path, n, good, host_n, host_good, all_n,
+    all_good), the strength of the world's rate over hosts, and of a host's over its paths.
 
     Every document counts with its own probability. Paths are summed first and hosts from paths, so one pass of partial
-    aggregates does it, whatever the size of a host; sparse paths shrink toward their host and sparse hosts to the world.
+    aggregates does it, whatever the size of a host.
     """
     good = 1 / (1 + F.exp(-(F.col("ratio") + F.lit(prior))))
     paths = materialize(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(good).alias("good")), "paths")
-    total, all_good = paths.agg(F.sum("n"), F.sum("good")).first()
-    world = float((all_good or 0.0) + 1.0) / float((total or 0) + 2.0)
-    hosts = materialize(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("world", F.lit(world)), "hosts")
-    by_host = strength_of(hosts, "n", "good", "world")
-    hosts = hosts.select("host", shrunk(F.col("n"), F.col("good"), F.col("world"), F.lit(by_host)).alias("host_rate"))
-    joined = materialize(paths.join(hosts.withColumnRenamed("host", "_host"), F.expr("host <=> _host")).drop("_host"), "rated")
-    by_path = strength_of(joined, "n", "good", "host_rate")
-    rated = materialize(joined.select("host", "path", "host_rate", shrunk(F.col("n"), F.col("good"), F.col("host_rate"), F.lit(by_path)).alias("path_rate")), "rated")
-    return hosts, rated, world
+    total, all_good = paths.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0.0))).first()
+    hosts = materialize(paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good")), "hosts")
+    world = F.lit((all_good + 1.0) / (total + 2.0))
+    by_host = strength_of(hosts.withColumn("world", world), "host_n", "host_good", "world")
+    joined = paths.join(hosts.withColumnRenamed("host", "_host"), F.expr("host <=> _host")).drop("_host")
+    joined = materialize(joined.withColumns({"all_n": F.lit(total), "all_good": F.lit(all_good)}), "sums")
+    rated = joined.withColumn("host_rate", shrunk(F.col("host_n"), F.col("host_good"), world, F.lit(by_host)))
+    return joined, by_host, strength_of(rated, "n", "good", "host_rate")
 
 
 def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.5) -> DataFrame:
     """(doc_id, host, path, evidence, host_rate, path_rate, score, kept) for each row of docs.
 
-    score is the posterior probability of good: the text's evidence over the odds of its path. Texts are read once; what
-    follows moves four narrow columns. Null and empty texts count as a text of no words; null hosts and paths are a host and
-    a path; repeated rows each count. Without usable labels the score is the path's rate.
+    score is the posterior probability of good: the text's evidence over the odds of its path. A path's rate shrinks toward
+    its host's and a host's toward the world's; all three are those of the other documents, so that no evidence counts twice.
+    Texts are read once; what follows moves four narrow columns. Null and empty texts count as a text of no words; null
+    hosts and paths are a host and a path; repeated rows each count. Without usable labels the score is the path's rate. An
+    empty table gives an empty one; columns other than those named aren't read.
     """
     model = train(docs, labels, id_col, text_col, label_col)
     scored = materialize(evidence(docs, host, path, model, id_col, text_col), "evidence")
-    _, rated, _ = posteriors(scored, model[2])
-    rated = rated.withColumnRenamed("host", "_host").withColumnRenamed("path", "_path")
-    out = scored.join(rated, F.expr("host <=> _host and path <=> _path"), "left").drop("_host", "_path")
+    sums, by_host, by_path = posteriors(scored, model[2])
+    sums = sums.withColumnRenamed("host", "_host").withColumnRenamed("path", "_path")
+    out = scored.join(sums, F.expr("host <=> _host and path <=> _path"), "left").drop("_host", "_path")
+    own = 1 / (1 + F.exp(-(F.col("ratio") + F.lit(model[2]))))
+    others = lambda n, good, rate, strength: shrunk(F.col(n) - 1, F.greatest(F.col(good) - own, F.lit(0.0)), rate, F.lit(strength))
+    world = (F.greatest(F.col("all_good") - own, F.lit(0.0)) + 1.0) / (F.col("all_n") + 1.0)
+    out = out.withColumn("host_rate", others("host_n", "host_good", world, by_host)).withColumn("path_rate", others("n", "good", F.col("host_rate"), by_path))
     odds = F.col("ratio") + F.log(F.col("path_rate") / (1 - F.col("path_rate")))
     score = 1 / (1 + F.exp(-odds))
     return out.select("doc_id", "host", "path", F.col("ratio").alias("evidence"), "host_rate", "path_rate", score.alias("score"), (score >= threshold).alias("kept"))
