@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, mix64, portions, utf8
+from .common import bounded_batches, materialize, mix64, portions, unused, utf8
 
 REACH = 24
 #: The shortest run of repeated chunks, in bytes, that is cut out.
@@ -127,31 +127,33 @@ def runs(spans: list[dict], min_run: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if b - a >= min_run]
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """docs with repeated passages cut out of text_col, and _removed, the cut (start, end) byte spans of the old text.
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN, removed_col: str = "_removed") -> DataFrame:
+    """docs with repeated passages cut out of text_col, and removed_col (a name that docs doesn't have): the cut (start, end)
+    byte spans of the old text.
 
     The first occurrence, by id and then place, stays whole; each later run of at least min_run bytes of repeated chunks goes.
     Rows with the same id count as one document for order, null ids as the smallest; repeated rows get equal results.
-    Null text stays null. A text that is a whole copy becomes empty.
+    Null text stays null. A text that is a whole copy becomes empty. An empty table gives an empty one.
     """
-    spans = repeated_spans(docs, id_col, text_col).select(F.col("id").alias("_span_id"), F.col("spans").alias("_spans"))
+    own, found = unused(docs, "span_id", "spans")
+    spans = repeated_spans(docs, id_col, text_col).select(F.col("id").alias(own), F.col("spans").alias(found))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    joined = docs.join(spans, key == F.col("_span_id"), "left").drop("_span_id")
+    joined = docs.join(spans, key == F.col(own), "left").drop(own)
     names = docs.columns
     at, texts = len(names), names.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _removed array<struct<start:int,end:int>>"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{removed_col}` array<struct<start:int,end:int>>"
 
     def run(batches):
         for batch in batches:
             new, gone = [], []
             for text, spans in zip(batch.column(texts).to_pylist(), batch.column(at).to_pylist(), strict=True):
-                found = runs(spans, min_run) if text else []
-                if found:
+                cut = runs(spans, min_run) if text else []
+                if cut:
                     raw = text.encode("utf-8", "surrogatepass")
-                    ends = [0, *(b for _, b in found)]
-                    text = b"".join(raw[a:b] for a, b in zip(ends, [*(a for a, _ in found), len(raw)], strict=True)).decode("utf-8", "replace")
-                new.append(text), gone.append([{"start": a, "end": b} for a, b in found])
+                    ends = [0, *(b for _, b in cut)]
+                    text = b"".join(raw[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(raw)], strict=True)).decode("utf-8", "replace")
+                new.append(text), gone.append([{"start": a, "end": b} for a, b in cut])
             columns = [pa.array(new, pa.string()) if i == texts else batch.column(i) for i in range(at)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], [*names, "_removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], [*names, removed_col])
 
-    return joined.select(*names, "_spans").mapInArrow(run, schema)
+    return joined.select(*names, found).mapInArrow(run, schema)

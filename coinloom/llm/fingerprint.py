@@ -70,7 +70,8 @@ def digests(texts: list[str]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint) of each row, as hex: where it is read, without a shuffle. Null text counts as empty."""
+    """(doc_id, fingerprint) of each row, as hex: where it is read, without a shuffle. Null text counts as empty; repeated rows
+    get equal fingerprints; an empty table gives an empty one."""
     bounded_batches(docs.sparkSession)
 
     def run(batches):
@@ -90,7 +91,7 @@ def edited(text: str, other: str) -> str:
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """For each row its fingerprint, that of its edited text, and the likeness to that and to the next row's fingerprint.
 
-    Rows are in ascending order of id, nulls first and ties by text; the row after the last is the first. One shuffle deals
+    Rows are in ascending order of id, nulls first and ties by a hash of the text; the row after the last is the first. One shuffle deals
     whole texts into ranges of ids; each range also gets a copy of the next range's first row, so it streams in
     order with one row held back. Nothing but the ranges' bounds reaches the driver. An empty table gives an
     empty one; a single row is its own next.
@@ -101,8 +102,9 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = rows.where("doc_id is not null").stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
     bounds = sorted({int(b) for b in bounds})
-    part = bucket_of(bounds)  # as many ranges as partitions
-    placed = rows.withColumn("part", part)
+    # as many ranges as partitions, and as many again for null ids, by the leading bits of the hash that orders them
+    nulls = F.shiftright(F.xxhash64("text"), 58).cast("int") + 32
+    placed = rows.withColumn("part", F.when(F.col("doc_id").isNull(), nulls).otherwise(bucket_of(bounds) + 64))
     order = F.struct("doc_id", F.xxhash64("text").alias("h"))
     firsts = placed.groupBy("part").agg(F.min(order).alias("first")).collect()
     heads = sorted(firsts, key=lambda r: r["part"])
@@ -126,7 +128,7 @@ def bucket_of(bounds: list[int]):
         mid = (lo + hi) // 2
         return F.when(F.col("doc_id") < bounds[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(tree(0, len(bounds))).cast("int")
+    return tree(0, len(bounds)).cast("int")
 
 
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

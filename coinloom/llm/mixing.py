@@ -63,25 +63,41 @@ def mix_plan(sized: DataFrame, weights: tuple = (1, 2, 3), max_epochs: float = 3
     return materialize(plan.join(last, F.expr("source <=> s"), "left").drop("s", "left"), "mix-plan")
 
 
+TOLD = ("size", "source_size", "target", "whole", "extra")
+
+
+def prefix(docs: DataFrame) -> str:
+    """What stands before the names that mix adds: an underscore, or as many as no column of docs begins with."""
+    p = "_"
+    while any(c.startswith(p) for c in docs.columns):
+        p += "_"
+    return p
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = (1, 2, 3), max_epochs: float = 3.0, seed: int = 17) -> DataFrame:
-    """docs with _size, _source_size, _target, _whole (copies) and _extra (words of one more, fractional repetition).
+    """docs with size, source_size, target, whole (copies) and extra (words of one more, fractional repetition), named after
+    prefix(docs): _size and so on, where no column of docs begins with an underscore.
 
     Sources by code point, null last, weigh `weights` in turn. Null text has size 0. A null source is a source. Repeated
     rows share a key and take equal parts. Null ids share a key too. An empty table gives an empty table.
     The texts are read twice (sizes, then the result) and never shuffled: the plan has one row for each source.
     """
+    p = prefix(docs)
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
     sized = materialize(docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), key.alias("key")), "sized")
-    plan = mix_plan(sized, weights, max_epochs).select(*(F.col(c).alias(f"_{c}") for c in ("source", "source_size", "target", "whole", "cut_key", "cut_words")))
+    plan = mix_plan(sized, weights, max_epochs).select(*(F.col(c).alias(f"{p}{c}") for c in ("source", "source_size", "target", "whole", "cut_key", "cut_words")))
     # Spark broadcasts the plan where its measured size allows, and joins by sorting, with hot sources split, where not.
-    out = docs.withColumn("_size", n_words(F.col(text_col))).withColumn("_key", key).join(plan, F.col(source_col).eqNullSafe(F.col("_source")), "left")
-    extra = F.when(F.col("_key") < F.col("_cut_key"), F.col("_size")).when(F.col("_key") == F.col("_cut_key"), F.least("_size", "_cut_words")).otherwise(F.lit(0).cast("long"))
-    return out.withColumn("_extra", extra).drop("_source", "_key", "_cut_key", "_cut_words")
+    size, own, cut = f"{p}size", F.col(f"{p}key"), F.col(f"{p}cut_key")
+    out = docs.withColumn(size, n_words(F.col(text_col))).withColumn(f"{p}key", key).join(plan, F.col(source_col).eqNullSafe(F.col(f"{p}source")), "left")
+    extra = F.when(own < cut, F.col(size)).when(own == cut, F.least(size, f"{p}cut_words")).otherwise(F.lit(0).cast("long"))
+    return out.withColumn(f"{p}extra", extra).select(*docs.columns, *(f"{p}{c}" for c in TOLD))
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each document's row as often as it is taken; the one fractional repetition of a source counts
-    where it covers half of its document. Columns are those of docs."""
+    where it covers half of its document. Columns are those of docs. Documents of size 0 come as often as their source's
+    whole copies, and not at all where nothing has a size."""
+    p = prefix(docs)
     taken = mix(docs, **how)
-    copies = F.col("_whole") + (F.col("_extra") * 2 >= F.greatest(F.col("_size"), F.lit(1))).cast("long")
-    return taken.withColumn("_copies", copies).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    copies = F.col(f"{p}whole") + (F.col(f"{p}extra") * 2 >= F.greatest(F.col(f"{p}size"), F.lit(1))).cast("long")
+    return taken.withColumn(f"{p}n", copies).where(F.col(f"{p}n") > 0).withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{p}n")))).select(*docs.columns)

@@ -67,13 +67,15 @@ def pieces(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, id_co
 def pack(cut: DataFrame) -> DataFrame:
     """Pieces -> with sequence_id and offset. Pieces of equal length lie in one bucket with adjacent sequence ids, in the order
     of document and place, so a batch of adjacent sequences has one length and nothing is padded; no sequence crosses documents.
+    Repeated rows and rows with a null id (first in their bucket) are pieces of their own; no pieces give an empty table.
     """
     order = [F.col("length"), F.col("doc_id").asc_nulls_first(), F.col("start")]
     return ordered_rank(cut, order, "sequence_id").withColumn("offset", F.lit(0).cast("long"))
 
 
 def packed(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, **how) -> DataFrame:
-    """The packing of docs with the checksum of each piece's ids in place of the ids."""
+    """The packing of docs with the checksum of each piece's ids in place of the ids. Null and empty texts have one id, hence
+    one piece; repeated rows are packed as often as they come; other columns aren't read; an empty table gives an empty one."""
     cut = pieces(docs, json_path, ranks_path, pattern, **how)
     cut = materialize(cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"), "pieces")
     return pack(cut).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
