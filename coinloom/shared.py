@@ -12,10 +12,18 @@ _OWN_DIRS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """This application's folder in the one that driver and executors share, spark.checkpoint.dir; it can go when the
+    application has ended. Where that is unset, a local master (tests) gets a temporary folder; a cluster gets an error, as its
+    executors would write where nobody else can read."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     app = spark.sparkContext.applicationId
-    return found or _OWN_DIRS.setdefault(app, tempfile.mkdtemp(prefix="spark-"))
+    if found:
+        return f"{found.rstrip('/')}/{app}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="spark-")
+    return _OWN_DIRS[app]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
