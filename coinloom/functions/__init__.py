@@ -1,11 +1,11 @@
-"""Column functions: identifiers, votes, extension fields, registers, prices and calendars. All but decode_slong are built-in."""
+"""Column functions: identifiers, votes, extension fields, registers, prices and calendars. All are built-in."""
 
 from __future__ import annotations
 
-import pandas as pd
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from ..constants import DAY_MS, DEFAULT_RC_PRICE, MINER, MINER_PREFIX, OTHER, P2PK, WEEK_MS
 
@@ -49,19 +49,17 @@ def has_register(registers: Column, name: str) -> Column:
     return F.coalesce(F.get_json_object(registers, f"$.{name}").isNotNull(), F.lit(False))
 
 
-@F.pandas_udf(LongType())
-def decode_slong(hexes: pd.Series) -> pd.Series:
-    """A serialized long: type byte 05, then a zig-zag number in groups of seven bits. Anything else gives null."""
-    out = []
-    for text in hexes:
-        try:
-            data = bytes.fromhex(text)
-        except (TypeError, ValueError):
-            data = b""
-        ok = len(data) > 1 and data[0] == 5 and len(data) <= 11 and data[-1] < 128 and all(b > 127 for b in data[1:-1])
-        n = sum((b & 127) << 7 * i for i, b in enumerate(data[1:])) if ok else 0
-        out.append((n >> 1) ^ -(n & 1) if ok else None)
-    return pd.Series(out, dtype="Int64")
+#: Bytes of a long's groups: all but the last have their high bit set, and ten of them hold 64 bits at most.
+SLONG = "^05(([89a-f][0-9a-f]){0,8}[0-7][0-9a-f]|([89a-f][0-9a-f]){9}0[01])$"
+
+
+def decode_slong(hexes: Column | str) -> Column:
+    """A serialized long: type byte 05, then a zig-zag number in groups of seven bits. Anything else, and what needs more than
+    64 bits, gives null."""
+    text = F.lower(F.col(hexes) if isinstance(hexes, str) else hexes)
+    group = lambda i: F.coalesce(F.conv(F.substring(text, 2 * i + 3, 2), 16, 10).cast("long"), F.lit(0)).bitwiseAND(F.lit(127))
+    n = functools.reduce(lambda a, i: a.bitwiseOR(F.shiftleft(group(i), 7 * i)), range(1, 10), group(0))
+    return F.when(text.rlike(SLONG), F.shiftrightunsigned(n, 1).bitwiseXOR(-n.bitwiseAND(F.lit(1).cast("long"))))
 
 
 def rc_price(oracle: Column, circ_sc: Column, circ_rc: Column, reserves: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import materialize
-from .helpers import prefix_sum
 
 
 def erg_balances(diffs: DataFrame, at_height: int | None = None) -> DataFrame:
@@ -59,21 +58,21 @@ def balance_changes(diffs: DataFrame, value: str = "nano", keys: tuple = ("addre
     return run.where("old <> 0 or new <> 0").select(*keys, "height", "old", "new", kind.alias("kind"))
 
 
-def live_steps(diffs: DataFrame, headers: DataFrame) -> DataFrame:
+def live_steps(diffs: DataFrame, headers: DataFrame, span: int = 1000) -> DataFrame:
     """(address_id, step, credit, timestamp, debit): an address's credits after its last zero balance, in order, each with the sum
     of the debits that follow it. Debits before the first credit are a step without one.
 
-    Balances and counts of credits are two-level prefix sums over blocks, and windows within an address's block, so a busy
+    Balances and counts of credits are sums over spans of heights and running windows within an address's span, so a busy
     address is dealt out like the others.
     """
-    key = ["address_id", "height"]
-    rows = diffs.join(headers.select("height", "timestamp"), "height").select(*key, "tx_idx", "nano", "timestamp", (F.col("nano") > 0).cast("long").alias("is_credit"))
+    key = ["address_id", "span"]
+    rows = diffs.join(headers.select("height", "timestamp"), "height").select("address_id", F.floor(F.col("height") / span).alias("span"), "height", "tx_idx", "nano", "timestamp", (F.col("nano") > 0).cast("long").alias("credits"))
     rows = materialize(rows, "dated")
-    block = rows.groupBy(*key).agg(F.sum("nano").alias("balance"), F.sum("is_credit").alias("step"))
-    later = Window.partitionBy(*key).orderBy("tx_idx").rowsBetween(1, Window.unboundedFollowing)
-    up_to = lambda end, c: (F.col(end) - F.coalesce(F.sum(c).over(later), F.lit(0))).alias(end)
-    run = rows.join(prefix_sum(block, "height", ["balance", "step"], ["address_id"]), key)
-    run = materialize(run.select(*key, "tx_idx", "nano", "timestamp", up_to("balance", "nano"), up_to("step", "is_credit")), "balances")
+    before = Window.partitionBy("address_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*key).agg(F.sum("nano").alias("n"), F.sum("credits").alias("c")).select(*key, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("n", "c")))
+    so_far = Window.partitionBy(*key).orderBy("height", "tx_idx").rowsBetween(Window.unboundedPreceding, 0)
+    run = rows.join(starts, key).select("address_id", "height", "tx_idx", "nano", "timestamp", (F.sum("nano").over(so_far) + F.col("n")).alias("balance"), (F.sum("credits").over(so_far) + F.col("c")).alias("step"))
+    run = materialize(run, "balances")
     at = F.struct("height", "tx_idx")
     zeros = run.where("balance = 0").groupBy("address_id").agg(F.max(at).alias("zero"))
     live = run.join(zeros, "address_id", "left").where(F.col("zero").isNull() | (at > F.col("zero")))
@@ -101,8 +100,8 @@ def mean_age(diffs: DataFrame, headers: DataFrame) -> DataFrame:
                     if current is not None and balance > 0:
                         out.append((current, balance, mean))
                     current, balance, mean = a, 0, 0
-                if credit > 0:
-                    mean = (mean * balance + t * credit) // (balance + credit)
+                if credit > 0:  # a debt paid off exactly leaves nothing whose age could be told
+                    mean = (mean * balance + t * credit) // (balance + credit) if balance + credit else 0
                 balance += credit + debit
             yield pd.DataFrame(out, columns=["address_id", "nano", "mean_age_timestamp"])
         if current is not None and balance > 0:

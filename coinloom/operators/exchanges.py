@@ -12,12 +12,12 @@ from .helpers import height_spine, prefix_sum
 
 def deposit_candidates(diffs: DataFrame, main: DataFrame, ignored: DataFrame | None = None) -> DataFrame:
     """(height, tx_idx, address_id, cex_ids): who pays in a transaction that credits a main exchange address, and which exchanges
-    it pays. main (address_id, cex_id) and ignored (address_id) are seeds of fixed size, so they are broadcast."""
-    to = diffs.where("nano > 0").join(F.broadcast(main.select("address_id", "cex_id")), "address_id")
+    it pays. main (address_id, cex_id) and ignored (address_id) join by shuffle unless Spark finds them small."""
+    to = diffs.where("nano > 0").join(main.select("address_id", "cex_id"), "address_id")
     to = to.groupBy("height", "tx_idx").agg(F.sort_array(F.collect_set("cex_id")).alias("cex_ids"))
-    payers = diffs.where((F.col("nano") < 0) & (F.col("address_id") != FEES)).join(F.broadcast(main.select("address_id")), "address_id", "left_anti")
+    payers = diffs.where((F.col("nano") < 0) & (F.col("address_id") != FEES)).join(main.select("address_id"), "address_id", "left_anti")
     if ignored is not None:
-        payers = payers.join(F.broadcast(ignored.select("address_id")), "address_id", "left_anti")
+        payers = payers.join(ignored.select("address_id"), "address_id", "left_anti")
     return payers.join(to, ["height", "tx_idx"]).select("height", "tx_idx", "address_id", "cex_ids")
 
 
@@ -44,11 +44,14 @@ def deposit_conflicts(candidates: DataFrame) -> DataFrame:
     return classified(candidates).where("conflict <> 'none'").select("address_id", "first_cex_id", F.col("spot_height").alias("deposit_spot_height"), "conflict_spot_height")
 
 
-def exchange_supply(diffs: DataFrame, main: DataFrame, deposits: DataFrame) -> DataFrame:
+def exchange_supply(diffs: DataFrame, main: DataFrame, deposits: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """(height, main, deposits): what main and deposit addresses hold at each height. The final deposit set counts from the start,
-    so history needs no patches. deposits grows with the ledger and joins by shuffle."""
-    part = lambda keys, name: diffs.join(keys.select("address_id"), "address_id", "left_semi").groupBy("height").agg(F.sum("nano").alias(name))
-    both = height_spine(diffs).join(part(main, "main"), "height", "left").join(part(deposits, "deposits"), "height", "left")
+    so history needs no patches. One join and one aggregate for both groups, which have no address in common; headers, where
+    given, tell the heights without a pass over diffs."""
+    keys = main.select("address_id", F.lit(True).alias("is_main")).distinct().unionByName(deposits.select("address_id", F.lit(False).alias("is_main")))
+    part = lambda own, name: F.sum(F.when(own, F.col("nano")).otherwise(0)).alias(name)
+    sums = diffs.join(keys, "address_id").groupBy("height").agg(part(F.col("is_main"), "main"), part(~F.col("is_main"), "deposits"))
+    both = height_spine(diffs if headers is None else headers).join(sums, "height", "left")
     return prefix_sum(both.na.fill(0), "height", ["main", "deposits"])
 
 

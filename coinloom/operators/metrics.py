@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import BANDS, EMISSION_CONTRACTS, P2PK, TREASURY, EMISSION
 from ..functions import type_of_id
+from ..shared import materialize
 from .balances import balance_changes
 from .helpers import height_spine, prefix_sum
 
@@ -38,23 +39,24 @@ def holder_buckets(balances: DataFrame) -> DataFrame:
     return balances.groupBy(type_of_id(F.col("address_id")).alias("type")).agg(*(F.count_if(F.col("nano") >= n).alias(k) for k, n in BANDS.items()))
 
 
-def address_counts_series(diffs: DataFrame) -> DataFrame:
+def address_counts_series(diffs: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """(height, type, counts by band) for every height: each block-end change of a balance adds or takes away one where it
-    crosses a band's edge, and prefix sums over heights turn changes into counts."""
+    crosses a band's edge, and prefix sums over heights turn changes into counts. headers, where given, tell the heights."""
     change = balance_changes(diffs)
     crossed = [((F.col("new") >= n).cast("int") - (F.col("old") >= n).cast("int")) for n in BANDS.values()]
     deltas = change.groupBy("height", type_of_id(F.col("address_id")).alias("type")).agg(*(F.sum(c).alias(k) for k, c in zip(BANDS, crossed, strict=True)))
-    every = height_spine(diffs).crossJoin(F.broadcast(diffs.sparkSession.range(1, 4).select(F.col("id").cast("int").alias("type"))))  # three types
+    every = height_spine(diffs if headers is None else headers).crossJoin(F.broadcast(diffs.sparkSession.range(1, 4).select(F.col("id").cast("int").alias("type"))))  # three types
     full = every.join(deltas, ["height", "type"], "left").na.fill(0)
     return prefix_sum(full, "height", list(BANDS), ["type"])
 
 
-def supply_composition(diffs: DataFrame) -> DataFrame:
-    """(height, p2pks, contracts, miners): what kinds of address hold, without the emission contracts, for every height."""
+def supply_composition(diffs: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """(height, p2pks, contracts, miners): what kinds of address hold, without the emission contracts, for every height.
+    headers, where given, tell the heights without a pass over diffs."""
     kind = type_of_id(F.col("address_id"))
     part = lambda t: F.sum(F.when(kind == t, F.col("nano")).otherwise(0))
     deltas = diffs.where(~F.col("address_id").isin(*EMISSION_CONTRACTS)).groupBy("height").agg(part(1).alias("p2pks"), part(3).alias("contracts"), part(2).alias("miners"))
-    return prefix_sum(height_spine(diffs).join(deltas, "height", "left").na.fill(0), "height", ["p2pks", "contracts", "miners"])
+    return prefix_sum(height_spine(diffs if headers is None else headers).join(deltas, "height", "left").na.fill(0), "height", ["p2pks", "contracts", "miners"])
 
 
 def rich_list(balances: DataFrame, limit: int, value: str = "nano", exclude: tuple = EMISSION_CONTRACTS, addresses: DataFrame | None = None) -> DataFrame:
@@ -77,7 +79,7 @@ def ranks(balances: DataFrame) -> DataFrame:
 def rank_of(balances: DataFrame, address_id: int) -> DataFrame:
     """(position, address_id, nano, rank) of a wallet and of its nearest neighbours: above and under it, of ties the lowest id.
     By counting: no order of all wallets is needed, and wallets that tie with the target are no neighbours."""
-    own = balances.where(type_of_id(F.col("address_id")) == P2PK)
+    own = materialize(balances.where(type_of_id(F.col("address_id")) == P2PK), "wallets")
     mine = own.where(F.col("address_id") == address_id).select(F.col("nano").alias("t"))
     both = own.crossJoin(F.broadcast(mine))  # one row at most
     found = both.agg(
@@ -91,8 +93,8 @@ def rank_of(balances: DataFrame, address_id: int) -> DataFrame:
 
 
 def tracklist(main: DataFrame, exchanges: DataFrame, balances: DataFrame) -> DataFrame:
-    """Main exchange addresses with their exchange and balance, zero where there is none. Both dimensions are seeds of fixed size."""
-    known = main.join(F.broadcast(exchanges), "cex_id")
+    """Main exchange addresses with their exchange and balance, zero where there is none. No side is broadcast unless Spark finds it small."""
+    known = main.join(exchanges, "cex_id")
     return known.join(balances, "address_id", "left").select("text_id", "name", "address_id", F.coalesce("nano", F.lit(0)).cast("long").alias("nano"))
 
 

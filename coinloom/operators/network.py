@@ -57,17 +57,26 @@ def proposals(votes: DataFrame, epoch_length: int = VOTING_EPOCH_LENGTH) -> Data
 
 def difficulty_24h(headers: DataFrame) -> DataFrame:
     """(height, difficulty_24h, hash_rate_24h) over the trailing day, both ends included: the mean rounds half to even, the rate
-    truncates over at least 120 seconds. Rows are dealt by day, each also to the next day as context, so windows stay
-    within a day's partition."""
-    day = F.floor(F.col("timestamp") / DAY_MS)
+    truncates over at least 120 seconds.
+
+    Each row also sends a probe to the time a day before. Rows and probes are dealt by day, rows to the next day as well, and
+    running sums up to the row and up to its probe differ by the trailing day's: linear in rows, however many a day has. The first
+    time within the day is the last one that a running window in descending order meets before the probe. Heights are unique.
+    """
+    day = lambda t: F.floor(t / DAY_MS)
     rows = headers.select("height", "timestamp", F.col("difficulty").cast("decimal(38,0)").alias("difficulty"))
-    both = rows.withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("day", day + F.when(F.col("own"), 0).otherwise(1))
-    w = Window.partitionBy("day").orderBy("timestamp").rangeBetween(-DAY_MS, 0)
-    out = both.select("height", "own", F.sum("difficulty").over(w).cast("decimal(38,0)").alias("s"), F.count("*").over(w).alias("n"), (F.col("timestamp") - F.min("timestamp").over(w)).alias("span")).where("own")
+    seen = rows.select(F.explode(F.array(day(F.col("timestamp")), day(F.col("timestamp")) + 1)).alias("day"), F.col("timestamp").alias("t"), F.lit(1).alias("kind"), "height", "difficulty", F.col("timestamp").alias("time"))
+    probes = rows.select(day(F.col("timestamp")).alias("day"), (F.col("timestamp") - DAY_MS).alias("t"), F.lit(0).alias("kind"), "height", F.lit(None).cast("decimal(38,0)").alias("difficulty"), F.lit(None).cast("long").alias("time"))
+    up = Window.partitionBy("day").orderBy("t", "kind").rangeBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("day").orderBy(F.desc("t"), F.desc("kind")).rangeBetween(Window.unboundedPreceding, 0)
+    run = seen.union(probes).withColumns({"s": F.coalesce(F.sum("difficulty").over(up), F.lit(0)).cast("decimal(38,0)"), "n": F.count("time").over(up), "from": F.last("time", ignorenulls=True).over(down)})
+    own, probe = (F.col("kind") == 1) & (day(F.col("t")) == F.col("day")), F.col("kind") == 0
+    pick = lambda c, when: F.max(F.when(when, F.col(c)))
+    out = run.groupBy("day", "height").agg((pick("s", own) - pick("s", probe)).cast("decimal(38,0)").alias("s"), (pick("n", own) - pick("n", probe)).alias("n"), (pick("t", own) - pick("from", probe)).alias("span")).where("n is not null")
     rate = F.expr("s div cast(greatest(span div 1000, 120) as decimal(20,0))")
     return out.select("height", F.expr("bround(s / cast(n as decimal(20,0)), 0)").cast("long").alias("difficulty_24h"), rate.cast("long").alias("hash_rate_24h"))
 
 
 def miner_labels(mining: DataFrame, known: DataFrame) -> DataFrame:
-    """mining with the names of known miners, a seed of fixed size."""
-    return mining.join(F.broadcast(known.select(F.col("address_id").alias("miner"), "name")), "miner", "left")
+    """mining with the names of known miners, null for others; Spark broadcasts the names only where their size allows."""
+    return mining.join(known.select(F.col("address_id").alias("miner"), "name"), "miner", "left")

@@ -10,7 +10,8 @@ from .helpers import interval_join
 
 
 def intervals(prices: DataFrame) -> DataFrame:
-    """(t0, p0, t1, p1, first): neighbouring points. A point an hour is a small table, so it is ordered as a whole."""
+    """(t0, p0, t1, p1, first): neighbouring points. Points are ordered as a whole by one task: a point an
+    hour, 8,760 a year, as the series is fetched; a finer series is to be brought to hours first."""
     w = Window.orderBy("timestamp")
     return prices.select(F.col("timestamp").alias("t0"), F.col("price").alias("p0"), F.lead("timestamp").over(w).alias("t1"), F.lead("price").over(w).alias("p1"), (F.row_number().over(w) == 1).alias("first"))
 

@@ -87,3 +87,34 @@ def boxes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def hourly_prices(spark, sf_dir) -> DataFrame:
     hour = (F.floor(F.col("timestamp") / 3_600_000) * 3_600_000).cast("long")
     return events(spark, sf_dir).where("event_type = 'view'").groupBy(hour.alias("timestamp")).agg(F.avg("value").alias("price"))
+
+
+BANK, BANK_NFT, SC, RC, ORACLE_NFT = 43, 1, 2, 3, 4
+
+
+def bank_boxes(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(inputs, outputs, data_inputs) with assets and registers: of each event a transaction with the bank's box (purchases mint, errors
+    redeem, clicks change nothing) or an oracle's (views, those with k not divisible by 3 with a data input). Users of even k
+    go through a service, which takes a fee."""
+    e = events(spark, sf_dir).where("event_type in ('purchase', 'error', 'click', 'view')").withColumns({"fee": F.col("amount") % 100 + 1, "user": F.col("user_id") * 10 + 1, "service": (F.col("user_id") % 70 + 1000) * 10 + 3})
+    asset = lambda i, n: F.struct(F.lit(i).cast("long").alias("asset_id"), F.lit(n).cast("long").alias("amount") if isinstance(n, int) else n.cast("long").alias("amount"))
+    none = F.array().cast("array<struct<asset_id:bigint,amount:bigint>>")
+    mint, redeem = F.col("event_type") == "purchase", F.col("event_type") == "error"
+    through = F.when(F.col("k") % 2 == 0, F.col("fee")).otherwise(0)
+    moved = F.when(mint, F.col("amount") * 1000).when(redeem, -F.col("amount") * 100).otherwise(0)
+    coins = F.when(mint, F.col("amount")).when(redeem, -F.col("amount")).otherwise(0)
+    hold = 10**9
+    box = lambda df, address, value, assets, registers=None: df.select("height", F.lit(0).cast("long").alias("tx_idx"), address.cast("long").alias("address_id"), value.cast("long").alias("value"), assets.alias("assets"), F.lit(None).cast("string").alias("registers") if registers is None else registers.alias("registers"))
+    bank, user = e.where("event_type <> 'view'"), e.where("event_type in ('purchase', 'error')")
+    own = F.col("amount") * 1000 + 1_000_000
+    inputs = box(bank, F.lit(BANK), F.lit(10**12), F.array(asset(BANK_NFT, 1), asset(SC, hold))).unionByName(box(user, F.col("user"), own, F.when(redeem, F.array(asset(SC, F.col("amount")))).otherwise(none)))
+    outputs = box(bank, F.lit(BANK), F.lit(10**12) + moved, F.array(asset(BANK_NFT, 1), asset(SC, F.lit(hold) - coins)))
+    outputs = outputs.unionByName(box(user, F.col("user"), own - moved - through, F.when(mint, F.array(asset(SC, F.col("amount")))).otherwise(none)))
+    outputs = outputs.unionByName(box(user.where("k % 2 = 0"), F.col("service"), F.col("fee"), none))
+    post = e.where("event_type = 'view'")
+    z = (F.col("amount") + 1) * 2
+    groups = [F.floor(z / 128**i).cast("long") for i in range(6)]
+    byte = lambda i: F.when(groups[i] > 0, F.lpad(F.hex(groups[i] % 128 + F.when(groups[i] >= 128, 128).otherwise(0)), 2, "0")).otherwise("")
+    told = F.concat(F.lit('{"R4": "05'), *map(byte, range(6)), F.lit('", "R5": "04"}'))
+    outputs = outputs.unionByName(box(post, F.lit(93), F.lit(1), F.array(asset(ORACLE_NFT, 1)), told))
+    return inputs, outputs, post.where("k % 3 <> 0").select("height", F.lit(0).cast("long").alias("tx_idx"), F.lit("x").alias("box_id"))

@@ -10,6 +10,7 @@ from ..constants import BANDS, PARAMETERS
 from ..operators import balances as bal
 from ..operators import bank, calendar, diffs, exchanges, metrics, network, prices
 from ..operators.helpers import height_spine
+from ..shared import materialize
 from ..sources import added, upserted
 from . import ledger as led
 
@@ -31,7 +32,7 @@ def query(sql: str | None = None):
 _SUP = "(l_suppkey + 1000000) * 10 + CASE WHEN l_suppkey % 10 = 9 THEN 2 ELSE 3 END"
 LINES = f"lines AS (SELECT CAST(datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1 AS BIGINT) AS height, o_orderkey AS tx_idx, o_custkey * 10 + 1 AS customer, {_SUP} AS supplier, l_partkey AS part, CAST(round(l_extendedprice * 100) AS BIGINT) AS nano, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 LEGS = f"{LINES}, legs AS (SELECT height, tx_idx, customer AS address_id, -nano AS nano FROM lines UNION ALL SELECT height, tx_idx, supplier, nano FROM lines UNION ALL SELECT 0, 0, c_custkey * 10 + 1, 1000000000 FROM customer)"
-DIFFS = f"{LEGS}, diffs AS (SELECT height, tx_idx, address_id, CAST(sum(nano) AS BIGINT) AS nano FROM legs GROUP BY ALL HAVING sum(nano) <> 0)"
+DIFFS = f"{LEGS}, diffs AS MATERIALIZED (SELECT height, tx_idx, address_id, CAST(sum(nano) AS BIGINT) AS nano FROM legs GROUP BY ALL HAVING sum(nano) <> 0)"
 BAL = f"{DIFFS}, balances AS (SELECT address_id, CAST(sum(nano) AS BIGINT) AS nano FROM diffs GROUP BY 1 HAVING sum(nano) > 0)"
 TOK = f"{LINES}, tlegs AS (SELECT height, tx_idx, supplier AS address_id, part AS asset_id, -quantity AS value FROM lines UNION ALL SELECT height, tx_idx, customer, part, quantity FROM lines UNION ALL SELECT 0, 0, supplier, part, CAST(sum(quantity) AS BIGINT) FROM lines GROUP BY supplier, part), tdiffs AS (SELECT height, tx_idx, address_id, asset_id, CAST(sum(value) AS BIGINT) AS value FROM tlegs GROUP BY ALL HAVING sum(value) <> 0)"
 HEAD = "heads AS (SELECT DISTINCT CAST(datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1 AS BIGINT) AS height FROM orders UNION SELECT 0), headers AS (SELECT height, 788918400000 + (height - 1) * 86400000 AS timestamp FROM heads)"
@@ -177,7 +178,7 @@ _SERIES = ", ".join(f"CAST(coalesce(sum(sum(CAST(new >= {n} AS INT) - CAST(old >
 
 @query(f"WITH {DIFFS}, {_RUN}, {SPINE}, ty AS (SELECT unnest([1, 2, 3]) AS type) SELECT s.height, CAST(type AS INT) AS type, {_SERIES} FROM spine s CROSS JOIN ty LEFT JOIN ch ON ch.height = s.height AND ch.address_id % 10 = type GROUP BY s.height, type WINDOW w AS (PARTITION BY type ORDER BY s.height)")
 def address_counts_series(s, d):
-    return metrics.address_counts_series(erg(s, d))
+    return metrics.address_counts_series(erg(s, d), led.headers(s, d))
 
 
 _COMP = ", ".join(f"CAST(coalesce(sum(sum(CASE WHEN address_id % 10 = {t} THEN nano ELSE 0 END)) OVER w, 0) AS BIGINT) AS {k}" for k, t in (("p2pks", 1), ("contracts", 3), ("miners", 2)))
@@ -185,10 +186,14 @@ _COMP = ", ".join(f"CAST(coalesce(sum(sum(CASE WHEN address_id % 10 = {t} THEN n
 
 @query(f"WITH {DIFFS}, {SPINE} SELECT s.height, {_COMP} FROM spine s LEFT JOIN diffs x ON x.height = s.height GROUP BY s.height WINDOW w AS (ORDER BY s.height)")
 def supply_composition(s, d):
-    return metrics.supply_composition(erg(s, d))
+    return metrics.supply_composition(erg(s, d), led.headers(s, d))
 
 
-@query()
+_FOLD = "{'b': a.b + x.b, 'm': CASE WHEN a.b + x.b = 0 THEN 0::HUGEINT WHEN x.b > 0 THEN (a.m * a.b + x.m * x.b) // (a.b + x.b) ELSE a.m END}"
+
+
+@query(f"""WITH {DIFFS}, {HEAD}, o AS (SELECT address_id, list({{'b': CAST(nano AS HUGEINT), 'm': CAST(timestamp AS HUGEINT)}} ORDER BY height, tx_idx) AS l FROM diffs JOIN headers USING (height) GROUP BY 1),
+    f AS (SELECT address_id, list_reduce(list_prepend({{'b': 0::HUGEINT, 'm': 0::HUGEINT}}, l), lambda a, x: {_FOLD}) AS r FROM o) SELECT address_id, CAST(r.b AS BIGINT) AS nano, CAST(r.m AS BIGINT) AS mean_age_timestamp FROM f WHERE r.b > 0""")
 def mean_age(s, d):
     return bal.mean_age(erg(s, d), led.headers(s, d))
 
@@ -220,7 +225,7 @@ def calendar_weekly(s, d):
     return calendar.calendar_heights(led.events(s, d), "weekly")
 
 
-_CAND = f"{DIFFS}, {MAIN}, rx AS (SELECT height, tx_idx, list_sort(list(DISTINCT cex_id)) AS cex_ids FROM diffs JOIN main USING (address_id) WHERE nano > 0 GROUP BY 1, 2), cand AS (SELECT height, tx_idx, address_id, cex_ids FROM diffs JOIN rx USING (height, tx_idx) WHERE nano < 0 AND address_id <> 2403 AND address_id NOT IN (SELECT address_id FROM main))"
+_CAND = f"{DIFFS}, {MAIN}, rx AS (SELECT height, tx_idx, list_sort(list(DISTINCT cex_id)) AS cex_ids FROM diffs JOIN main USING (address_id) WHERE nano > 0 GROUP BY 1, 2), cand AS (SELECT height, tx_idx, address_id, cex_ids FROM diffs JOIN rx USING (height, tx_idx) WHERE nano < 0 AND address_id <> 2403 AND NOT EXISTS (SELECT 1 FROM main WHERE main.address_id = diffs.address_id))"
 _CLASS = f"{_CAND}, bl AS (SELECT address_id, height, min(list_min(cex_ids)) AS lo, max(list_max(cex_ids)) AS hi FROM cand GROUP BY 1, 2), ru AS (SELECT *, min(lo) OVER w AS l, max(hi) OVER w AS h FROM bl WINDOW w AS (PARTITION BY address_id ORDER BY height)), cl AS (SELECT address_id, min(height) AS spot_height, min(CASE WHEN l <> h THEN height END) AS conflict_spot_height, arg_min(lo, height) AS first FROM ru GROUP BY 1)"
 
 
@@ -248,7 +253,8 @@ _SUPPLY = f"{_CLASS}, {SPINE}, su AS (SELECT s.height, CAST(coalesce(sum(sum(CAS
 
 @query(f"WITH {_SUPPLY} SELECT * FROM su")
 def exchange_supply(s, d):
-    return exchanges.exchange_supply(erg(s, d), led.main_addresses(s, d), exchanges.deposit_addresses(candidates(s, d)))
+    main, moved = led.main_addresses(s, d), materialize(erg(s, d), "diffs")
+    return exchanges.exchange_supply(moved, main, exchanges.deposit_addresses(exchanges.deposit_candidates(moved, main)), led.headers(s, d))
 
 
 @query(f"WITH {_SUPPLY}, pa AS (SELECT height, sum(nano) AS p FROM diffs WHERE address_id % 10 = 2 GROUP BY 1) SELECT su.height, main, CAST(deposits - coalesce(sum(p) OVER (ORDER BY su.height), 0) AS BIGINT) AS deposits FROM su LEFT JOIN pa ON pa.height = su.height")
@@ -521,3 +527,97 @@ def stream_balances(s, d):
     moved = e.select((F.col("user_id") * 10 + 1).alias("address_id"), F.floor(F.col("event_id") / 1000).cast("long").alias("height"), F.col("event_id").alias("tx_idx"), (F.round(F.col("value") * 100).cast("long") + 1).alias("nano"))
     streaming.run_available(moved, book.append, f"{path}/checkpoint")
     return book.balances()
+
+
+@query(f"WITH {EV}, b AS (SELECT * FROM ev WHERE event_type IN ('purchase', 'error', 'click')) SELECT height, CASE WHEN event_type = 'click' OR amount = 0 THEN 'noop' ELSE 'bank' END AS kind, CAST(CASE event_type WHEN 'purchase' THEN amount * 1000 WHEN 'error' THEN -amount * 100 ELSE 0 END AS BIGINT) AS reserves_diff, CAST(CASE event_type WHEN 'purchase' THEN amount WHEN 'error' THEN -amount ELSE 0 END AS BIGINT) AS circ_sc_diff, 0::BIGINT AS circ_rc_diff, NULL::BIGINT AS oracle FROM b UNION ALL SELECT height, 'oracle', 0, 0, 0, amount + 1 FROM ev WHERE event_type = 'view' AND k % 3 <> 0")
+def bank_events(s, d):
+    return bank_of(s, d)[0].select("height", "kind", "reserves_diff", "circ_sc_diff", "circ_rc_diff", "oracle")
+
+
+def bank_of(s, d):
+    inputs, outputs, reads = led.bank_boxes(s, d)
+    return bank.bank_events(inputs, outputs, reads, led.BANK, led.BANK_NFT, led.SC, led.RC, led.ORACLE_NFT), inputs, outputs
+
+
+_RF = "amount * 100 - fee"
+
+
+@query(f"""WITH {EV}, b AS (SELECT *, amount % 100 + 1 AS fee, (user_id % 70 + 1000) * 10 + 3 AS service, user_id * 10 + 1 AS usr FROM ev WHERE event_type IN ('purchase', 'error') AND amount <> 0),
+    r AS (SELECT height, CASE WHEN k % 2 <> 0 THEN NULL WHEN event_type = 'purchase' THEN service WHEN {_RF} = fee THEN NULL WHEN {_RF} > 0 AND {_RF} < fee THEN usr ELSE service END AS service, CASE WHEN {_RF} > 0 AND {_RF} < fee AND event_type = 'error' THEN {_RF} ELSE fee END AS fee FROM b)
+    SELECT height, CAST(CASE WHEN service IS NULL THEN 0 ELSE fee END AS BIGINT) AS fee, CAST(service AS BIGINT) AS service FROM r""")
+def service_fees(s, d):
+    events, inputs, outputs = bank_of(s, d)
+    return bank.service_fees(events, inputs, outputs, led.BANK, led.SC, led.RC).select("height", "fee", "service")
+
+
+@query(f"WITH {TOK} SELECT address_id, CAST(sum(value) AS BIGINT) AS value, 'c' || address_id AS address FROM tdiffs WHERE asset_id = 7 GROUP BY 1 HAVING sum(value) <> 0 ORDER BY value DESC, address_id LIMIT 20")
+def token_rich_list(s, d):
+    """The largest holders of a token, with their addresses."""
+    own = bal.token_balances(tokens(s, d).where("asset_id = 7"))
+    texts = led.table(s, d, "customer").select(led.customer_id("c_custkey").alias("id")).withColumn("address", F.concat(F.lit("c"), "id"))
+    return metrics.rich_list(own, 20, "value", (), texts).select("address_id", "value", "address")
+
+
+@query(f"WITH {TOK}, {HEAD} SELECT address_id, CAST(sum(value) AS BIGINT) AS value FROM tdiffs JOIN headers USING (height) WHERE timestamp <= {T} AND asset_id = 7 GROUP BY 1")
+def token_balances_at_timestamp(s, d):
+    return bal.balances_at_timestamp(tokens(s, d).where("asset_id = 7"), led.headers(s, d), T, "value")
+
+
+@query(f"WITH {TOK}, b AS (SELECT address_id, sum(value) AS value FROM tdiffs WHERE asset_id = 7 GROUP BY 1 HAVING sum(value) <> 0) SELECT count(*) FILTER (address_id % 10 = 1 AND value >= 10) AS wallets, CAST(coalesce(sum(value) FILTER (address_id % 10 <> 1 AND address_id NOT IN (13, 33)), 0) AS BIGINT) AS supply FROM b")
+def token_counts_and_supply(s, d):
+    own = bal.token_balances(tokens(s, d).where("asset_id = 7"))
+    return metrics.address_count(own, "p2pk", "value", at_least=10).withColumnRenamed("n", "wallets").crossJoin(metrics.contract_supply(own, "value"))  # one row each
+
+
+@query(f"WITH f AS (SELECT {_ADDR} AS address, o_custkey % 3 AS m, min((datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1, o_orderkey)) AS a FROM orders GROUP BY 1, 2), n AS (SELECT address, row_number() OVER (ORDER BY a) * 10 + CASE m WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS id FROM f), c AS (SELECT c_custkey AS o_custkey, * FROM customer) SELECT c_custkey, id FROM (SELECT c_custkey, {_ADDR} AS address FROM c) LEFT JOIN n USING (address)")
+def address_lookup(s, d):
+    """Customers' addresses in the dictionary that orders make; those without orders are unknown."""
+    return diffs.lookup(led.table(s, d, "customer").select("c_custkey", _address("c_custkey").alias("address")), address_index(s, d), "address", "id").select("c_custkey", "id")
+
+
+@query(f"WITH {TOK}, w AS (SELECT DISTINCT supplier AS address_id, part AS asset_id FROM lines WHERE quantity = 50), m AS (SELECT DISTINCT part AS asset_id FROM lines WHERE quantity = 1) SELECT t.* FROM tdiffs t WHERE EXISTS (SELECT 1 FROM w WHERE w.address_id = t.address_id AND w.asset_id = t.asset_id) AND NOT EXISTS (SELECT 1 FROM m WHERE m.asset_id = t.asset_id)")
+def diffs_of_pairs(s, d):
+    """Token diffs of a list of pairs of address and token, without tokens on a list."""
+    of = lambda n: led.lines(s, d).where(F.col("quantity") == n)
+    pairs, not_these = of(50).select(F.col("supplier").alias("address_id"), F.col("part").alias("asset_id")).distinct(), of(1).select(F.col("part").alias("asset_id")).distinct()
+    return diffs.excluding(diffs.semi(tokens(s, d), pairs, ["address_id", "asset_id"]), not_these, ["asset_id"])
+
+
+@query(f"WITH {LINES} SELECT height, tx_idx, customer AS address_id, CAST(sum(CASE WHEN part % 5 = 0 THEN quantity ELSE 0 END) AS BIGINT) AS amount, bool_or(part = 7) AS has_seven FROM lines GROUP BY 1, 2, 3")
+def held_assets(s, d):
+    """How much of one asset (parts divisible by 5 count as one) a transaction's box holds, and whether it holds another."""
+    _, outputs = led.token_legs(s, d)
+    box = outputs.where("height > 0").groupBy("height", "tx_idx", "address_id").agg(F.flatten(F.collect_list("assets")).alias("assets"))  # a transaction's lines, seven at most
+    five = F.transform("assets", lambda a: F.struct(F.when(a["asset_id"] % 5 == 0, 5).otherwise(0).alias("asset_id"), a["amount"].alias("amount")))
+    return box.select("height", "tx_idx", "address_id", fn.asset_amount(five, 5).alias("amount"), fn.holds_asset(F.col("assets"), 7).alias("has_seven"))
+
+
+@query(f"WITH {_CLASS}, n AS (SELECT min(address_id) AS address_id FROM cl WHERE conflict_spot_height IS NULL) SELECT (SELECT count(*) FROM main) + 1 AS n_main, (SELECT count(*) FROM cl WHERE conflict_spot_height IS NULL) - 1 AS n_deposits, (SELECT min(height) FROM diffs JOIN n USING (address_id)) AS anew_from")
+def main_address_registered(s, d):
+    """The least deposit address turns out to be a main one: it leaves the deposits, and series are due from its first height."""
+    main, moved = led.main_addresses(s, d), materialize(erg(s, d), "diffs")
+    deposits = materialize(exchanges.deposit_addresses(exchanges.deposit_candidates(moved, main)), "deposits")
+    least = deposits.agg(F.min("address_id")).first()[0]
+    after, left, height = exchanges.register_main(moved, main, deposits, least if least is not None else -1, 1)
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    return n(after, "n_main").crossJoin(n(left, "n_deposits")).crossJoin(height.agg(F.min("height").alias("anew_from")))  # one row each
+
+
+@query(f"WITH {EV}, x AS (SELECT height // 1000 AS h, user_id * 10 + 1 AS address_id, amount FROM ev), t AS (SELECT max(h) - 4 AS fork FROM x) SELECT address_id, CAST(sum(CASE WHEN h >= fork THEN amount + 2 ELSE amount + 1 END) AS BIGINT) AS nano FROM x, t GROUP BY 1")
+def stream_with_fork(s, d):
+    """Balances of a streamed ledger whose last five blocks are rolled back and replaced by another branch's."""
+    path = streaming.scratch(s, "forked")
+    book = streaming.Ledger(s, path, span=7)
+    moved = lambda e, more: e.select((F.col("user_id") * 10 + 1).alias("address_id"), F.floor(F.col("event_id") / 1000).cast("long").alias("height"), F.col("event_id").alias("tx_idx"), (F.round(F.col("value") * 100).cast("long") + more).alias("nano"))
+    streaming.run_available(moved(streaming.events_stream(s, d), 1), book.append, f"{path}/checkpoint")
+    fork = book.head() - 4
+    book.roll_back(fork)
+    book.append(moved(led.table(s, d, "events"), 2).where(F.col("height") >= fork))
+    return book.balances()
+
+
+@query(f"WITH {EV} SELECT height, 'h' || height AS header_id, CASE WHEN height % 100 = 99 THEN 'x' ELSE 'h' || (height - 1) END AS parent_id FROM ev WHERE height % 50 <> 49 AND height > (SELECT min(height) FROM ev) AND (height % 100 = 99 OR height % 50 = 0)")
+def broken_links(s, d):
+    """Of a chain with some wrong parents and some gaps, the headers that don't follow the one before."""
+    e = led.events(s, d).where("height % 50 <> 49").select("height", F.concat(F.lit("h"), "height").alias("header_id"))
+    return streaming.broken_links(e.withColumn("parent_id", F.when(F.col("height") % 100 == 99, "x").otherwise(F.concat(F.lit("h"), F.col("height") - 1))))

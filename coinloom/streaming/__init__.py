@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ROLLBACK_HORIZON
 from ..operators.balances import erg_balances
+from ..shared import materialize, shared_dir
 from ..sources import upserted
 
 
@@ -21,10 +22,10 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 
 class Ledger:
     """Diffs by height under a folder, with balances of them. append skips heights that are there, so replays change nothing;
-    roll_back drops heights. Each height is one partition of the files, so both touch only what they change."""
+    roll_back drops heights. A span of heights is a folder, so a long chain has few and a rollback rewrites the last ones only."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, span: int = 1000):
+        self.spark, self.path, self.span = spark, path, span
 
     SCHEMA = "address_id long, height long, tx_idx long, nano long"
 
@@ -42,16 +43,25 @@ class Ledger:
 
     def append(self, batch: DataFrame, _: int = 0) -> None:
         new = batch.where(F.col("height") > self.head())
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("height").parquet(f"{self.path}/diffs")
+        self._write(new, "append")
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        part = F.floor(F.col("height") / self.span).cast("long").alias("span")
+        rows.select("address_id", "height", "tx_idx", "nano", part).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("span").parquet(f"{self.path}/diffs")
 
     def roll_back(self, height: int) -> None:
         """Forget the blocks from a height on, as when the chain turns to another branch."""
-        gone = [r["height"] for r in self.diffs().where(F.col("height") >= height).select("height").distinct().collect()]  # at most the horizon's blocks
-        if len(gone) > ROLLBACK_HORIZON:
+        head = self.head()
+        if head - height >= ROLLBACK_HORIZON:
             raise ValueError("a rollback goes further back than the horizon")
+        first = height // self.span
+        kept = self.diffs().where((F.col("height") >= first * self.span) & (F.col("height") < height))
+        whole = kept.isEmpty()
+        if not whole:  # what stays of the first span is written elsewhere before it takes the span's place
+            self._write(materialize(kept, "kept"), "overwrite")
         files = self.spark._jvm.org.apache.hadoop.fs
-        for h in gone:
-            where = files.Path(f"{self.path}/diffs/height={h}")
+        for span in range(first if whole else first + 1, head // self.span + 1):
+            where = files.Path(f"{self.path}/diffs/span={span}")
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def balances(self) -> DataFrame:
@@ -73,11 +83,21 @@ def main_chain(headers: DataFrame, horizon: int = ROLLBACK_HORIZON) -> DataFrame
     return flagged.select("height", "timestamp", "header_id", "parent_id", ((F.col("height") <= (top or 0) - horizon) | F.coalesce("_main", F.lit(False))).alias("main_chain"))
 
 
-def state_log(before: DataFrame, after: DataFrame, height: int) -> DataFrame:
-    """What a batch changed, to undo it: (height, address_id, old) with null for new keys."""
-    old = before.withColumnRenamed("nano", "old")
-    both = after.join(old, "address_id", "full_outer").where(~F.col("nano").eqNullSafe(F.col("old")))
-    return both.select(F.lit(height).alias("height"), "address_id", "old")
+def state_log(before: DataFrame, diffs: DataFrame, height: int) -> DataFrame:
+    """What a batch of diffs touches, to undo it: (height, address_id, old) with null for new keys. Only touched keys are logged,
+    and before is read for them alone."""
+    touched = diffs.select("address_id").distinct()
+    old = before.join(touched, "address_id", "left_semi").withColumnRenamed("nano", "old")
+    return touched.join(old, "address_id", "left").select(F.lit(height).alias("height"), "address_id", "old")
+
+
+def broken_links(headers: DataFrame) -> DataFrame:
+    """Headers (height, header_id, parent_id) that don't follow the one before: its id isn't their parent, or it is missing. The
+    first height needs none. To be empty before a batch is appended; the lowest broken height is where to roll back to."""
+    before = headers.select((F.col("height") + 1).alias("height"), F.col("header_id").alias("_before"))
+    first = headers.agg(F.min("height").alias("_first"))
+    out = headers.join(before, "height", "left").crossJoin(F.broadcast(first))  # one row
+    return out.where((F.col("height") > F.col("_first")) & ~F.col("parent_id").eqNullSafe(F.col("_before"))).select("height", "header_id", "parent_id")
 
 
 def restored(balances: DataFrame, log: DataFrame, height: int) -> DataFrame:
@@ -99,7 +119,7 @@ def running_balances(diffs: DataFrame) -> DataFrame:
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         balance, mean = state.get if state.exists else (0, 0)
         for r in pd.concat(list(frames)).sort_values(["height", "tx_idx"]).itertuples():
-            if r.nano > 0:
+            if r.nano > 0 and balance + r.nano:
                 mean = (int(mean) * int(balance) + int(r.timestamp) * int(r.nano)) // (int(balance) + int(r.nano))
             balance += int(r.nano)
             mean = mean if balance else 0
@@ -122,8 +142,4 @@ def to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder that driver and executors share."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -71,7 +71,8 @@ def test_main_chain_takes_the_best_tip(spark):
 def test_state_log_restores(spark):
     s = "address_id long, nano long"
     old, new = spark.createDataFrame([(1, 5), (2, 7)], s), spark.createDataFrame([(1, 6), (3, 1)], s)
-    log = streaming.state_log(old, new, 9)
+    log = streaming.state_log(old, spark.createDataFrame([(1, 1), (2, -7), (3, 1), (3, 0)], s), 9)
+    assert rows(log, "address_id", "old") == [(1, 5), (2, 7), (3, None)]
     assert rows(streaming.restored(new, log, 9)) == [(1, 5), (2, 7)]
 
 
@@ -101,6 +102,48 @@ def test_tally_and_rates(spark):
     assert rows(network.block_fees(outs)) == [(1, 1123)]
 
 
+def test_trailing_day_matches_brute_force(spark):
+    """Ties, both ends included, busy and empty days."""
+    r, day = random.Random(4), 86_400_000
+    times = sorted([r.randrange(0, 3 * day) for _ in range(300)] + [day, 2 * day, 2 * day, 2 * day + 5, day + 5, 9 * day])
+    h = [(i, t, r.randint(1, 10**15)) for i, t in enumerate(times)]
+    want = []
+    for i, t, _ in h:
+        own = [(u, x) for _, u, x in h if t - day <= u <= t]
+        s, n = sum(x for _, x in own), len(own)
+        low, rest = divmod(s, n)
+        want.append((i, low + (2 * rest > n or (2 * rest == n and low % 2)), s // max((t - min(u for u, _ in own)) // 1000, 120)))
+    assert rows(network.difficulty_24h(spark.createDataFrame(h, "height long, timestamp long, difficulty long"))) == want
+
+
+def test_a_debt_paid_off_has_no_age(spark):
+    d = spark.createDataFrame([(1, 0, A, -5), (2, 0, A, 5), (3, 0, A, 4), (1, 0, B, -5), (2, 0, B, 5)], DIFF)
+    heads = spark.createDataFrame([(i, TS + i) for i in range(5)], "height long, timestamp long")
+    assert rows(bal.mean_age(d, heads)) == [(A, 4, TS + 3)]
+
+
+def test_broken_links_and_versions(spark, tmp_path):
+    h = spark.createDataFrame([(1, "a", ""), (2, "b", "a"), (3, "c", "x"), (5, "e", "d")], "height long, header_id string, parent_id string")
+    assert rows(streaming.broken_links(h), "height") == [(3,), (5,)]
+    one, two = (sources.write_version(h.where(f"height <= {n}"), str(tmp_path / "v")) for n in (2, 5))
+    assert spark.read.parquet(one).count() == 2 and spark.read.parquet(two).count() == 4
+    sources.write_by_height(h, str(tmp_path / "f"), 2)
+    sources.write_by_height(h.where("height = 5").withColumn("header_id", F.lit("z")), str(tmp_path / "f"), 2)
+    assert rows(spark.read.parquet(str(tmp_path / "f")), "header_id") == [("a",), ("b",), ("c",), ("z",)]
+
+
+def test_rollback_within_and_beyond_a_span(spark, tmp_path):
+    d = spark.createDataFrame([(h, 0, A, 1) for h in range(30)], DIFF).select("address_id", "height", "tx_idx", "nano")
+    book = streaming.Ledger(spark, str(tmp_path / "book"), span=8)
+    book.append(d)
+    book.roll_back(26)
+    assert book.head() == 25 and book.diffs().count() == 26
+    book.roll_back(16)
+    assert book.head() == 15 and rows(book.balances()) == [(A, 16)]
+    book.append(d)
+    assert book.diffs().count() == 30
+
+
 def test_calendar_fixture(spark):
     g = 1561978800000
     h = spark.createDataFrame([(0, g), (1, g + 120_000), (2, g + 120_000 + 86_400_000)], "height long, timestamp long")
@@ -186,8 +229,17 @@ def test_dense_ids_of_a_wide_table(spark):
 
 
 def test_registers(spark):
-    df = spark.createDataFrame([("0500",), ("0501",), ("0580897a",), ("04",), (None,), ("05ff",)], "h string")
-    assert [r[0] for r in df.select(fn.decode_slong("h")).collect()] == [0, -1, 1_000_000, None, None, None]
+    def serialized(n):
+        z, out = (n << 1) ^ (n >> 63), []
+        while z > 127:
+            out.append(z & 127 | 128)
+            z >>= 7
+        return bytes([5, *out, z]).hex()
+
+    numbers = [0, -1, 1, 63, -64, 64, 10**6, 2**62, -(2**62), 2**63 - 1, -(2**63)]
+    bad = ["04", None, "05ff", "05", "0580", "", "05zz", "05" + "ff" * 9 + "02", "05" + "ff" * 10 + "00", "050"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate([*map(serialized, numbers), *bad, "0580897A"])], "i int, h string")
+    assert [r[1] for r in df.select("i", fn.decode_slong("h")).orderBy("i").collect()] == [*numbers, *[None] * len(bad), 1_000_000]
 
 
 def test_keyed_state_matches_batch(spark, tmp_path):
