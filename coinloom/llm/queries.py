@@ -59,9 +59,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs.select("doc_id", "text"), known)
     out = toxicity.scored(docs.select("doc_id", "lang", "text"), model)
     out = materialize(out.select("doc_id", "lang", F.coalesce(held, F.lit(False)).alias("held_out"), F.col("_score").alias("score")), "scores")
-    seen = out.join(known.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("_id"), "toxic"), F.expr("doc_id = _id"))
-    thresholds = materialize(toxicity.language_thresholds(seen), "thresholds").withColumnRenamed("lang", "_lang")
-    out = out.join(thresholds, F.expr("lang <=> _lang"), "left").withColumn("threshold", F.coalesce("threshold", F.lit(toxicity.THRESHOLD)))
+    cut = toxicity.thresholds(out, known)
+    out = out.join(cut, F.expr("lang <=> _lang"), "left").withColumn("threshold", F.coalesce("_threshold", F.lit(toxicity.THRESHOLD)))
     return out.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.col("threshold").alias("language_threshold"), (F.col("score") >= F.col("threshold")).alias("above_language_threshold"))
 
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Words, bounded_batches, materialize, portions, utf8
 
 #: Labelled documents of each class that training reads, at most; those with the smallest seeded hash.
 TRAINING_ROWS = 2500
+#: Bytes of text of each class that training reads, at most (a first text that is longer comes alone).
+TRAINING_BYTES = 64 << 20
+#: One labelled document in so many is held back from the weights: it scales probabilities and calibrates thresholds.
+HELD_BACK = 5
 SLOTS, DIM = 1 << 15, 6
 #: A word's vector joins those of three hashes: the whole word, and its first four and five bytes.
 VIEWS = (None, 4, 5)
@@ -90,9 +94,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def fit(texts: list[str], labels: np.ndarray, odds: float, seed: int = 5, epochs: int = 6, least_steps: int = 900) -> Model:
-    """Train on whole texts with Adam, a fifth held back to turn logits into probabilities. odds: log of the toxic rate
-    of all labelled documents over the sample's. With one class only, the rate itself is the score."""
+def fit(texts: list[str], labels: np.ndarray, odds: float, back: np.ndarray | None = None, seed: int = 5, epochs: int = 6, least_steps: int = 900) -> Model:
+    """Train on whole texts with Adam; those marked in `back` (a random fifth where it is None) turn logits into probabilities.
+    odds: log of the toxic rate of all labelled documents over the sample's. With one class only, the rate itself is the score."""
     model, r = Model(seed), np.random.default_rng(seed)
     if not len(labels) or labels.min() == labels.max():
         model.out[:] = 0
@@ -100,8 +104,10 @@ def fit(texts: list[str], labels: np.ndarray, odds: float, seed: int = 5, epochs
         return model
     data = [slots(*utf8(pa.array([t]))) for t in texts]
     order = r.permutation(len(texts))
-    held, own = order[: len(order) // 5], order[len(order) // 5 :]
-    held = held if len(held) else own
+    back = np.arange(len(order)) < len(order) // HELD_BACK if back is None else back[order]
+    held, own = order[back], order[~back]
+    if min(map(len, (np.unique(labels[held]), np.unique(labels[own])))) < 2:  # too few to hold any back
+        held = own = order
     common = model.start([data[i][0] for i in own], labels[own])
     dense = [*model.banks, *model.shifts, model.out]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in dense]
@@ -178,40 +184,63 @@ def fit(texts: list[str], labels: np.ndarray, odds: float, seed: int = 5, epochs
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", seed: int = 5) -> Model:
-    """Fit on up to TRAINING_ROWS documents of each class. A label that is null or neither 0 nor 1 is left out; of repeated
-    labels the largest counts. How frequent each class is comes from all labels."""
+def known_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", seed: int = 5) -> DataFrame:
+    """(_id, _y, _back) of usable labels: null ids and labels other than 0 and 1 are left out, the largest of repeated ones counts.
+    _back: the document is held back from the weights, by a seeded hash of its id."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y"))
-    known = materialize(known, "toxic-labels")
+    return known.withColumn("_back", F.pmod(F.xxhash64(F.lit(seed), F.lit("back"), "_id"), F.lit(HELD_BACK)) == 0)
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", seed: int = 5) -> Model:
+    """Fit on up to TRAINING_ROWS documents of each class, of up to TRAINING_BYTES. How frequent each class is comes from all
+    labels. Of rows that repeat an id the least text counts; null texts are left out; without usable labels all score 0."""
+    known = materialize(known_labels(labels, id_col, label_col, seed), "toxic-labels")
     n, toxic = known.agg(F.count("*"), F.coalesce(F.sum("_y"), F.lit(0))).first()
-    few = lambda y: known.where(F.col("_y") == y).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(TRAINING_ROWS)
+    order = F.xxhash64(F.lit(seed), "_id")
+    few = lambda y: known.where(F.col("_y") == y).orderBy(order, "_id").limit(TRAINING_ROWS)
     chosen = materialize(few(0).union(few(1)), "toxic-sample")
-    # at most 2 * TRAINING_ROWS ids, and as many texts to the driver
-    rows = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(id_col), F.col(text_col), "_y").dropDuplicates([id_col]).orderBy(id_col).collect()
+    # at most 2 * TRAINING_ROWS ids; the texts found for them are written before their bytes are counted
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
+    texts = materialize(texts.groupBy("_id", "_y", "_back").agg(F.min("_text").alias("_text")), "toxic-texts")
+    so_far = F.sum(F.octet_length("_text")).over(Window.partitionBy("_y").orderBy(order, "_id"))
+    fits = texts.withColumn("_sum", so_far).where((F.col("_sum") <= TRAINING_BYTES) | (F.col("_sum") == F.octet_length("_text")))
+    rows = sorted(fits.select("_id", "_text", "_y", "_back").collect(), key=lambda r: str(r["_id"]))
     y = np.array([r["_y"] for r in rows], np.float32)
     own = min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
     rate = min(max(toxic / n if n else 0.5, 1e-6), 1 - 1e-6)
-    return fit([r[text_col] for r in rows], y, float(np.log(rate / (1 - rate)) - np.log(own / (1 - own))), seed)
+    back = np.array([r["_back"] for r in rows], bool)
+    return fit([r["_text"] for r in rows], y, float(np.log(rate / (1 - rate)) - np.log(own / (1 - own))), back, seed)
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with _score, from the whole text alone, where it is read. Null and empty texts score as a text of no words."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "_score") -> DataFrame:
+    """docs with score_col (a name that docs doesn't have), from the whole text alone, where it is read.
+
+    Null and empty texts score as a text of no words, repeated rows alike; an empty table gives an empty one.
+    """
     bounded_batches(docs.sparkSession)
     # the model's size is fixed: SLOTS, DIM and FILTERS bound it
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at = names.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{score_col}` double"
 
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(at))
             out = [shared.value.scores(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in portions(offsets, 1 << 19)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *out]))], [*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *out]))], [*names, score_col])
 
     return docs.mapInArrow(run, schema)
 
 
+def thresholds(scores: DataFrame, labels: DataFrame, label_col: str = "toxic", seed: int = 5) -> DataFrame:
+    """scores (doc_id, lang, score), labels -> (_lang, _threshold), calibrated on the labelled documents held back from the
+    weights. Only these narrow columns are joined and dealt out. Languages without such documents have no row."""
+    back = known_labels(labels, "doc_id", label_col, seed).where("_back")
+    seen = scores.join(back, F.col("doc_id") == F.col("_id")).select("lang", "score", F.col("_y").alias("toxic"))
+    return materialize(language_thresholds(seen), "thresholds").select(F.col("lang").alias("_lang"), F.col("threshold").alias("_threshold"))
+
+
 def language_thresholds(scores: DataFrame, start: float = THRESHOLD, prior: float = 20.0) -> DataFrame:
     """scores (lang, score, toxic) of labelled documents -> (lang, threshold): for each language the cut with the best F1 on a
     grid, drawn toward `start` where a language has few labels. Sums over (language, step of the grid), so as many rows
