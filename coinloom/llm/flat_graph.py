@@ -220,7 +220,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     Vectors link at a cosine of at least threshold. Null, empty and zero vectors, and those with null or non-finite
     components, link with nothing and are their own component. Equal vectors are one node with a weight: each counts
     the others, and a group of copies costs one row in a block. Rows with a null id take part in links; their kept is
-    true. Repeated rows are further vectors.
+    true. Repeated rows are further vectors. Other columns aren't read; an empty table gives an empty one.
     """
     bounded_batches(vectors.sparkSession)
     vec = F.transform(F.col(vec_col), lambda x: x.cast("float"))

@@ -391,6 +391,14 @@ def test_links_and_components_agree(spark):
     assert links_found(spark, x, shard=25) == links_by_brute_force(x)
 
 
+def test_vectors_with_odd_ids(spark):
+    """A repeated row, a null id, clashing columns, an unusable vector without an id."""
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [2.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.1]), (None, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit(7) for c in ("vec", "node", "weight", "label", "root", "_vec")})
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"]) for r in flat_graph.near_vectors(df).collect())
+    assert got == [(0, 0, 0, True), (0, 3, 1, True), (1, 3, 1, True), (1, 3, 1, True), (2, 0, 2, True), (3, 3, 1, False)]
+
+
 def test_audit_counts_what_a_result_lacks(spark, monkeypatch):
     """Several blocks of queries, vectors of two lengths and unusable ones; a result with half of the links has half the recall."""
     r = np.random.default_rng(6)
