@@ -1,10 +1,12 @@
 import json
 import random
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from coinloom import functions as fn
-from coinloom import sources, streaming
+from coinloom import shared, sources, streaming
 from coinloom.operators import balances as bal
 from coinloom.operators import bank, calendar, diffs, exchanges, helpers, metrics, network, prices
 
@@ -228,6 +230,17 @@ def test_dense_ids_of_a_wide_table(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_a_cluster_needs_a_shared_folder():
+    unset = SimpleNamespace(get=lambda *_: None)
+    context = SimpleNamespace(master="spark://host:7077", applicationId="app-1", getConf=lambda: unset)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(SimpleNamespace(conf=unset, sparkContext=context))
+    context.master = "local[2]"
+    assert shared.shared_dir(SimpleNamespace(conf=unset, sparkContext=context)) == shared.shared_dir(SimpleNamespace(conf=unset, sparkContext=context))
+    named = SimpleNamespace(get=lambda *_: "/shared/")
+    assert shared.shared_dir(SimpleNamespace(conf=named, sparkContext=context)) == "/shared/app-1"
+
+
 def test_registers(spark):
     def serialized(n):
         z, out = (n << 1) ^ (n >> 63), []
