@@ -621,3 +621,39 @@ def broken_links(s, d):
     """Of a chain with some wrong parents and some gaps, the headers that don't follow the one before."""
     e = led.events(s, d).where("height % 50 <> 49").select("height", F.concat(F.lit("h"), "height").alias("header_id"))
     return streaming.broken_links(e.withColumn("parent_id", F.when(F.col("height") % 100 == 99, "x").otherwise(F.concat(F.lit("h"), F.col("height") - 1))))
+
+
+@query(f"WITH {EV}, x AS (SELECT height // 100 AS h, user_id * 10 + 1 AS address_id, user_id % 5 AS asset_id, amount FROM ev), t AS (SELECT max(h) - 4 AS fork FROM x) SELECT address_id, CAST(sum(amount + 1 + CASE WHEN h >= fork THEN 1 ELSE 0 END) AS BIGINT) AS nano, CAST(asset_id AS BIGINT) AS asset_id, CAST(sum(CASE WHEN h >= fork THEN 2 ELSE 1 END) AS BIGINT) AS value FROM x, t GROUP BY address_id, asset_id")
+def chain_with_fork(s, d):
+    """Balances of coins and tokens after the last five blocks came anew on another branch, by their headers alone; a replay of
+    that batch changes nothing."""
+    tokens = "address_id long, height long, tx_idx long, asset_id long, value long"
+    chain = streaming.Chain(s, streaming.scratch(s, "chain"), {"nano": streaming.DIFFS, "tokens": tokens}, span=50)
+    moved = led.table(s, d, "events").select(F.floor(F.col("event_id") / 100).cast("long").alias("height"), F.col("event_id").cast("long").alias("tx_idx"), (F.col("user_id") * 10 + 1).alias("address_id"), (F.col("user_id") % 5).cast("long").alias("asset_id"), F.round(F.col("value") * 100).cast("long").alias("amount"))
+    heights = materialize(moved.select("height").distinct(), "heights")
+    fork = heights.agg(F.max("height")).first()[0] - 4
+
+    def batch(branch, first, more):
+        parent = F.concat(F.when(F.col("height") - 1 < fork, "a").otherwise(branch), F.col("height") - 1)
+        headers = heights.where(F.col("height") >= first).select("height", F.concat(F.lit(branch), "height").alias("header_id"), parent.alias("parent_id"))
+        rows = moved.where(F.col("height") >= first)
+        return headers, {"nano": rows.withColumn("nano", F.col("amount") + more), "tokens": rows.withColumn("value", F.lit(more).cast("long"))}
+
+    chain.follow(*batch("a", 0, 1))
+    chain.follow(*batch("b", fork, 2))
+    chain.follow(*batch("b", fork, 2))
+    nano, held = bal.erg_balances(chain.tables["nano"].diffs()), bal.token_balances(chain.tables["tokens"].diffs())
+    return nano.join(held, "address_id").select("address_id", "nano", "asset_id", "value")
+
+
+@query(ORACLE["price_interpolated"])
+def stream_prices(s, d):
+    """Prices of blocks by a stream of hourly points that stops half-way and goes on later: what was provisional is made final."""
+    path = streaming.scratch(s, "prices")
+    points = materialize(led.hourly_prices(s, d), "points")
+    half = points.agg(F.percentile("timestamp", 0.5)).first()[0]
+    book = streaming.BlockPrices(s, path, led.events(s, d).where("event_type = 'purchase'").select("height", "timestamp"))
+    for part in (points.where(F.col("timestamp") <= half), points.where(F.col("timestamp") > half)):
+        part.write.mode("append").parquet(f"{path}/source")
+        streaming.run_available(s.readStream.schema(points.schema).parquet(f"{path}/source"), book.take, f"{path}/checkpoint")
+    return book.prices().withColumn("price", F.when(F.col("height") <= 3, F.col("price")).otherwise(F.round("price", 6)))

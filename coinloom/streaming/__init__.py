@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ROLLBACK_HORIZON
 from ..operators.balances import erg_balances
+from ..operators.prices import interpolated
 from ..shared import materialize, shared_dir
 from ..sources import upserted
 
@@ -20,22 +21,31 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-class Ledger:
-    """Diffs by height under a folder, with balances of them. append skips heights that are there, so replays change nothing;
-    roll_back drops heights. A span of heights is a folder, so a long chain has few and a rollback rewrites the last ones only."""
+def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table that the first batch makes; without rows before that."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
 
-    def __init__(self, spark: SparkSession, path: str, span: int = 1000):
-        self.spark, self.path, self.span = spark, path, span
+DIFFS = "address_id long, height long, tx_idx long, nano long"
+HEADERS = "height long, header_id string, parent_id string"
 
-    SCHEMA = "address_id long, height long, tx_idx long, nano long"
+
+class Ledger:
+    """Diffs (or other facts of a schema with height) under a folder, with balances of them. append skips heights that are there, so
+    replays change nothing; roll_back drops heights. A block's rows come in one batch. A span of heights is a folder, so a long
+    chain has few and a rollback rewrites the last ones only."""
+
+    def __init__(self, spark: SparkSession, path: str, span: int = 1000, schema: str = DIFFS):
+        self.spark, self.path, self.span, self.schema = spark, path, span, schema
+        self.columns = [c.split()[0] for c in schema.split(", ")]
 
     def diffs(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/diffs").select("address_id", "height", "tx_idx", "nano")
-        except Exception as e:  # the table is made by the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], self.SCHEMA)
+        return table_or_empty(self.spark, f"{self.path}/diffs", self.schema).select(*self.columns)
 
     def head(self) -> int:
         found = self.diffs().agg(F.max("height")).first()[0]
@@ -47,13 +57,19 @@ class Ledger:
 
     def _write(self, rows: DataFrame, mode: str) -> None:
         part = F.floor(F.col("height") / self.span).cast("long").alias("span")
-        rows.select("address_id", "height", "tx_idx", "nano", part).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("span").parquet(f"{self.path}/diffs")
+        rows.select(*self.columns, part).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("span").parquet(f"{self.path}/diffs")
 
     def roll_back(self, height: int) -> None:
         """Forget the blocks from a height on, as when the chain turns to another branch."""
         head = self.head()
         if head - height >= ROLLBACK_HORIZON:
             raise ValueError("a rollback goes further back than the horizon")
+        self.drop_from(height)
+
+    def drop_from(self, height: int) -> None:
+        head = self.head()
+        if head < height:
+            return
         first = height // self.span
         kept = self.diffs().where((F.col("height") >= first * self.span) & (F.col("height") < height))
         whole = kept.isEmpty()
@@ -68,6 +84,88 @@ class Ledger:
         return erg_balances(self.diffs())
 
 
+class Chain:
+    """Tables of facts by height that follow a chain of headers through forks: each batch's headers lead, the tables go with them.
+
+    Headers are written last and dropped first, so rows beyond the last header are of a batch that died, and go.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, tables: dict[str, str], span: int = 1000):
+        self.headers = Ledger(spark, f"{path}/headers", span, HEADERS)
+        self.tables = {name: Ledger(spark, f"{path}/{name}", span, schema) for name, schema in tables.items()}
+
+    def roll_back(self, height: int) -> None:
+        self.headers.roll_back(height)
+        self._drop_rows(height)
+
+    def _drop_rows(self, height: int) -> None:
+        for book in self.tables.values():
+            book.drop_from(height)
+
+    def follow(self, headers: DataFrame, facts: dict[str, DataFrame]) -> None:
+        """Append a batch of blocks, one a height. Known ones are skipped; an unknown one at a known height starts another branch,
+        which takes the place of what is there from that height on. A batch that doesn't join the chain is refused."""
+        self._drop_rows(self.headers.head() + 1)
+        known = self.headers.diffs()
+        new = materialize(headers.join(known.select("header_id"), "header_id", "left_anti").select("height", "header_id", "parent_id"), "new-headers")
+        first = new.agg(F.min("height")).first()[0]
+        if first is None:
+            return
+        wrong = broken_links(known.where(F.col("height") == first - 1).unionByName(new)).agg(F.min("height")).first()[0]
+        if wrong is None and self.headers.head() >= 0 and known.where(F.col("height") == first - 1).isEmpty():
+            wrong = first
+        if wrong is not None:
+            raise ValueError(f"the block of height {wrong} doesn't follow the one before")
+        self.roll_back(first)
+        for name, rows in facts.items():
+            self.tables[name].append(rows.where(F.col("height") >= first))
+        self.headers.append(new)
+
+
+class BlockPrices:
+    """Prices of blocks under a folder, as price points arrive in order. Once two points enclose a block its price is final and is
+    written once; a batch is a folder, so a replayed one takes its own place. A point that comes between older ones changes
+    nothing that is final."""
+
+    def __init__(self, spark: SparkSession, path: str, blocks: DataFrame, genesis_heights: int = 3):
+        self.spark, self.path, self.blocks, self.genesis_heights = spark, path, blocks, genesis_heights
+
+    def _table(self, name: str, batch: int | None = None) -> DataFrame:
+        schema = {"points": "timestamp long, price double, batch long", "final": "height long, price double, batch long"}[name]
+        rows = table_or_empty(self.spark, f"{self.path}/{name}", schema)
+        return (rows if batch is None else rows.where(F.col("batch") < batch)).drop("batch")
+
+    def _write(self, rows: DataFrame, name: str, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+
+    def _pending(self, points: DataFrame, final: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Blocks without a final price, and the points from the last one before the first of them on."""
+        start = points.agg(F.min("timestamp")).first()[0]
+        dated = self.blocks.where((F.col("height") <= self.genesis_heights) | (F.col("timestamp") >= start))
+        pending = materialize(dated.select("height", "timestamp").join(final.select("height"), "height", "left_anti"), "pending")
+        low = pending.where(F.col("height") > self.genesis_heights).agg(F.min("timestamp")).first()[0]
+        since = points.where(F.col("timestamp") <= low).agg(F.max("timestamp")).first()[0] if low is not None else start
+        return pending, points.where(F.col("timestamp") >= since)
+
+    def take(self, batch: DataFrame, number: int) -> None:
+        """Points (timestamp, price) of a batch; for foreachBatch."""
+        before = self._table("points", number)
+        fresh = batch.select("timestamp", F.col("price").cast("double").alias("price")).dropDuplicates(["timestamp"])
+        self._write(fresh.join(before.select("timestamp"), "timestamp", "left_anti"), "points", number)
+        points = before.unionByName(self.spark.read.parquet(f"{self.path}/points/batch={number}"))
+        if not points.isEmpty():
+            priced = interpolated(*self._pending(points, self._table("final", number)), self.genesis_heights)
+            self._write(priced.where("not provisional").select("height", "price"), "final", number)
+
+    def prices(self) -> DataFrame:
+        """(height, price, provisional): final prices, and the last point's for blocks after it."""
+        points, final = self._table("points"), self._table("final")
+        done = final.withColumn("provisional", F.lit(False))
+        if points.isEmpty():
+            return done
+        return done.unionByName(interpolated(*self._pending(points, final), self.genesis_heights).where("provisional"))
+
+
 def main_chain(headers: DataFrame, horizon: int = ROLLBACK_HORIZON) -> DataFrame:
     """headers with main_chain: the chain that ends at the best tip (of equal heights the smaller id). Only the last `horizon` heights
     can hold forks; the walk down from the tip joins once for each of them, on those few rows."""
@@ -114,7 +212,8 @@ def hourly_totals(events: DataFrame, time: str, lateness: str = "40 minutes", wi
 
 def running_balances(diffs: DataFrame) -> DataFrame:
     """A stream of diffs (address_id, height, tx_idx, nano, timestamp) -> (address_id, nano, mean_age_timestamp) whenever a batch touches an
-    address; its state is a balance and a mean. A key's rows of a batch are folded in order."""
+    address; its state is a balance and a mean. A key's rows of a batch are sorted in memory and folded in order, so the source's
+    limit of files a trigger bounds them."""
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         balance, mean = state.get if state.exists else (0, 0)

@@ -65,6 +65,43 @@ def test_rollback_and_replay(spark, tmp_path):
     assert rows(book.balances()) == [(A, 100 * E9), (B, 5 * E9)]
 
 
+def test_a_chain_follows_forks(spark, tmp_path):
+    chain = streaming.Chain(spark, str(tmp_path / "chain"), {"nano": streaming.DIFFS}, span=3)
+    heads = lambda *h: spark.createDataFrame(list(h), streaming.HEADERS)
+    moved = lambda *r: {"nano": spark.createDataFrame([(A, h, 0, n) for h, n in r], streaming.DIFFS)}
+    chain.follow(heads((1, "a1", ""), (2, "a2", "a1"), (3, "a3", "a2"), (4, "a4", "a3")), moved((1, 1), (2, 1), (4, 1)))
+    book = chain.tables["nano"]
+    assert rows(book.balances()) == [(A, 3)]
+    with pytest.raises(ValueError, match="height 4"):
+        chain.follow(heads((4, "b4", "b3")), moved((4, 9)))
+    with pytest.raises(ValueError, match="height 6"):
+        chain.follow(heads((6, "a6", "a5")), moved((6, 9)))
+    fork = heads((3, "b3", "a2"), (4, "b4", "b3"), (5, "b5", "b4")), moved((3, 10), (5, 10))
+    for _ in range(2):
+        chain.follow(*fork)
+        assert rows(book.balances()) == [(A, 22)] and rows(chain.headers.diffs(), "header_id") == [("a1",), ("a2",), ("b3",), ("b4",), ("b5",)]
+    book.append(moved((6, 100))["nano"])  # of a batch that died before its headers were written
+    chain.follow(heads((6, "b6", "b5")), moved((6, 1)))
+    assert rows(book.balances()) == [(A, 23)]
+
+
+def test_late_prices_become_final(spark, tmp_path):
+    hour = 3_600_000
+    blocks = spark.createDataFrame([(2, 5), (9, -1), (10, 0), (11, hour // 2), (12, hour), (13, hour * 2), (14, hour * 5)], "height long, timestamp long")
+    points = lambda *p: spark.createDataFrame(list(p), "timestamp long, price double")
+    book = streaming.BlockPrices(spark, str(tmp_path / "prices"), blocks)
+    assert book.prices().isEmpty()
+    book.take(points((0, 1.0), (hour, 3.0)), 0)
+    early = [(2, 5.581469768257971, False), (10, 1.0, False), (11, 2.0, False), (12, 3.0, False)]
+    assert rows(book.prices()) == [*early, (13, 3.0, True), (14, 3.0, True)]
+    for _ in range(2):  # a replay
+        book.take(points((hour, 99.0), (3 * hour, 5.0)), 1)
+        assert rows(book.prices()) == [*early, (13, 4.0, False), (14, 5.0, True)]
+    book.take(points(), 2)
+    book.take(points((7 * hour, 9.0)), 3)
+    assert rows(book.prices()) == [*early, (13, 4.0, False), (14, 7.0, False)]
+
+
 def test_main_chain_takes_the_best_tip(spark):
     h = spark.createDataFrame([(1, 0, "a", ""), (2, 1, "b", "a"), (2, 1, "x", "a"), (3, 2, "y", "x")], "height long, timestamp long, header_id string, parent_id string")
     assert rows(streaming.main_chain(h).where("main_chain"), "header_id") == [("a",), ("x",), ("y",)]
