@@ -89,8 +89,8 @@ def parsed(records: DataFrame) -> DataFrame:
 
 
 def field(column: str, name: str) -> Column:
-    """A header field's value."""
-    return F.regexp_extract(column, rf"(?m)^{name}: ([^\r\n]*)", 1)
+    """A header field's value. Only CRLF begins a line, as a url may hold other characters that end one."""
+    return F.regexp_extract(column, rf"\r\n{name}: ([^\r\n]*)", 1)
 
 
 def archived(pages: DataFrame, **columns) -> DataFrame:

@@ -518,6 +518,14 @@ def test_thousands_of_equal_payloads(spark):
         assert got[i] == want[i % 3]
 
 
+def test_urls_that_look_like_header_lines(spark):
+    lines = [f"http://a{end}{line}" for end in "\x85\u2028\u2029\x0b\x0c" for line in ("Content-Length: 3", "WARC-Refers-To: <urn:page:77:0>", "WARC-Type: revisit")]
+    rows = [(i, url, f"{text} " * 40) for i, (url, text) in enumerate([(u, t) for t in ("same", "own") for u in lines])]
+    rows = [(i, u, h if h.startswith("same") else h + str(i)) for i, u, h in rows]
+    got = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: ("revisit", 0, 200) if 0 < i < len(lines) else ("response", None, len(h)) for i, _, h in rows}
+
+
 def test_records_that_tell_another_length_stop_the_job(spark):
     short = spark.createDataFrame([(bytearray(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"),)], "record binary")
     with pytest.raises(Exception, match="another length"):
