@@ -13,6 +13,20 @@ from .common import shared_dir
 #: Payloads shorter than this are never revisits.
 REVISIT_BYTES = 100
 CRLF = "\r\n"
+#: Spark's setting by which an execution removes its shuffle files when it ends, and not when the driver collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Write df, after which nothing else reads its shuffles: payloads that were dealt out leave the disks at once, before they
+    are dealt out again for reading. The session's setting stays as it was."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, "false")
+    conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(CLEAN_UP, before)
 
 
 def record_id(page: Column, row: Column) -> Column:
@@ -42,27 +56,26 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     """
     spark = pages.sparkSession
     date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    zstd = lambda df, name: df.write.option("compression", "zstd").parquet(f"{path}/{name}")
     body = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     # payloads are hashed once; what follows moves narrow rows, numbered as written
-    zstd(rows.select("page_id", "url", "digest", F.octet_length("payload").cast("long").alias("size"), F.xxhash64("payload").alias("check"), F.monotonically_increasing_id().alias("row")), "seen")
+    write_table(rows.select("page_id", "url", "digest", F.octet_length("payload").cast("long").alias("size"), F.xxhash64("payload").alias("check"), F.monotonically_increasing_id().alias("row")), f"{path}/seen")
     seen = spark.read.parquet(f"{path}/seen")
     order = F.struct(F.col("page_id").isNull(), "page_id", "row")
     first = seen.groupBy("digest").agg(F.min(order).alias("f"), F.min("size").alias("a"), F.max("size").alias("b"), F.min("check").alias("c"), F.max("check").alias("d"))
     sound = F.when((F.col("a") == F.col("b")) & (F.col("c") == F.col("d")), F.col("f.row")).otherwise(F.raise_error(F.lit("different payloads have one digest")).cast("long"))
-    zstd(first.select("digest", F.col("f.page_id").alias("first"), sound.alias("first_row")), "firsts")
+    write_table(first.select("digest", F.col("f.page_id").alias("first"), sound.alias("first_row")), f"{path}/firsts")
     first = spark.read.parquet(f"{path}/firsts")
     other = (F.col("size") >= REVISIT_BYTES) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     kind = F.when(other, F.lit("revisit")).otherwise(F.lit("response"))
     told = header(kind, record_id(F.col("page_id"), F.col("row")), F.col("url"), F.col("digest"), F.col("size"), record_id(F.col("first"), F.col("first_row")), date)
-    zstd(seen.join(first, "digest").select("page_id", "digest", told.alias("header")), "headers")
+    write_table(seen.join(first, "digest").select("page_id", "digest", told.alias("header")), f"{path}/headers")
     # Only rows of a payload's first page bring its bytes on. Dealt by digest and page, so that copies of a common payload
     # spread; only rows that repeat page and payload meet, and of these one stays without a further shuffle.
     page = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     first = first.select("digest", page(F.col("first")).alias("page"))
     owners = rows.select(page(F.col("page_id")).alias("page"), "digest", "payload").join(first, ["digest", "page"], "left_semi")
-    zstd(owners.dropDuplicates(["digest", "page"]).select("digest", "payload"), "payloads")
+    write_table(owners.dropDuplicates(["digest", "page"]).select("digest", "payload"), f"{path}/payloads")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

@@ -508,6 +508,7 @@ def test_archive_round_trip(spark):
     got = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"] or 0) for r in warc.archived(df).collect())
     assert got == [(0, "response", 0), (0, "revisit", 1), (1, "response", 0), (2, "revisit", 1), (2, "revisit", 1), (3, "response", 0), (4, "response", 0), (5, "response", 0)]
     assert warc.archived(df.limit(0)).count() == 0
+    assert spark.conf.get(warc.CLEAN_UP) == "false"
 
 
 def test_thousands_of_equal_payloads(spark):
