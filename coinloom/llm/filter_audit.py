@@ -62,9 +62,9 @@ def combinations(failed: DataFrame, labels: DataFrame, id_col: str = "doc_id") -
     both = failed.join(known, "doc", "left")
     of = lambda c: F.sum(F.when(F.coalesce(c, F.lit(False)), F.col("n")).otherwise(0)).alias(c)
     counts = both.groupBy("part", "mask").agg(F.sum("n").alias("n"), of("good"), of("toxic"))
-    places = range(1 << len(FILTERS))
-    at = lambda c: F.array(*(F.coalesce(F.sum(F.when(F.col("mask") == m, F.col(c))), F.lit(0)).cast("long") for m in places)).alias(c)
-    return counts.groupBy("part").agg(at("n"), at("good"), at("toxic"))
+    seen = counts.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("mask", F.struct("n", "good", "toxic")))).alias("seen"))  # 32 at most
+    at = lambda c: F.transform(F.sequence(F.lit(0), F.lit((1 << len(FILTERS)) - 1)), lambda m: F.coalesce(F.element_at("seen", m)[c], F.lit(0).cast("long"))).alias(c)
+    return seen.select("part", at("n"), at("good"), at("toxic"))
 
 
 def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
