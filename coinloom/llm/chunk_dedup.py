@@ -6,11 +6,12 @@ bytes on both sides. Cuts therefore move with the content: after an insertion th
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialize, mix64, portions, unused, utf8
@@ -78,17 +79,26 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-CHUNK = "id long, start int, size int, hi long, lo long, again boolean"
+#: What tells a document: its id, or a second hash of the text where it has none, and a hash of the text. Rows that share an id
+#: stay apart unless their texts are equal too.
+OWN = ("known", "id", "code")
+CHUNK = "known boolean, id long, code long, start int, size int, hi long, lo long, again boolean"
+
+
+def owner(id_col: str, text_col: str) -> dict[str, Column]:
+    own = F.col(id_col).cast("long")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return {"known": own.isNotNull(), "id": F.coalesce(own, F.xxhash64(F.lit(1), text)), "code": F.xxhash64(text)}
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, start, size, hi, lo, again): the chunks of each text, by bytes, with a 128-bit digest in two halves; again: the
-    same chunk came earlier in this text."""
+    """(known, id, code, start, size, hi, lo, again): the chunks of each text, by bytes, with a 128-bit digest in two halves; again:
+    the same chunk came earlier in this text."""
     bounded_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
+            data, offsets = utf8(batch.column(3))
             for i, j in portions(offsets):
                 row, start, size, again, keys = [], [], [], [], []
                 for r in range(i, j):
@@ -100,19 +110,25 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                         seen.add(key)
                         at = end
                 halves = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int32())), pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())], ["id", "start", "size", "hi", "lo", "again"])
+                row = pa.array(row, pa.int32())
+                own = [batch.column(k).take(row) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())], [*OWN, "start", "size", "hi", "lo", "again"])
 
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), F.col(text_col)).mapInArrow(run, CHUNK)
+    return docs.select(*(c.alias(n) for n, c in owner(id_col, text_col).items()), F.col(text_col)).mapInArrow(run, CHUNK)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, spans): for each document the chunks that came before, in a document of smaller id or earlier in itself."""
+    """(known, id, code, spans): for each document the chunks that came before, in a document of smaller id (null being the
+    smallest) or earlier in itself."""
     every = materialize(chunks(docs, id_col, text_col), "chunks")
-    first = every.where("not again").groupBy("hi", "lo").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    first = materialize(first.select("hi", "lo", "first"), "repeats")
+    once = every.where("not again")
+    number = F.when(F.col("known"), F.col("id"))
+    first = once.groupBy("hi", "lo").agg(F.min("known").alias("all_known"), F.min(number).alias("first"), F.max(number).alias("last"))
+    first = first.where("if(all_known, first < last, last is not null)")
+    first = materialize(first.select("hi", "lo", F.when(F.col("all_known"), F.col("first")).alias("first")), "repeats")
     # both sides of this join are dealt by digest, and what is hot among the chunks is split at run time
-    later = every.where("not again").join(first, ["hi", "lo"]).where("id > first").select("id", "start", "size")
-    spans = later.union(every.where("again").select("id", "start", "size")).groupBy("id")
+    later = once.join(first, ["hi", "lo"]).where("known and (first is null or id > first)").select(*OWN, "start", "size")
+    spans = later.union(every.where("again").select(*OWN, "start", "size")).groupBy(*OWN)
     return materialize(spans.agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("spans")), "spans")
 
 
@@ -132,13 +148,14 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     byte spans of the old text.
 
     The first occurrence, by id and then place, stays whole; each later run of at least min_run bytes of repeated chunks goes.
-    Rows with the same id count as one document for order, null ids as the smallest; repeated rows get equal results.
+    Each row is a document of its own, whose passages are cut by what it repeats itself; null ids are the smallest, and of
+    rows with equal ids, or with none, neither is earlier, so they keep what they share. Repeated rows get equal results.
     Null text stays null. A text that is a whole copy becomes empty. An empty table gives an empty one.
     """
-    own, found = unused(docs, "span_id", "spans")
-    spans = repeated_spans(docs, id_col, text_col).select(F.col("id").alias(own), F.col("spans").alias(found))
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    joined = docs.join(spans, key == F.col(own), "left").drop(own)
+    *own, found = unused(docs, *(f"span_{c}" for c in OWN), "spans")
+    spans = repeated_spans(docs, id_col, text_col).toDF(*own, found)
+    same = functools.reduce(lambda a, b: a & b, (c == F.col(n) for c, n in zip(owner(id_col, text_col).values(), own, strict=True)))
+    joined = docs.join(spans, same, "left")
     names = docs.columns
     at, texts = len(names), names.index(text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{removed_col}` array<struct<start:int,end:int>>"
@@ -149,9 +166,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for text, spans in zip(batch.column(texts).to_pylist(), batch.column(at).to_pylist(), strict=True):
                 cut = runs(spans, min_run) if text else []
                 if cut:
-                    raw = text.encode("utf-8", "surrogatepass")
+                    raw = text.encode()
                     ends = [0, *(b for _, b in cut)]
-                    text = b"".join(raw[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(raw)], strict=True)).decode("utf-8", "replace")
+                    text = b"".join(raw[a:b] for a, b in zip(ends, [*(a for a, _ in cut), len(raw)], strict=True)).decode()
                 new.append(text), gone.append([{"start": a, "end": b} for a, b in cut])
             columns = [pa.array(new, pa.string()) if i == texts else batch.column(i) for i in range(at)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], [*names, removed_col])

@@ -44,8 +44,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document holds; n_chars follows the text. Texts that were repeats throughout go.
 
-    Null and empty texts stay. Earlier is by doc_id, nulls first; rows with the same doc_id are one document and keep equal
-    parts; other columns stay as they are; an empty table gives an empty one.
+    Null and empty texts stay. Earlier is by doc_id, nulls first; of rows with equal or no doc_id neither is earlier, and they
+    keep what they share; other columns stay as they are; an empty table gives an empty one.
     """
     (removed,) = unused(docs, "removed")
     out = chunk_dedup.deduplicated(docs, removed_col=removed).where((F.size(removed) == 0) | (F.trim("text") != ""))

@@ -219,6 +219,40 @@ def test_chunks_and_spans_in_plain_python(spark):
         assert (got[i]["text"] or "").encode() == b"".join(data[a:b] for a, b in zip([0, *(e for _, e in want[i])], [*(s for s, _ in want[i]), len(data)], strict=True))
 
 
+@pytest.mark.parametrize("stage", [False, True])
+def test_spans_belong_to_rows(spark, stage):
+    """Several rows without an id, and one id with several texts: each row loses what it repeats itself, and nothing else."""
+    import corpus_pipeline as p
+
+    r = random.Random(12)
+    shared, inner = prose(60, r), prose(50, r)
+    rows = [(None, f"{inner} {prose(20, r)} {inner}"), (None, prose(120, r)), (None, f"{prose(30, r)} {shared}"), (None, None), (5, f"{inner} {prose(70, r)}"), (5, f"{prose(90, r)}"), (5, f"{prose(40, r)} {shared} {shared}"), (5, None), (5, ""), (7, f"{shared} {prose(30, r)}")]
+    rows += [rows[5], (8, rows[5][1])]
+    earlier = lambda a, b: a != b and (a is None or (b is not None and a < b))
+    pieces = [[(t or "").encode()[i:j] for i, j in zip([0, *ends], ends, strict=False)] for _, t in rows for ends in [plain_chunks((t or "").encode())]]
+    want = []
+    for (i, t), own in zip(rows, pieces, strict=True):
+        spans, at, seen = [], 0, set()
+        for c in own:
+            if c in seen or any(earlier(k, i) and c in other for (k, _), other in zip(rows, pieces, strict=True)):
+                if spans and spans[-1][1] == at:
+                    spans[-1][1] += len(c)
+                else:
+                    spans.append([at, at + len(c)])
+            seen.add(c)
+            at += len(c)
+        spans = [s for s in spans if s[1] - s[0] >= chunk_dedup.MIN_RUN]
+        data = (t or "").encode()
+        left = b"".join(data[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(data)], strict=True))
+        if not (stage and spans and not left.strip()):  # the stage drops texts that repeat throughout
+            want.append((i, None if t is None else left.decode()))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOC)
+    out = p.without_repeats(spark, df, SF) if stage else chunk_dedup.deduplicated(df)
+    got = sorted(((q["doc_id"], q["text"]) for q in out.collect()), key=str)
+    assert got == sorted(want, key=str)
+    assert (None, rows[1][1]) in got and got.count((5, rows[5][1])) == 2 and sum(a != b for a, b in zip(sorted(map(str, rows)), sorted(map(str, got)), strict=False)) > 2
+
+
 def test_repeated_passages_go_and_clean_ones_stay(spark):
     shared = prose(60)
     texts = [prose(100) for _ in range(6)]
