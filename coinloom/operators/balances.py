@@ -82,6 +82,53 @@ def live_steps(diffs: DataFrame, headers: DataFrame, span: int = 1000) -> DataFr
     )
 
 
+def share(total: int, of: int) -> int:
+    """A quotient cut towards zero."""
+    return abs(total) // abs(of) * (1 if (total < 0) == (of < 0) else -1)
+
+
+def folded(rows: DataFrame, state: DataFrame | None = None, log_from: int | None = None) -> DataFrame:
+    """(address_id, height, nano, mean_age_timestamp) of the addresses of rows (address_id, height, tx_idx, nano, timestamp), from state
+    (address_id, nano, mean_age_timestamp) or from nothing: with a null height what an address has in the end, zeros included, and, from
+    the height log_from on, what it had before each block that touches it (null: nothing).
+
+    Rows are dealt by address, sorted, and stream through with one address's state at a time.
+    """
+    none = F.lit(None).cast("long")
+    stream = rows.select("address_id", "height", "tx_idx", "nano", "timestamp")
+    if state is not None:
+        stream = stream.unionByName(state.select("address_id", none.alias("height"), none.alias("tx_idx"), "nano", F.col("mean_age_timestamp").alias("timestamp")))
+    stream = stream.select("address_id", F.coalesce("height", F.lit(-(2**62))).alias("height"), F.coalesce("tx_idx", F.lit(0)).cast("long").alias("tx_idx"), "nano", "timestamp")
+    least = 2**62 if log_from is None else log_from
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, block, balance, mean, out = None, None, 0, 0, []
+        frame = lambda rows: pd.DataFrame(rows, columns=["address_id", "height", "nano", "mean_age_timestamp"]).astype({"address_id": "int64", "height": "Int64", "nano": "Int64", "mean_age_timestamp": "Int64"})
+        for f in frames:
+            for a, h, n, t in zip(f["address_id"].tolist(), f["height"].tolist(), f["nano"].tolist(), f["timestamp"].tolist(), strict=True):
+                if a != current:
+                    if current is not None:
+                        out.append((current, None, balance, mean))
+                    current, block, balance, mean = a, None, 0, 0
+                    if h == -(2**62):
+                        balance, mean = n, t
+                        continue
+                if h != block and h >= least:
+                    out.append((a, h, balance or None, mean if balance else None))
+                block = h
+                if n > 0:  # a debt paid off exactly leaves nothing whose age could be told
+                    mean = share(mean * balance + t * n, balance + n) if balance + n else 0
+                balance += n
+                mean = mean if balance else 0
+            yield frame(out)
+            out = []
+        if current is not None:
+            yield frame([(current, None, balance, mean)])
+
+    dealt = stream.repartition("address_id").sortWithinPartitions("address_id", "height", "tx_idx")
+    return dealt.mapInPandas(fold, "address_id long, height long, nano long, mean_age_timestamp long")
+
+
 def mean_age(diffs: DataFrame, headers: DataFrame) -> DataFrame:
     """(address_id, nano, mean_age_timestamp): the value-weighted mean time at which an address's coins came.
 
@@ -101,7 +148,7 @@ def mean_age(diffs: DataFrame, headers: DataFrame) -> DataFrame:
                         out.append((current, balance, mean))
                     current, balance, mean = a, 0, 0
                 if credit > 0:  # a debt paid off exactly leaves nothing whose age could be told
-                    mean = (mean * balance + t * credit) // (balance + credit) if balance + credit else 0
+                    mean = share(mean * balance + t * credit, balance + credit) if balance + credit else 0
                 balance += credit + debit
             yield pd.DataFrame(out, columns=["address_id", "nano", "mean_age_timestamp"])
         if current is not None and balance > 0:

@@ -1,4 +1,8 @@
-"""Structured Streaming: blocks to diffs and balances with replays and rollbacks, windows, late prices, keyed state."""
+"""Structured Streaming: blocks to diffs and balances with replays and rollbacks, windows, late prices, keyed state.
+
+chain: facts that follow the best branch; state: balances, means and statistics kept by batches, with a log to undo blocks;
+detection: exchange deposits by batches; keyed: state with timers; tables: what these write.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import ROLLBACK_HORIZON
-from ..operators.balances import erg_balances
 from ..operators.prices import interpolated
 from ..shared import materialize, shared_dir
 from ..sources import upserted
+from .chain import DIFFS, HEADERS, Chain, Ledger, best_branch, branches, broken_links  # noqa: F401
+from .tables import table_or_empty
 
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -21,149 +26,44 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet table that the first batch makes; without rows before that."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
-
-
-DIFFS = "address_id long, height long, tx_idx long, nano long"
-HEADERS = "height long, header_id string, parent_id string"
-
-
-class Ledger:
-    """Diffs (or other facts of a schema with height) under a folder, with balances of them. append skips heights that are there, so
-    replays change nothing; roll_back drops heights. A block's rows come in one batch. A span of heights is a folder, so a long
-    chain has few and a rollback rewrites the last ones only."""
-
-    def __init__(self, spark: SparkSession, path: str, span: int = 1000, schema: str = DIFFS):
-        self.spark, self.path, self.span, self.schema = spark, path, span, schema
-        self.columns = [c.split()[0] for c in schema.split(", ")]
-
-    def diffs(self) -> DataFrame:
-        return table_or_empty(self.spark, f"{self.path}/diffs", self.schema).select(*self.columns)
-
-    def head(self) -> int:
-        found = self.diffs().agg(F.max("height")).first()[0]
-        return -1 if found is None else found
-
-    def append(self, batch: DataFrame, _: int = 0) -> None:
-        new = batch.where(F.col("height") > self.head())
-        self._write(new, "append")
-
-    def _write(self, rows: DataFrame, mode: str) -> None:
-        part = F.floor(F.col("height") / self.span).cast("long").alias("span")
-        rows.select(*self.columns, part).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("span").parquet(f"{self.path}/diffs")
-
-    def roll_back(self, height: int) -> None:
-        """Forget the blocks from a height on, as when the chain turns to another branch."""
-        head = self.head()
-        if head - height >= ROLLBACK_HORIZON:
-            raise ValueError("a rollback goes further back than the horizon")
-        self.drop_from(height)
-
-    def drop_from(self, height: int) -> None:
-        head = self.head()
-        if head < height:
-            return
-        first = height // self.span
-        kept = self.diffs().where((F.col("height") >= first * self.span) & (F.col("height") < height))
-        whole = kept.isEmpty()
-        if not whole:  # what stays of the first span is written elsewhere before it takes the span's place
-            self._write(materialize(kept, "kept"), "overwrite")
-        files = self.spark._jvm.org.apache.hadoop.fs
-        for span in range(first if whole else first + 1, head // self.span + 1):
-            where = files.Path(f"{self.path}/diffs/span={span}")
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
-
-    def balances(self) -> DataFrame:
-        return erg_balances(self.diffs())
-
-
-class Chain:
-    """Tables of facts by height that follow a chain of headers through forks: each batch's headers lead, the tables go with them.
-
-    Headers are written last and dropped first, so rows beyond the last header are of a batch that died, and go.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, tables: dict[str, str], span: int = 1000):
-        self.headers = Ledger(spark, f"{path}/headers", span, HEADERS)
-        self.tables = {name: Ledger(spark, f"{path}/{name}", span, schema) for name, schema in tables.items()}
-
-    def roll_back(self, height: int) -> None:
-        self.headers.roll_back(height)
-        self._drop_rows(height)
-
-    def _drop_rows(self, height: int) -> None:
-        for book in self.tables.values():
-            book.drop_from(height)
-
-    def follow(self, headers: DataFrame, facts: dict[str, DataFrame]) -> None:
-        """Append a batch of blocks, one a height. Known ones are skipped; an unknown one at a known height starts another branch,
-        which takes the place of what is there from that height on. A batch that doesn't join the chain is refused."""
-        self._drop_rows(self.headers.head() + 1)
-        known = self.headers.diffs()
-        new = materialize(headers.join(known.select("header_id"), "header_id", "left_anti").select("height", "header_id", "parent_id"), "new-headers")
-        first = new.agg(F.min("height")).first()[0]
-        if first is None:
-            return
-        wrong = broken_links(known.where(F.col("height") == first - 1).unionByName(new)).agg(F.min("height")).first()[0]
-        if wrong is None and self.headers.head() >= 0 and known.where(F.col("height") == first - 1).isEmpty():
-            wrong = first
-        if wrong is not None:
-            raise ValueError(f"the block of height {wrong} doesn't follow the one before")
-        self.roll_back(first)
-        for name, rows in facts.items():
-            self.tables[name].append(rows.where(F.col("height") >= first))
-        self.headers.append(new)
-
-
 class BlockPrices:
     """Prices of blocks under a folder, as price points arrive in order. Once two points enclose a block its price is final and is
-    written once; a batch is a folder, so a replayed one takes its own place. A point that comes between older ones changes
-    nothing that is final."""
+    written once; a batch is a folder, so a replayed one takes its own place. A point that comes before the last one changes
+    nothing, as all until then is final: a batch reads the blocks after it, and no others."""
 
     def __init__(self, spark: SparkSession, path: str, blocks: DataFrame, genesis_heights: int = 3):
         self.spark, self.path, self.blocks, self.genesis_heights = spark, path, blocks, genesis_heights
 
-    def _table(self, name: str, batch: int | None = None) -> DataFrame:
-        schema = {"points": "timestamp long, price double, batch long", "final": "height long, price double, batch long"}[name]
-        rows = table_or_empty(self.spark, f"{self.path}/{name}", schema)
-        return (rows if batch is None else rows.where(F.col("batch") < batch)).drop("batch")
-
-    def _write(self, rows: DataFrame, name: str, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
-
-    def _pending(self, points: DataFrame, final: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Blocks without a final price, and the points from the last one before the first of them on."""
-        start = points.agg(F.min("timestamp")).first()[0]
-        dated = self.blocks.where((F.col("height") <= self.genesis_heights) | (F.col("timestamp") >= start))
-        pending = materialize(dated.select("height", "timestamp").join(final.select("height"), "height", "left_anti"), "pending")
-        low = pending.where(F.col("height") > self.genesis_heights).agg(F.min("timestamp")).first()[0]
-        since = points.where(F.col("timestamp") <= low).agg(F.max("timestamp")).first()[0] if low is not None else start
-        return pending, points.where(F.col("timestamp") >= since)
+    def _last(self, before: int | None = None) -> tuple | None:
+        """(batch, timestamp, price) of the last point, as of all batches or of those before a number. The last two batches have a row."""
+        rows = table_or_empty(self.spark, f"{self.path}/last", "batch long, timestamp long, price double").collect()
+        return max(((r["batch"], r["timestamp"], r["price"]) for r in rows if r["timestamp"] is not None and (before is None or r["batch"] < before)), default=None)
 
     def take(self, batch: DataFrame, number: int) -> None:
         """Points (timestamp, price) of a batch; for foreachBatch."""
-        before = self._table("points", number)
-        fresh = batch.select("timestamp", F.col("price").cast("double").alias("price")).dropDuplicates(["timestamp"])
-        self._write(fresh.join(before.select("timestamp"), "timestamp", "left_anti"), "points", number)
-        points = before.unionByName(self.spark.read.parquet(f"{self.path}/points/batch={number}"))
-        if not points.isEmpty():
-            priced = interpolated(*self._pending(points, self._table("final", number)), self.genesis_heights)
-            self._write(priced.where("not provisional").select("height", "price"), "final", number)
+        last = self._last(number)
+        points = batch.select("timestamp", F.col("price").cast("double").alias("price")).dropDuplicates(["timestamp"])
+        if last is not None:
+            points = points.where(F.col("timestamp") > last[1]).unionByName(self.spark.createDataFrame([last[1:]], "timestamp long, price double"))
+        points = materialize(points, "points")
+        latest = points.agg(F.max("timestamp"), F.max_by("price", "timestamp")).first()
+        if latest[0] is not None:
+            above = F.col("height") > self.genesis_heights
+            pending = self.blocks.where(F.col("timestamp") > last[1]).where(above) if last else self.blocks
+            pending = pending.where(~above | (F.col("timestamp") <= latest[0])).select("height", "timestamp")
+            priced = interpolated(pending, points, self.genesis_heights).where("not provisional").select("height", "price")
+            priced.write.mode("overwrite").parquet(f"{self.path}/final/batch={number}")
+        row = self.spark.createDataFrame([(number, *latest)], "batch long, timestamp long, price double")
+        row.write.mode("overwrite").parquet(f"{self.path}/last/slot={number % 2}")
 
     def prices(self) -> DataFrame:
         """(height, price, provisional): final prices, and the last point's for blocks after it."""
-        points, final = self._table("points"), self._table("final")
-        done = final.withColumn("provisional", F.lit(False))
-        if points.isEmpty():
+        last = self._last()
+        done = table_or_empty(self.spark, f"{self.path}/final", "height long, price double").select("height", "price").withColumn("provisional", F.lit(False))
+        if last is None:
             return done
-        return done.unionByName(interpolated(*self._pending(points, final), self.genesis_heights).where("provisional"))
+        later = self.blocks.where((F.col("height") > self.genesis_heights) & (F.col("timestamp") > last[1]))
+        return done.unionByName(later.select("height", F.lit(last[2]).alias("price"), F.lit(True).alias("provisional")))
 
 
 def main_chain(headers: DataFrame, horizon: int = ROLLBACK_HORIZON) -> DataFrame:
@@ -189,15 +89,6 @@ def state_log(before: DataFrame, diffs: DataFrame, height: int) -> DataFrame:
     return touched.join(old, "address_id", "left").select(F.lit(height).alias("height"), "address_id", "old")
 
 
-def broken_links(headers: DataFrame) -> DataFrame:
-    """Headers (height, header_id, parent_id) that don't follow the one before: its id isn't their parent, or it is missing. The
-    first height needs none. To be empty before a batch is appended; the lowest broken height is where to roll back to."""
-    before = headers.select((F.col("height") + 1).alias("height"), F.col("header_id").alias("_before"))
-    first = headers.agg(F.min("height").alias("_first"))
-    out = headers.join(before, "height", "left").crossJoin(F.broadcast(first))  # one row
-    return out.where((F.col("height") > F.col("_first")) & ~F.col("parent_id").eqNullSafe(F.col("_before"))).select("height", "header_id", "parent_id")
-
-
 def restored(balances: DataFrame, log: DataFrame, height: int) -> DataFrame:
     """Balances as they were before `height`: of each key the oldest logged state from there on."""
     undo = log.where(F.col("height") >= height).groupBy("address_id").agg(F.min_by(F.struct("old"), "height").alias("r")).select("address_id", F.col("r.old").alias("nano"))
@@ -210,6 +101,17 @@ def hourly_totals(events: DataFrame, time: str, lateness: str = "40 minutes", wi
     return events.withWatermark(time, lateness).groupBy(window.alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
+def sliding_difficulty(headers: DataFrame, lateness: str = "40 minutes", width: str = "24 hours", slide: str = "1 hour") -> DataFrame:
+    """A stream of headers (time, timestamp, difficulty) -> (start, n, difficulty_24h, hash_rate_24h) of each sliding window, once the watermark
+    has passed its end: the mean rounds half to even, the rate truncates over at least 120 seconds between the first and the
+    last block. Headers that come later than the lateness are left out."""
+    w = F.window("time", width, slide)
+    sums = headers.withWatermark("time", lateness).groupBy(w.alias("w")).agg(F.count("*").alias("n"), F.sum(F.col("difficulty").cast("decimal(38,0)")).alias("s"), F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    mean = F.expr("bround(s / cast(n as decimal(20,0)), 0)").cast("long").alias("difficulty_24h")
+    rate = F.expr("s div cast(greatest((b - a) div 1000, 120) as decimal(20,0))").cast("long").alias("hash_rate_24h")
+    return sums.select(F.col("w.start").alias("start"), "n", mean, rate)
+
+
 def running_balances(diffs: DataFrame) -> DataFrame:
     """A stream of diffs (address_id, height, tx_idx, nano, timestamp) -> (address_id, nano, mean_age_timestamp) whenever a batch touches an
     address; its state is a balance and a mean. A key's rows of a batch are sorted in memory and folded in order, so the source's
