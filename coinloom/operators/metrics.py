@@ -11,6 +11,9 @@ from ..shared import materialize
 from .balances import balance_changes
 from .helpers import height_spine, prefix_sum
 
+#: Rows that a rich list can have.
+MOST_RICH = 10_000
+
 
 def address_count(balances: DataFrame, kind: str, value: str = "nano", at_least: int | None = None, below: int | None = None) -> DataFrame:
     """How many balances of wallets ("p2pk") or of all else ("contracts") lie in a half-open range."""
@@ -60,8 +63,10 @@ def supply_composition(diffs: DataFrame, headers: DataFrame | None = None) -> Da
 
 
 def rich_list(balances: DataFrame, limit: int, value: str = "nano", exclude: tuple = EMISSION_CONTRACTS, addresses: DataFrame | None = None) -> DataFrame:
-    """The largest balances, ties by id. Each task keeps its own top rows; texts join after the cut."""
-    top = balances.where(~F.col("address_id").isin(*exclude)).orderBy(F.desc(value), "address_id").limit(min(limit, 10_000))
+    """The largest balances, MOST_RICH at most, ties by id. Each task keeps its own top rows; texts join after the cut."""
+    if limit > MOST_RICH:
+        raise ValueError(f"a rich list has {MOST_RICH} rows at most")
+    top = balances.where(~F.col("address_id").isin(*exclude)).orderBy(F.desc(value), "address_id").limit(limit)
     return top if addresses is None else top.join(addresses.select(F.col("id").alias("address_id"), "address"), "address_id", "left")
 
 

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import GENESIS_PRICE, HOUR_MS
-from .helpers import interval_join
+from ..constants import DAY_MS, GENESIS_PRICE, HOUR_MS
+from .helpers import interval_join, with_next
+
+
+#: Points whose neighbours one task finds: those of thirty days.
+BUCKET_MS = 30 * DAY_MS
 
 
 def intervals(prices: DataFrame) -> DataFrame:
-    """(t0, p0, t1, p1, first): neighbouring points. Points are ordered as a whole by one task: a point an
-    hour, 8,760 a year, as the series is fetched; a finer series is to be brought to hours first."""
-    w = Window.orderBy("timestamp")
-    return prices.select(F.col("timestamp").alias("t0"), F.col("price").alias("p0"), F.lead("timestamp").over(w).alias("t1"), F.lead("price").over(w).alias("p1"), (F.row_number().over(w) == 1).alias("first"))
+    """(t0, p0, t1, p1, first): neighbouring points. Each bucket of days orders its own points, and looks its successor's first one
+    up among one row a bucket."""
+    rows = with_next(prices.select("timestamp", "price"), "timestamp", ["timestamp", "price"], BUCKET_MS)
+    least = prices.agg(F.min("timestamp").alias("_least"))
+    both = rows.crossJoin(F.broadcast(least))  # one row
+    return both.select(F.col("timestamp").alias("t0"), F.col("price").alias("p0"), F.col("next_timestamp").alias("t1"), F.col("next_price").alias("p1"), (F.col("timestamp") == F.col("_least")).alias("first"))
 
 
 def interpolated(blocks: DataFrame, prices: DataFrame, genesis_heights: int = 3) -> DataFrame:

@@ -56,6 +56,13 @@ def added(target: DataFrame, updates: DataFrame, key: str = "service") -> DataFr
     return sums
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write df under path as table `name`, in buckets by key, each sorted by it, and read it. Tables in equally many buckets of
+    their keys join on them without an exchange, however often they are read."""
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_version(df: DataFrame, path: str) -> str:
     """Write a table as a further version beside the older ones; its path is the pointer to store. Readers of older versions are
     not disturbed, and a job that dies leaves none behind."""
