@@ -1 +1,3 @@
 """Queries over the driver tables."""
+
+from . import queries, incremental  # noqa: E402, F401, I001

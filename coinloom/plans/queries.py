@@ -233,7 +233,7 @@ def candidates(s, d):
     return exchanges.deposit_candidates(erg(s, d), led.main_addresses(s, d))
 
 
-@query(f"WITH {_CAND} SELECT height, tx_idx, address_id, CAST(len(cex_ids) AS INT) AS n_cex FROM cand")
+@query(f"WITH {DIFFS}, {MAIN}, rx AS (SELECT height, tx_idx, CAST(count(DISTINCT cex_id) AS INT) AS n_cex FROM diffs JOIN main USING (address_id) WHERE nano > 0 GROUP BY 1, 2) SELECT d.height, d.tx_idx, d.address_id, n_cex FROM diffs d JOIN rx ON rx.height = d.height AND rx.tx_idx = d.tx_idx LEFT JOIN main m ON m.address_id = d.address_id WHERE d.nano < 0 AND d.address_id <> 2403 AND m.address_id IS NULL")
 def deposit_candidates(s, d):
     return candidates(s, d).select("height", "tx_idx", "address_id", F.size("cex_ids").alias("n_cex"))
 
@@ -469,14 +469,20 @@ def _address(key):
 @query(f"""WITH f AS (SELECT {_ADDR} AS address, o_custkey % 3 AS m, min((datediff('day', DATE '1995-01-01', o_orderdate::DATE) + 1, o_orderkey)) AS a FROM orders GROUP BY 1, 2)
     SELECT row_number() OVER (ORDER BY a) * 10 + CASE m WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS id, CAST(a[1] AS BIGINT) AS spot_height, address FROM f""")
 def address_index(s, d):
-    o = led.table(s, d, "orders").select(led.height_of(F.col("o_orderdate")).alias("height"), F.col("o_orderkey").alias("tx_idx"), F.lit(0).alias("out_idx"), _address("o_custkey").alias("address"))
-    return diffs.index_addresses(o)
+    return diffs.index_addresses(addressed(s, d))
+
+
+def addressed(s, d):
+    return led.table(s, d, "orders").select(led.height_of(F.col("o_orderdate")).alias("height"), F.col("o_orderkey").alias("tx_idx"), F.lit(0).alias("out_idx"), _address("o_custkey").alias("address"))
+
+
+def token_boxes(s, d):
+    return led.lines(s, d).select("height", "tx_idx", F.col("part").alias("out_idx"), F.array(F.struct(F.concat(F.lit("t"), "part").alias("token_id"), F.lit(1).alias("amount"))).alias("assets"))
 
 
 @query(f"WITH {LINES}, f AS (SELECT 't' || part AS token_id, min((height, tx_idx, part)) AS a FROM lines GROUP BY part) SELECT row_number() OVER (ORDER BY a) AS asset_id, a[1] AS spot_height, token_id FROM f")
 def token_index(s, d):
-    x = led.lines(s, d).select("height", "tx_idx", F.col("part").alias("out_idx"), F.array(F.struct(F.concat(F.lit("t"), "part").alias("token_id"), F.lit(1).alias("amount"))).alias("assets"))
-    return diffs.index_tokens(x)
+    return diffs.index_tokens(token_boxes(s, d))
 
 
 @query(f"WITH {EV} SELECT height, CAST(CASE WHEN h > 127 THEN h - 256 ELSE h END AS INT) AS v1, 3 AS v2, 250 - 256 AS v3 FROM (SELECT height, amount % 256 AS h FROM ev)")
@@ -625,21 +631,22 @@ def broken_links(s, d):
 
 @query(f"WITH {EV}, x AS (SELECT height // 100 AS h, user_id * 10 + 1 AS address_id, user_id % 5 AS asset_id, amount FROM ev), t AS (SELECT max(h) - 4 AS fork FROM x) SELECT address_id, CAST(sum(amount + 1 + CASE WHEN h >= fork THEN 1 ELSE 0 END) AS BIGINT) AS nano, CAST(asset_id AS BIGINT) AS asset_id, CAST(sum(CASE WHEN h >= fork THEN 2 ELSE 1 END) AS BIGINT) AS value FROM x, t GROUP BY address_id, asset_id")
 def chain_with_fork(s, d):
-    """Balances of coins and tokens after the last five blocks came anew on another branch, by their headers alone; a replay of
-    that batch changes nothing."""
+    """Balances of coins and tokens after the last blocks came anew on another branch, which ends one block higher; a replay of that
+    batch changes nothing."""
     tokens = "address_id long, height long, tx_idx long, asset_id long, value long"
     chain = streaming.Chain(s, streaming.scratch(s, "chain"), {"nano": streaming.DIFFS, "tokens": tokens}, span=50)
     moved = led.table(s, d, "events").select(F.floor(F.col("event_id") / 100).cast("long").alias("height"), F.col("event_id").cast("long").alias("tx_idx"), (F.col("user_id") * 10 + 1).alias("address_id"), (F.col("user_id") % 5).cast("long").alias("asset_id"), F.round(F.col("value") * 100).cast("long").alias("amount"))
     heights = materialize(moved.select("height").distinct(), "heights")
     fork = heights.agg(F.max("height")).first()[0] - 4
 
-    def batch(branch, first, more):
+    def batch(branch, first, more, last=None):
         parent = F.concat(F.when(F.col("height") - 1 < fork, "a").otherwise(branch), F.col("height") - 1)
-        headers = heights.where(F.col("height") >= first).select("height", F.concat(F.lit(branch), "height").alias("header_id"), parent.alias("parent_id"))
-        rows = moved.where(F.col("height") >= first)
+        inside = F.col("height").between(first, fork + 4 if last is None else last)
+        headers = heights.where(inside).select("height", F.concat(F.lit(branch), "height").alias("header_id"), parent.alias("parent_id"))
+        rows = moved.where(inside)
         return headers, {"nano": rows.withColumn("nano", F.col("amount") + more), "tokens": rows.withColumn("value", F.lit(more).cast("long"))}
 
-    chain.follow(*batch("a", 0, 1))
+    chain.follow(*batch("a", 0, 1, fork + 3))
     chain.follow(*batch("b", fork, 2))
     chain.follow(*batch("b", fork, 2))
     nano, held = bal.erg_balances(chain.tables["nano"].diffs()), bal.token_balances(chain.tables["tokens"].diffs())
