@@ -40,14 +40,14 @@ def stream_mean_age(s, d):
     return state.balances(s, path)
 
 
-_FORKED = f"{EV}, t AS (SELECT max(height // 1000) - 4 AS fork FROM ev), x AS (SELECT height // 1000 AS h, height AS tx, user_id * 10 + 1 AS address_id, CASE WHEN user_id % 3 = 0 THEN -1 ELSE 1 END * (amount + CASE WHEN height // 1000 >= fork THEN 2 ELSE 1 END) AS nano FROM ev, t)"
+_FORKED = f"{EV}, t AS (SELECT max(height // 100) - 4 AS fork FROM ev), x AS (SELECT height // 100 AS h, height AS tx, user_id * 10 + 1 AS address_id, CASE WHEN user_id % 3 = 0 THEN -1 ELSE 1 END * (amount + CASE WHEN height // 100 >= fork THEN 2 ELSE 1 END) AS nano FROM ev, t)"
 
 
 @query(f"WITH {_FORKED}, o AS (SELECT address_id, list({{'b': CAST(nano AS HUGEINT), 'm': CAST(h * 120000 AS HUGEINT)}} ORDER BY h, tx) AS l FROM x GROUP BY 1), f AS (SELECT address_id, list_reduce(list_prepend({{'b': 0::HUGEINT, 'm': 0::HUGEINT}}, l), lambda a, x: {_FOLD}) AS r FROM o) SELECT address_id, CAST(r.b AS BIGINT) AS nano, CAST(r.m AS BIGINT) AS mean_age_timestamp FROM f WHERE r.b > 0")
 def state_with_fork(s, d):
     """State that is undone by its log: the last five blocks are taken back and come anew on another branch, twice."""
     path = streaming.scratch(s, "undone")
-    e = led.table(s, d, "events").select(F.floor(F.col("event_id") / 1000).cast("long").alias("height"), F.col("event_id").cast("long").alias("tx_idx"), (F.col("user_id") * 10 + 1).alias("address_id"), F.round(F.col("value") * 100).cast("long").alias("amount"))
+    e = led.table(s, d, "events").select(F.floor(F.col("event_id") / 100).cast("long").alias("height"), F.col("event_id").cast("long").alias("tx_idx"), (F.col("user_id") * 10 + 1).alias("address_id"), F.round(F.col("value") * 100).cast("long").alias("amount"))
     e = materialize(e, "blocks")
     headers = e.select("height").distinct().withColumn("timestamp", F.col("height") * 120_000)
     sign = F.when(F.floor(F.col("address_id") / 10) % 3 == 0, -1).otherwise(1)
@@ -95,6 +95,31 @@ def chain_with_late_orphan(s, d):
     return chain.tables["nano"].balances()
 
 
+@query(f"WITH {_FORKED.replace('- 4 AS fork', '- 8 AS fork')}, o AS (SELECT address_id, list({{'b': CAST(nano AS HUGEINT), 'm': CAST(h * 120000 AS HUGEINT)}} ORDER BY h, tx) AS l FROM x WHERE h < (SELECT max(h) FROM x) GROUP BY 1), f AS (SELECT address_id, list_reduce(list_prepend({{'b': 0::HUGEINT, 'm': 0::HUGEINT}}, l), lambda a, x: {_FOLD}) AS r FROM o) SELECT address_id, CAST(r.b AS BIGINT) AS nano, CAST(r.m AS BIGINT) AS mean_age_timestamp FROM f WHERE r.b > 0")
+def stream_state_with_forks(s, d):
+    """A stream of blocks whose state follows the best branch: a, of b as much as ends lower, then the rest of b."""
+    path = streaming.scratch(s, "forking")
+    sign = F.when(F.col("user_id") % 3 == 0, -1).otherwise(1)
+    e = led.table(s, d, "events").select(F.floor(F.col("event_id") / 100).cast("long").alias("height"), F.col("event_id").cast("long").alias("tx_idx"), (F.col("user_id") * 10 + 1).alias("address_id"), sign.cast("long").alias("sign"), F.round(F.col("value") * 100).cast("long").alias("amount"))
+    e = materialize(e, "blocks")
+    top = e.agg(F.max("height")).first()[0]
+    chain = streaming.Chain(s, f"{path}/chain", {"nano": streaming.DIFFS, "times": "height long, timestamp long"}, span=10)
+
+    def take(batch, number):
+        # a branch's rows are blocks one a height: its name, and whose child each block is, come with them
+        parent = F.concat(F.when((F.col("height") - 1 < top - 8) | (F.col("branch") == "a"), "a").otherwise("b"), F.col("height") - 1)
+        headers = materialize(batch.select("height", "branch").distinct().select("height", F.concat("branch", "height").alias("header_id"), parent.alias("parent_id")), "stream-headers")
+        times = headers.select("height", (F.col("height") * 120_000).alias("timestamp"))
+        chain.follow(headers, {"nano": batch.select("address_id", "height", "tx_idx", "nano"), "times": times})
+        state.follow(s, f"{path}/state", number, chain, parts=16)
+
+    for branch, lo, hi, more in (("a", 0, top - 3, 1), ("b", top - 8, top - 5, 2), ("b", top - 4, top - 1, 2)):
+        rows = e.where(F.col("height").between(lo, hi)).withColumns({"branch": F.lit(branch), "nano": F.col("sign") * (F.col("amount") + more)})
+        rows.write.mode("append").parquet(f"{path}/source")
+        streaming.run_available(s.readStream.schema(rows.schema).parquet(f"{path}/source"), take, f"{path}/checkpoint")
+    return state.balances(s, f"{path}/state")
+
+
 _DIFFICULTY = f"""{EV}, p AS (SELECT CAST(floor(timestamp / 3600000) AS BIGINT) - i AS k, timestamp, CAST(round(value * 1000000) AS HUGEINT) AS d FROM ev, (SELECT unnest(range(24)) AS i)),
     g AS (SELECT k, count(*) AS n, CAST(sum(d) AS HUGEINT) AS s, max(timestamp) - min(timestamp) AS span FROM p GROUP BY k HAVING (k + 24) * 3600000 <= (SELECT max(timestamp) - 2400000 FROM ev))"""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.exchanges import deposit_candidates
 from ..operators.helpers import height_spine, prefix_sum
 from ..shared import materialize
-from .tables import hash_part, once, progress, replace_parts, table_or_empty, with_markers
+from .tables import hash_part, once, progress, recover, replace_parts, table_or_empty, with_markers
 
 PAYERS = "address_id long, lo int, hi int, spot_height long, first int, conflict_spot_height long, part int"
 DELTAS = "height long, main long, deposits long, part long"
@@ -53,12 +53,14 @@ def detect(spark: SparkSession, path: str, batch: int, diffs: DataFrame, history
     adds its whole history, a positive patch; one that pays a second exchange takes its whole history away, a negative
     one; one that does both within the batch does neither. Conflicts are final. A batch that comes again changes nothing.
     """
+    recover(spark, path)
+    head = progress(spark, path)[2]
     top = diffs.agg(F.max("height")).first()[0]
-    if top is None:
+    if top is None or top <= head:
         return
 
     def make() -> dict[str, DataFrame]:
-        moved = materialize(diffs.where(F.col("height") > progress(spark, path)[2]), "batch-diffs")
+        moved = materialize(diffs.where(F.col("height") > head), "batch-diffs")
         at = sorted(r[0] for r in moved.select(hash_part(["address_id"], parts).alias("part")).distinct().collect())  # `parts` numbers at most
         state = table_or_empty(spark, f"{path}/payers", PAYERS).where(F.col("part").isin(at) & F.col("address_id").isNotNull()).drop("part")
         new = materialize(paid_on(state, deposit_candidates(moved, main, ignored)), "batch-payers")

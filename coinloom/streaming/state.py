@@ -10,10 +10,11 @@ from ..constants import ROLLBACK_HORIZON
 from ..operators.balances import folded
 from ..shared import materialize
 from ..sources import added
-from .tables import hash_part, once, progress, replace_parts, table_or_empty, tell, with_markers
+from .chain import Chain
+from .tables import hash_part, once, progress, recover, replace_parts, table_or_empty, with_markers
 
 BALANCES = "address_id long, nano long, mean_age_timestamp long, part int"
-LOG = "height long, address_id long, nano long, mean_age_timestamp long, part int"
+LOG = "height long, header_id string, address_id long, nano long, mean_age_timestamp long, part int"
 STATS = "service long, tx_count long, first_tx long, last_tx long, fees long, volume long, batch long, part int"
 
 
@@ -31,20 +32,29 @@ def state_log(spark: SparkSession, path: str) -> DataFrame:
     """(height, address_id, nano, mean_age_timestamp): what a block's addresses held before it, null for new ones; for the last
     ROLLBACK_HORIZON blocks."""
     low = progress(spark, path)[2] - ROLLBACK_HORIZON
-    return table_or_empty(spark, f"{path}/log", LOG).where(F.col("address_id").isNotNull() & (F.col("height") > low)).drop("part")
+    return table_or_empty(spark, f"{path}/log", LOG).where(F.col("address_id").isNotNull() & (F.col("height") > low)).drop("part", "header_id")
+
+
+def applied(spark: SparkSession, path: str) -> DataFrame:
+    """(height, header_id) of the last ROLLBACK_HORIZON blocks that the state has taken in."""
+    head = progress(spark, path)[2]
+    rows = table_or_empty(spark, f"{path}/log", LOG).where(F.col("address_id").isNull())
+    return rows.where((F.col("height") <= head) & (F.col("height") > head - ROLLBACK_HORIZON)).select("height", "header_id")
 
 
 def advance(spark: SparkSession, path: str, batch: int, diffs: DataFrame, headers: DataFrame, parts: int = 64) -> None:
     """Bring the balances under path forward by the diffs (address_id, height, tx_idx, nano) of further blocks, headers (height,
-    timestamp). Blocks at or below the head are known and change nothing; so does a batch that comes again.
+    timestamp and, where there is one, header_id). Blocks at or below the head are known and change nothing; so does a batch
+    that comes again.
 
     Old states of the touched addresses are read from their parts alone and folded on with the batch's rows. Of the last
     ROLLBACK_HORIZON blocks the log keeps what each address held before them, a part for each height modulo the horizon: a
     block's log takes the place of the one that is too old to undo.
     """
-    _, last, head = progress(spark, path)
+    recover(spark, path)
+    head = progress(spark, path)[2]
     top = headers.agg(F.max("height")).first()[0]
-    if batch > last and (top is None or top <= head):
+    if top is None or top <= head:
         return
 
     def make() -> dict[str, DataFrame]:
@@ -56,20 +66,23 @@ def advance(spark: SparkSession, path: str, batch: int, diffs: DataFrame, header
         steps = materialize(folded(new, before.join(keys, "address_id", "left_semi").drop("part"), since), "batch-steps")
         now = steps.where("height is null and nano <> 0").select("address_id", "nano", "mean_age_timestamp", hash_part(["address_id"], parts).alias("part"))
         same = before.join(keys, "address_id", "left_anti").select(*now.columns)
-        log = steps.where("height is not null").withColumn("part", (F.col("height") % ROLLBACK_HORIZON).cast("int"))
-        slots = [h % ROLLBACK_HORIZON for h in range(since, top + 1)]
-        return {"balances": with_markers(now.unionByName(same), at), "log": with_markers(log.select("height", "address_id", "nano", "mean_age_timestamp", "part"), slots)}
+        slot = (F.col("height") % ROLLBACK_HORIZON).cast("int").alias("part")
+        log = steps.where("height is not null").select("height", "address_id", "nano", "mean_age_timestamp", slot)
+        ids = headers.where(F.col("height") >= since).select("height", *(["header_id"] if "header_id" in headers.columns else []), slot)
+        log = with_markers(log, [h % ROLLBACK_HORIZON for h in range(since, top + 1)]).unionByName(ids, allowMissingColumns=True)
+        return {"balances": with_markers(now.unionByName(same), at), "log": log}
 
-    once(spark, path, batch, top or 0, make)
+    once(spark, path, batch, top, make)
 
 
 def revert(spark: SparkSession, path: str, batch: int, height: int, parts: int = 64) -> None:
     """Undo the blocks from a height on, as batch number `batch`: each address that they touched gets the oldest state that the log
     has of it from there on, by upsert, or by delete where it had none."""
+    recover(spark, path)
     _, last, head = progress(spark, path)
-    if batch > last and height > head:
+    if batch <= last or height > head:
         return
-    if batch > last and height <= head - ROLLBACK_HORIZON:
+    if height <= head - ROLLBACK_HORIZON:
         raise ValueError("a rollback goes further back than the horizon")
 
     def make() -> dict[str, DataFrame]:
@@ -85,6 +98,24 @@ def revert(spark: SparkSession, path: str, batch: int, height: int, parts: int =
     once(spark, path, batch, height - 1, make)
 
 
+def follow(spark: SparkSession, path: str, number: int, chain: Chain, facts: str = "nano", times: str = "times", parts: int = 64) -> None:
+    """Bring the state under path to the end of a chain, as batch `number` of a stream: blocks that have left the chain are undone by the
+    log, those that have come are folded in. chain has tables of diffs and of (height, timestamp). What the state has taken in is told by
+    its own log, so it doesn't matter who died when: the next call finds where the two part.
+    """
+    recover(spark, path)
+    head, fork = progress(spark, path)[2], -1
+    if head >= 0:
+        both = applied(spark, path).join(chain.headers.since(head - ROLLBACK_HORIZON), ["height", "header_id"], "left_semi")
+        fork = both.agg(F.max("height")).first()[0]
+        if fork is None:
+            raise ValueError("the chain has parted from the state before the horizon")
+        if fork < head:
+            revert(spark, path, 2 * number, fork + 1, parts)
+    heads = chain.headers.since(fork + 1).join(chain.tables[times].since(fork + 1), "height").select("height", "timestamp", "header_id")
+    advance(spark, path, 2 * number + 1, chain.tables[facts].since(fork + 1), heads, parts)
+
+
 def mean_age_at(spark: SparkSession, path: str, diffs: DataFrame, headers: DataFrame, height: int, span: int = 10_000) -> DataFrame:
     """mean_age as of a height, folding only the blocks after the last whole span of heights.
 
@@ -125,10 +156,3 @@ def add_stats(spark: SparkSession, path: str, batch: int, stats: DataFrame, part
 
 def stats(spark: SparkSession, path: str) -> DataFrame:
     return table_or_empty(spark, f"{path}/stats", STATS).drop("batch", "part")
-
-
-def height_of_state(spark: SparkSession, path: str) -> int:
-    return progress(spark, path)[2]
-
-
-__all__ = ["add_stats", "advance", "balances", "height_of_state", "mean_age_at", "revert", "state_log", "stats", "tell"]

@@ -48,21 +48,29 @@ def with_markers(rows: DataFrame, parts: list[int]) -> DataFrame:
     return rows.unionByName(rows.sparkSession.createDataFrame([(p,) for p in parts], "part int"), allowMissingColumns=True)
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Put the last batch in place from its journal, unless it is told that it is."""
+    last = progress(spark, path)[1]
+    if last == progress(spark, f"{path}/placed")[1]:
+        return
+    for (name,) in spark.read.parquet(f"{path}/journal-names").collect():
+        replace_parts(spark.read.parquet(f"{path}/journal/{name}"), f"{path}/{name}")
+    tell(spark, f"{path}/placed", last, -1)
+
+
 def once(spark: SparkSession, path: str, batch: int, height: int, make: Callable[[], dict[str, DataFrame]]) -> None:
     """Replace parts of tables under path as batch number `batch`, to the end and not twice.
 
     What make returns, tables by name with a column part, is first written under path/journal and told; then it takes the parts'
-    place. A batch that died between is put in place again from the journal; an older one changes nothing. Batches come
-    in order, as foreachBatch numbers them.
+    place. A batch that died between is put in place from the journal before anything else is done; one that comes again
+    changes nothing. Batches come in order, as foreachBatch numbers them.
     """
-    last = progress(spark, path)[1]
-    if batch < last:
+    recover(spark, path)
+    if batch <= progress(spark, path)[1]:
         return
-    if batch > last:
-        made = make()
-        for name, rows in made.items():
-            rows.hint("rebalance", "part").write.mode("overwrite").parquet(f"{path}/journal/{name}")
-        spark.createDataFrame([(n,) for n in made], "name string").write.mode("overwrite").parquet(f"{path}/journal-names")
-        tell(spark, path, batch, height)
-    for (name,) in spark.read.parquet(f"{path}/journal-names").collect():
-        replace_parts(spark.read.parquet(f"{path}/journal/{name}"), f"{path}/{name}")
+    made = make()
+    for name, rows in made.items():
+        rows.hint("rebalance", "part").write.mode("overwrite").parquet(f"{path}/journal/{name}")
+    spark.createDataFrame([(n,) for n in made], "name string").write.mode("overwrite").parquet(f"{path}/journal-names")
+    tell(spark, path, batch, height)
+    recover(spark, path)

@@ -295,3 +295,27 @@ def test_keyed_state_waits_for_late_rows(spark, tmp_path):
     last = {r[1]: r[2:] for r in sorted(out)}
     mean = ((TS * 100) + (TS + 600_000) * 60) // 160
     assert last[A] == (120, mean) and last[B] == (0, 0) and last[C][0] == 2
+
+
+def test_the_state_follows_the_chain(spark, tmp_path, monkeypatch):
+    """A fork, and a death between the two halves of going over: the next call finds where chain and state part."""
+    chain = streaming.Chain(spark, str(tmp_path / "chain"), {"nano": streaming.DIFFS, "times": "height long, timestamp long"}, span=3)
+    path, moved, other = str(tmp_path / "s"), some_diffs(14), some_diffs(14, seed=5)
+
+    def feed(branch, lo, hi, rows):
+        heads = [(h, f"{branch}{h}", f"{'a' if h - 1 < 6 else branch}{h - 1}") for h in range(lo, hi + 1)]
+        facts = {"nano": spark.createDataFrame([m for m in rows if lo <= m[1] <= hi], DIFF), "times": spark.createDataFrame([(h, TS + h) for h in range(lo, hi + 1)], "height long, timestamp long")}
+        chain.follow(spark.createDataFrame(heads, HEAD), facts)
+
+    feed("a", 0, 8, moved)
+    state.follow(spark, path, 0, chain, parts=4)
+    assert rows(state.balances(spark, path)) == plain_ages(moved, 8)
+    feed("b", 6, 10, other)
+    put = tables.replace_parts
+    monkeypatch.setattr(tables, "replace_parts", lambda *_: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        state.follow(spark, path, 1, chain, parts=4)  # told that blocks are undone, but nothing is
+    monkeypatch.setattr(tables, "replace_parts", put)
+    for _ in range(2):
+        state.follow(spark, path, 1, chain, parts=4)
+        assert rows(state.balances(spark, path)) == plain_ages([m for m in moved if m[1] < 6] + [m for m in other if m[1] >= 6], 10)
