@@ -29,7 +29,9 @@ QUERIES = 6000
 
 
 def unit(flat: np.ndarray, n: int) -> np.ndarray:
+    """Unit vectors in double precision; the largest component comes to one first, so that no square over- or underflows."""
     x = flat.reshape(n, -1).astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -55,7 +57,7 @@ def placed(nodes: DataFrame, shard: int, threshold: float) -> tuple[DataFrame, i
     two blocks one visits the other, by turns, so each pair meets in one block and all get equally many visits.
     """
     spark = nodes.sparkSession
-    n = nodes.count()
+    n, kind = nodes.count(), nodes.schema["vec"].dataType.simpleString()
     sample = nodes.orderBy(F.xxhash64(F.lit(3), "node")).limit(min(MAX_CENTRES, max(1, -(-n // shard)))).select("vec").collect()
     by_size: dict[int, list] = {}
     for i, r in enumerate(sample):  # at most MAX_CENTRES vectors
@@ -77,7 +79,7 @@ def placed(nodes: DataFrame, shard: int, threshold: float) -> tuple[DataFrame, i
                 cell = np.full(len(x), -x.shape[1]) if c is None else ids[(x @ c.T).argmax(1)]
                 yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(np.full(len(x), x.shape[1]), pa.int64()), *part.columns], ["cell", "dim", "node", "weight", "vec"])
 
-    assigned = materialize(nodes.select("node", "weight", "vec").mapInArrow(assign, "cell long, dim long, node long, weight long, vec array<float>"), "assigned")
+    assigned = materialize(nodes.select("node", "weight", "vec").mapInArrow(assign, f"cell long, dim long, node long, weight long, vec {kind}"), "assigned")
     counted = assigned.groupBy("cell").agg(F.count("*").alias("n"), F.first("dim").alias("dim")).collect()  # a row for each centre
     blocks = blocks_of({r["cell"]: r["n"] for r in counted}, {r["cell"]: r["dim"] for r in counted})
     total = max((first + many for first, many in blocks.values()), default=1)
@@ -108,7 +110,7 @@ def placed(nodes: DataFrame, shard: int, threshold: float) -> tuple[DataFrame, i
                 out = [np.flatnonzero(r) for r in near]
                 yield pa.RecordBatch.from_arrays([pa.array([o.tolist() for o in out], pa.list_(pa.int32())), pa.array(home, pa.int32()), *part.columns[1:]], ["blocks", "home", "node", "weight", "vec"])
 
-    each = assigned.select("cell", "node", "weight", "vec").mapInArrow(visit, "blocks array<int>, home int, node long, weight long, vec array<float>")
+    each = assigned.select("cell", "node", "weight", "vec").mapInArrow(visit, f"blocks array<int>, home int, node long, weight long, vec {kind}")
     each = each.select(F.explode("blocks").alias("block"), "home", "node", "weight", "vec")
     return each.select("block", (F.col("block") != F.col("home")).cast("int").alias("visits"), "node", "weight", "vec"), total
 
@@ -217,15 +219,14 @@ def searched(rows: DataFrame, blocks: int, threshold: float) -> DataFrame:
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, shard: int = SHARD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
-    Vectors link at a cosine of at least threshold. Null, empty and zero vectors, and those with null or non-finite
+    Vectors link at a cosine of at least threshold, in double precision of the components as they are. Null, empty and zero vectors, and those with null or non-finite
     components, link with nothing and are their own component. Equal vectors are one node with a weight: each counts
     the others, and a group of copies costs one row in a block. Rows with a null id take part in links; their kept is
     true. Repeated rows are further vectors. Other columns aren't read; an empty table gives an empty one.
     """
     bounded_batches(vectors.sparkSession)
-    vec = F.transform(F.col(vec_col), lambda x: x.cast("float"))
     usable = F.coalesce((F.size(vec_col) > 0) & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec_col, lambda x: x != 0), F.lit(False))
-    rows = vectors.select(F.col(id_col).alias("vec_id"), F.when(usable, vec).alias("vec"))
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.when(usable, F.col(vec_col)).alias("vec"))
     nodes = rows.where("vec is not null").groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     found = materialize(searched(*placed(nodes, shard, threshold), threshold), "found")
@@ -248,7 +249,7 @@ def audit_recall(vectors: DataFrame, result: DataFrame, id_col: str = "vec_id",
     Ids are unique and not null.
     """
     bounded_batches(vectors.sparkSession)
-    rows = vectors.select(F.col(id_col).alias("id"), F.transform(F.col(vec_col), lambda x: x.cast("float")).alias("vec"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
     rows = rows.where((F.size("vec") > 0) & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0))
     asked = rows.where(F.pmod("id", F.lit(every)) == 0)
     blocks = max(1, -(-asked.count() // QUERIES))

@@ -433,6 +433,14 @@ def test_vectors_with_odd_ids(spark):
     assert got == [(0, 0, 0, True), (0, 3, 1, True), (1, 3, 1, True), (1, 3, 1, True), (2, 0, 2, True), (3, 3, 1, False)]
 
 
+def test_components_keep_their_precision(spark):
+    """Doubles that single precision would overflow, lose or take for equal."""
+    c = 0.9
+    rows = [(0, [1e300, 1.0]), (1, [1.0, 0.0]), (2, [1e-60, 0.0]), (3, [-1e-300, 0.0]), (4, [c, (1 - c * c) ** 0.5 * (1 - 1e-12)]), (5, [c, (1 - c * c) ** 0.5 * (1 + 1e-9)]), (6, [5e-324, 0.0])]
+    got = sorted(tuple(r)[:3] for r in flat_graph.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(0, 4, 0), (1, 4, 0), (2, 4, 0), (3, 0, 3), (4, 5, 0), (5, 1, 0), (6, 4, 0)]
+
+
 def test_audit_counts_what_a_result_lacks(spark, monkeypatch):
     """Several blocks of queries, vectors of two lengths and unusable ones; a result with half of the links has half the recall."""
     r = np.random.default_rng(6)
