@@ -82,11 +82,6 @@ def live_steps(diffs: DataFrame, headers: DataFrame, span: int = 1000) -> DataFr
     )
 
 
-def share(total: int, of: int) -> int:
-    """A quotient cut towards zero."""
-    return abs(total) // abs(of) * (1 if (total < 0) == (of < 0) else -1)
-
-
 def folded(rows: DataFrame, state: DataFrame | None = None, log_from: int | None = None) -> DataFrame:
     """(address_id, height, nano, mean_age_timestamp) of the addresses of rows (address_id, height, tx_idx, nano, timestamp), from state
     (address_id, nano, mean_age_timestamp) or from nothing: with a null height what an address has in the end, zeros included, and, from
@@ -101,6 +96,10 @@ def folded(rows: DataFrame, state: DataFrame | None = None, log_from: int | None
     stream = stream.select("address_id", F.coalesce("height", F.lit(-(2**62))).alias("height"), F.coalesce("tx_idx", F.lit(0)).cast("long").alias("tx_idx"), "nano", "timestamp")
     least = 2**62 if log_from is None else log_from
 
+    def share(total: int, of: int) -> int:
+        """A quotient cut towards zero."""
+        return abs(total) // abs(of) * (1 if (total < 0) == (of < 0) else -1)
+
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, block, balance, mean, out = None, None, 0, 0, []
         frame = lambda rows: pd.DataFrame(rows, columns=["address_id", "height", "nano", "mean_age_timestamp"]).astype({"address_id": "int64", "height": "Int64", "nano": "Int64", "mean_age_timestamp": "Int64"})
@@ -129,14 +128,32 @@ def folded(rows: DataFrame, state: DataFrame | None = None, log_from: int | None
     return dealt.mapInPandas(fold, "address_id long, height long, nano long, mean_age_timestamp long")
 
 
+#: Diffs of an address from which on mean_age cuts what lies before its last zero balance, and sums debits, before it folds.
+HOT = 100_000
+
+
 def mean_age(diffs: DataFrame, headers: DataFrame) -> DataFrame:
     """(address_id, nano, mean_age_timestamp): the value-weighted mean time at which an address's coins came.
 
     A credit moves the mean to trunc((mean * balance + time * amount) / new balance); a debit leaves it; at zero it is
-    forgotten. What lies before the last zero can't matter, and debits between credits count by their sum. The truncation
-    makes the rest an ordered fold: steps are dealt by address, sorted, and stream through with one address's state at a
-    time, so no group is held in memory.
+    forgotten. The truncation makes that an ordered fold: an address's rows stream sorted through one task, with its state
+    alone in memory. Of addresses with HOT rows only the steps that can matter are folded. streaming.state keeps states, so
+    that a further run folds what has come since.
     """
+    rows = materialize(diffs.join(headers.select("height", "timestamp"), "height").select("address_id", "height", "tx_idx", "nano", "timestamp"), "dated")
+    hot = materialize(rows.groupBy("address_id").agg(F.count("*").alias("n")).where(F.col("n") >= HOT).select("address_id"), "hot")
+    finals = lambda df: folded(df).where("height is null and nano > 0").drop("height")
+    if hot.isEmpty():
+        return finals(rows)
+    return finals(rows.join(hot, "address_id", "left_anti")).unionByName(mean_of_steps(live_steps(rows.join(hot, "address_id", "left_semi").drop("timestamp"), headers)))
+
+
+def mean_of_steps(steps: DataFrame) -> DataFrame:
+    """mean_age from live_steps, which are dealt by address, sorted, and stream through."""
+
+    def share(total: int, of: int) -> int:
+        """A quotient cut towards zero."""
+        return abs(total) // abs(of) * (1 if (total < 0) == (of < 0) else -1)
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, balance, mean = None, 0, 0
@@ -154,6 +171,6 @@ def mean_age(diffs: DataFrame, headers: DataFrame) -> DataFrame:
         if current is not None and balance > 0:
             yield pd.DataFrame([(current, balance, mean)], columns=["address_id", "nano", "mean_age_timestamp"])
 
-    steps = live_steps(diffs, headers).withColumn("timestamp", F.coalesce("timestamp", F.lit(0)))  # else pandas makes floats of them
+    steps = steps.withColumn("timestamp", F.coalesce("timestamp", F.lit(0)))  # else pandas makes floats of them
     dealt = steps.repartition("address_id").sortWithinPartitions("address_id", "step")
     return dealt.mapInPandas(fold, "address_id long, nano long, mean_age_timestamp long")

@@ -37,8 +37,10 @@ def test_diffs_balances_and_mean_age(spark):
     assert rows(bal.mean_age(d, heads)) == [(A, 101 * E9, 1563159994628), (C, 4 * E9, TS + 120000)]
 
 
-def test_mean_age_folds_only_what_counts(spark):
+@pytest.mark.parametrize("hot", [100, 10**6])
+def test_mean_age_folds_only_what_counts(spark, monkeypatch, hot):
     """A busy address with zero balances and runs of debits: few steps are left to fold, and the result is that of all rows."""
+    monkeypatch.setattr(bal, "HOT", hot)
     r, d, want = random.Random(1), [], []
     for a, n in ((A, 3000), (B, 40), (C, 41)):
         balance = mean = 0
