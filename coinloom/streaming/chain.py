@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import ROLLBACK_HORIZON
 from ..operators.balances import erg_balances
 from ..shared import materialize
-from .tables import progress, replace_parts, table_or_empty, tell, with_markers
+from .tables import Told, progress, replace_parts, table_or_empty, tell, with_markers
 
 DIFFS = "address_id long, height long, tx_idx long, nano long"
 HEADERS = "height long, header_id string, parent_id string"
@@ -30,31 +30,32 @@ class Ledger:
         self.spark, self.path, self.span, self.schema = spark, path, span, schema
         self.columns = columns_of(schema)
 
-    def _table(self) -> DataFrame:
-        return table_or_empty(self.spark, f"{self.path}/diffs", f"{self.schema}, part long").where(F.col("height") <= self.head())
+    def _table(self, head: int | None = None) -> DataFrame:
+        return table_or_empty(self.spark, f"{self.path}/diffs", f"{self.schema}, part long").where(F.col("height") <= (self.head() if head is None else head))
 
     def diffs(self) -> DataFrame:
         return self._table().select(*self.columns)
 
-    def since(self, height: int) -> DataFrame:
-        """The rows from a height on, read from its part and those after it."""
-        return self._table().where((F.col("part") >= height // self.span) & (F.col("height") >= height)).select(*self.columns)
+    def since(self, height: int, head: int | None = None) -> DataFrame:
+        """The rows from a height on, read from its part and those after it; head where it is known."""
+        return self._table(head).where((F.col("part") >= height // self.span) & (F.col("height") >= height)).select(*self.columns)
 
     def head(self) -> int:
-        return progress(self.spark, self.path)[2]
+        return progress(self.spark, self.path).height
 
     def append(self, batch: DataFrame, _: int = 0) -> None:
-        head = self.head()
+        last = progress(self.spark, self.path)
+        head = last.height
         new = materialize(batch.where(F.col("height") > head).select(*self.columns), "new-facts")
         top = new.agg(F.max("height")).first()[0]
         if top is None:
             return
         part = F.floor(F.col("height") / self.span).cast("long").alias("part")
         first = (head + 1) // self.span
-        rows = self.since(first * self.span).unionByName(new)
+        rows = self.since(first * self.span, head).unionByName(new)
         # parts that a rollback left above the head are replaced too, with or without new rows
         replace_parts(with_markers(materialize(rows.select("*", part), "facts"), list(range(first, top // self.span + 1))), f"{self.path}/diffs")
-        tell(self.spark, self.path, 0, top)
+        tell(self.spark, self.path, last, 0, top)
 
     def roll_back(self, height: int) -> None:
         """Forget the blocks from a height on, as when the chain turns to another branch."""
@@ -63,8 +64,9 @@ class Ledger:
         self.drop_from(height)
 
     def drop_from(self, height: int) -> None:
-        if self.head() >= height:
-            tell(self.spark, self.path, 0, height - 1)
+        last = progress(self.spark, self.path)
+        if last.height >= height:
+            tell(self.spark, self.path, last, 0, height - 1)
 
     def balances(self) -> DataFrame:
         return erg_balances(self.diffs())
@@ -114,17 +116,16 @@ class Chain:
         for book in self.tables.values():
             book.drop_from(height)
 
-    def _aside(self, name: str) -> DataFrame:
+    def _aside(self, name: str, version: int) -> DataFrame:
         """What is kept of headers, or of a table's facts, that may be of other branches. The last two versions are there."""
-        seq = progress(self.spark, f"{self.path}/aside")[1]
         rows = table_or_empty(self.spark, f"{self.path}/aside/{name}", f"{self.schemas[name]}, part int")
-        return rows.where((F.col("part") == seq % 2) & F.col("header_id").isNotNull()).drop("part")
+        return rows.where((F.col("part") == version % 2) & F.col("header_id").isNotNull()).drop("part")
 
-    def _keep_aside(self, kept: dict[str, DataFrame]) -> None:
-        seq = progress(self.spark, f"{self.path}/aside")[1] + 1
+    def _keep_aside(self, kept: dict[str, DataFrame], last: Told) -> Told:
+        version = last.batch + 1
         for name, rows in kept.items():  # the other version is read while this one is written
-            replace_parts(with_markers(rows.withColumn("part", F.lit(seq % 2)), [seq % 2]), f"{self.path}/aside/{name}")
-        tell(self.spark, f"{self.path}/aside", seq, -1)
+            replace_parts(with_markers(rows.withColumn("part", F.lit(version % 2)), [version % 2]), f"{self.path}/aside/{name}")
+        return tell(self.spark, f"{self.path}/aside", last, version, -1)
 
     def follow(self, headers: DataFrame, facts: dict[str, DataFrame]) -> int | None:
         """Take in a batch of blocks, one a height, and go over to another branch where that has come to end higher. Known headers
@@ -135,8 +136,9 @@ class Chain:
         head = self.headers.head()
         self._drop_rows(head + 1)
         low = head - ROLLBACK_HORIZON
-        aside = {name: self._aside(name).where(F.col("height") > low) for name in self.schemas}
-        chain = self.headers.since(low).withColumn("main", F.lit(True))
+        version = progress(self.spark, f"{self.path}/aside")
+        aside = {name: self._aside(name, version.batch).where(F.col("height") > low) for name in self.schemas}
+        chain = self.headers.since(low, head).withColumn("main", F.lit(True))
         others = aside["headers"].join(chain.select("header_id"), "header_id", "left_anti").withColumn("main", F.lit(False))
         known = materialize(chain.unionByName(others), "known-headers")
         new = headers.select(*columns_of(HEADERS)).where(F.col("height") > low).join(known.select("header_id"), "header_id", "left_anti")
@@ -156,7 +158,7 @@ class Chain:
         found = None if every.where("not main").isEmpty() else best_branch(materialize(branches(every), "branches"), head)
         if found is None:
             if first is not None:
-                self._keep_aside({"headers": aside["headers"].unionByName(new), **{name: aside[name].unionByName(rows) for name, rows in tagged.items()}})
+                self._keep_aside({"headers": aside["headers"].unionByName(new), **{name: aside[name].unionByName(rows) for name, rows in tagged.items()}}, version)
             return None
         fork, branch = found
         # what leaves the chain, and the branch's own blocks, are kept aside before anything is dropped
@@ -166,8 +168,8 @@ class Chain:
             gone = book.since(fork + 1).join(left.select("height", "header_id"), "height").join(aside[name].select("header_id").distinct(), "header_id", "left_anti")
             rows = aside[name].unionByName(gone.select(*columns_of(self.schemas[name])))
             kept[name] = rows.unionByName(tagged[name]) if name in tagged else rows
-        self._keep_aside(kept)
-        rows = {name: self._aside(name).join(branch.select("header_id"), "header_id", "left_semi") for name in self.tables}
+        version = self._keep_aside(kept, version)
+        rows = {name: self._aside(name, version.batch).join(branch.select("header_id"), "header_id", "left_semi") for name in self.tables}
         self.headers.drop_from(fork + 1)
         self._drop_rows(fork + 1)
         return self._go(branch, rows)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.exchanges import deposit_candidates
 from ..operators.helpers import height_spine, prefix_sum
 from ..shared import materialize
-from .tables import hash_part, once, progress, recover, replace_parts, table_or_empty, with_markers
+from .tables import hash_part, once, recover, replace_parts, table_or_empty, with_markers
 
 PAYERS = "address_id long, lo int, hi int, spot_height long, first int, conflict_spot_height long, part int"
 DELTAS = "height long, main long, deposits long, part long"
@@ -53,10 +53,10 @@ def detect(spark: SparkSession, path: str, batch: int, diffs: DataFrame, history
     adds its whole history, a positive patch; one that pays a second exchange takes its whole history away, a negative
     one; one that does both within the batch does neither. Conflicts are final. A batch that comes again changes nothing.
     """
-    recover(spark, path)
-    head = progress(spark, path)[2]
+    last = recover(spark, path)
+    head = last.height
     top = diffs.agg(F.max("height")).first()[0]
-    if top is None or top <= head:
+    if batch <= last.batch or top is None or top <= head:
         return
 
     def make() -> dict[str, DataFrame]:
@@ -80,7 +80,7 @@ def detect(spark: SparkSession, path: str, batch: int, diffs: DataFrame, history
         summed = old.unionByName(deltas).groupBy("height", "part").agg(F.sum("main").alias("main"), F.sum("deposits").alias("deposits"))
         return {"payers": with_markers(now, at), "deltas": summed}
 
-    once(spark, path, batch, top, make)
+    once(spark, path, last, batch, top, make)
 
 
 def supply(spark: SparkSession, path: str, headers: DataFrame) -> DataFrame:

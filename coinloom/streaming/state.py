@@ -31,13 +31,13 @@ def balances(spark: SparkSession, path: str) -> DataFrame:
 def state_log(spark: SparkSession, path: str) -> DataFrame:
     """(height, address_id, nano, mean_age_timestamp): what a block's addresses held before it, null for new ones; for the last
     ROLLBACK_HORIZON blocks."""
-    low = progress(spark, path)[2] - ROLLBACK_HORIZON
+    low = progress(spark, path).height - ROLLBACK_HORIZON
     return table_or_empty(spark, f"{path}/log", LOG).where(F.col("address_id").isNotNull() & (F.col("height") > low)).drop("part", "header_id")
 
 
 def applied(spark: SparkSession, path: str) -> DataFrame:
     """(height, header_id) of the last ROLLBACK_HORIZON blocks that the state has taken in."""
-    head = progress(spark, path)[2]
+    head = progress(spark, path).height
     rows = table_or_empty(spark, f"{path}/log", LOG).where(F.col("address_id").isNull())
     return rows.where((F.col("height") <= head) & (F.col("height") > head - ROLLBACK_HORIZON)).select("height", "header_id")
 
@@ -51,10 +51,10 @@ def advance(spark: SparkSession, path: str, batch: int, diffs: DataFrame, header
     ROLLBACK_HORIZON blocks the log keeps what each address held before them, a part for each height modulo the horizon: a
     block's log takes the place of the one that is too old to undo.
     """
-    recover(spark, path)
-    head = progress(spark, path)[2]
+    last = recover(spark, path)
+    head = last.height
     top = headers.agg(F.max("height")).first()[0]
-    if top is None or top <= head:
+    if batch <= last.batch or top is None or top <= head:
         return
 
     def make() -> dict[str, DataFrame]:
@@ -72,15 +72,15 @@ def advance(spark: SparkSession, path: str, batch: int, diffs: DataFrame, header
         log = with_markers(log, [h % ROLLBACK_HORIZON for h in range(since, top + 1)]).unionByName(ids, allowMissingColumns=True)
         return {"balances": with_markers(now.unionByName(same), at), "log": log}
 
-    once(spark, path, batch, top, make)
+    once(spark, path, last, batch, top, make)
 
 
 def revert(spark: SparkSession, path: str, batch: int, height: int, parts: int = 64) -> None:
     """Undo the blocks from a height on, as batch number `batch`: each address that they touched gets the oldest state that the log
     has of it from there on, by upsert, or by delete where it had none."""
-    recover(spark, path)
-    _, last, head = progress(spark, path)
-    if batch <= last or height > head:
+    last = recover(spark, path)
+    head = last.height
+    if batch <= last.batch or height > head:
         return
     if height <= head - ROLLBACK_HORIZON:
         raise ValueError("a rollback goes further back than the horizon")
@@ -95,7 +95,7 @@ def revert(spark: SparkSession, path: str, batch: int, height: int, parts: int =
         none = spark.createDataFrame([], LOG)
         return {"balances": with_markers(kept, at), "log": with_markers(none, [h % ROLLBACK_HORIZON for h in range(height, head + 1)])}
 
-    once(spark, path, batch, height - 1, make)
+    once(spark, path, last, batch, height - 1, make)
 
 
 def follow(spark: SparkSession, path: str, number: int, chain: Chain, facts: str = "nano", times: str = "times", parts: int = 64) -> None:
@@ -103,8 +103,7 @@ def follow(spark: SparkSession, path: str, number: int, chain: Chain, facts: str
     log, those that have come are folded in. chain has tables of diffs and of (height, timestamp). What the state has taken in is told by
     its own log, so it doesn't matter who died when: the next call finds where the two part.
     """
-    recover(spark, path)
-    head, fork = progress(spark, path)[2], -1
+    head, fork = recover(spark, path).height, -1
     if head >= 0:
         both = applied(spark, path).join(chain.headers.since(head - ROLLBACK_HORIZON), ["height", "header_id"], "left_semi")
         fork = both.agg(F.max("height")).first()[0]
@@ -151,7 +150,7 @@ def add_stats(spark: SparkSession, path: str, batch: int, stats: DataFrame, part
         both = added(before.drop("batch", "part"), new.select(*(c for c in before.columns if c not in ("batch", "part"))))
         return {"stats": both.select("*", F.lit(batch).cast("long").alias("batch"), hash_part(["service"], parts).alias("part"))}
 
-    once(spark, path, batch, -1, make)
+    once(spark, path, recover(spark, path), batch, -1, make)
 
 
 def stats(spark: SparkSession, path: str) -> DataFrame:

@@ -153,12 +153,9 @@ def test_a_late_orphan_and_a_lower_branch(spark, tmp_path):
 
     total = lambda: [r[1] for r in rows(chain.tables["nano"].balances())]
     assert feed("a", 1, 9, 1) == 1 and total() == [7]
-    assert feed("b", 7, 8, 100, fork=7) is None and total() == [7]  # lower: it waits
-    assert feed("b", 9, 9, 100, fork=7) is None and total() == [7]  # as high: it waits
+    assert feed("b", 7, 9, 100, fork=7) is None and total() == [7]  # as high: it waits
     assert feed("b", 10, 12, 100, fork=7) == 7 and total() == [5 + 400]
-    for lo, hi in ((7, 9), (1, 9)):
-        assert feed("a", lo, hi, 1) is None and total() == [405]  # late blocks of the old branch
-    assert feed("a", 10, 12, 1) is None and total() == [405]
+    assert feed("a", 7, 12, 1) is None and total() == [405]  # late blocks of the old branch, and some more
     assert feed("a", 13, 13, 1) == 7 and total() == [5 + 5]  # and back, with the blocks that were kept
     assert rows(chain.headers.diffs(), "header_id") == sorted((f"a{h}",) for h in range(1, 14))
     with pytest.raises(ValueError, match="height 15"):
@@ -193,8 +190,10 @@ def test_deposits_by_blocks(spark, tmp_path):
     all_rows = [(0, 0, C, 9), (1, 0, A, 20), (1, 1, B, 30), (1, 2, A, -5), (1, 2, 11, 5), (2, 0, A, -5), (2, 0, 12, 5), (2, 1, B, -1), (2, 1, 11, 1), (3, 0, C, -2), (3, 0, 11, 2), (3, 1, C, -2), (3, 1, 12, 2), (4, 0, A, -1), (4, 0, 11, 1), (5, 0, B, 7)]
     history, headers, path = spark.createDataFrame(all_rows, BLOCKS), spark.createDataFrame([(h,) for h in range(6)], "height long"), str(tmp_path / "d")
     for h in range(6):
-        for _ in range(2):
+        for _ in range(1 + (h == 2)):
             detection.detect(spark, path, h, history.where(F.col("height") == h), history, main, parts=4, span=2)
+        if h not in (1, 2, 5):
+            continue
         done = history.where(F.col("height") <= h)
         cand = exchanges.deposit_candidates(done, main)
         assert rows(detection.deposits(spark, path)) == rows(exchanges.deposit_addresses(cand))
