@@ -22,17 +22,21 @@ def intervals(prices: DataFrame) -> DataFrame:
     return both.select(F.col("timestamp").alias("t0"), F.col("price").alias("p0"), F.col("next_timestamp").alias("t1"), F.col("next_price").alias("p1"), (F.col("timestamp") == F.col("_least")).alias("first"))
 
 
-def interpolated(blocks: DataFrame, prices: DataFrame, genesis_heights: int = 3) -> DataFrame:
+def interpolated(blocks: DataFrame, prices: DataFrame, genesis_heights: int = 3, single: bool = False) -> DataFrame:
     """(height, price, provisional): linear between the points around a block's time; blocks up to genesis_heights have a fixed price;
-    beyond the last point its value holds, as provisional. Blocks before the first point have no row."""
+    beyond the last point its value holds, as provisional. Blocks before the first point have no row. single: prices are of single
+    precision, and so is each step between them, as in ledgers that keep 32-bit prices; the price is then a float."""
     between = intervals(prices).where("t1 is not null")
     inside = ((F.col("timestamp") > F.col("t0")) | (F.col("first") & (F.col("timestamp") == F.col("t0")))) & (F.col("timestamp") <= F.col("t1"))
     later = blocks.where(F.col("height") > genesis_heights)
-    price = F.col("p0") + (F.col("p1") - F.col("p0")) * (F.col("timestamp") - F.col("t0")) / (F.col("t1") - F.col("t0"))
+    kind = "float" if single else "double"
+    p0, p1, passed, length = (c.cast(kind) for c in (F.col("p0"), F.col("p1"), F.col("timestamp") - F.col("t0"), F.col("t1") - F.col("t0")))
+    # a quotient of two floats by way of doubles is the float next to it
+    price = p0 + (p1 - p0) * (passed / length).cast(kind) if single else p0 + (p1 - p0) * passed / length
     found = interval_join(later, "timestamp", between, "t0", "t1", HOUR_MS, inside).select("height", price.alias("price"), F.lit(False).alias("provisional"))
-    last = prices.agg(F.max("timestamp").alias("t"), F.max_by("price", "timestamp").alias("p"))
+    last = prices.agg(F.max("timestamp").alias("t"), F.max_by("price", "timestamp").cast(kind).alias("p"))
     beyond = later.crossJoin(F.broadcast(last)).where(F.col("timestamp") > F.col("t")).select("height", F.col("p").alias("price"), F.lit(True).alias("provisional"))  # one row
-    genesis = blocks.where(F.col("height") <= genesis_heights).select("height", F.lit(GENESIS_PRICE).alias("price"), F.lit(False).alias("provisional"))
+    genesis = blocks.where(F.col("height") <= genesis_heights).select("height", F.lit(GENESIS_PRICE).cast(kind).alias("price"), F.lit(False).alias("provisional"))
     return found.unionByName(beyond).unionByName(genesis)
 
 

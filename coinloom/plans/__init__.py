@@ -1,3 +1,3 @@
 """Queries over the driver tables."""
 
-from . import queries, incremental  # noqa: E402, F401, I001
+from . import queries, incremental, files  # noqa: E402, F401, I001

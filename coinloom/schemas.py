@@ -1,4 +1,4 @@
-"""Explicit schemas of blocks as read from files, and of price payloads."""
+"""Explicit schemas of blocks as read from files, of price payloads and of seeds."""
 
 from pyspark.sql import types as T
 
@@ -16,3 +16,9 @@ TRANSACTION = struct(id=S, inputs=INPUT, dataInputs=INPUT, outputs=T.ArrayType(O
 HEADER = struct(id=S, parentId=S, height=I, timestamp=L, difficulty=S, votes=S, version=I, nBits=L, size=I)
 BLOCK = struct(header=HEADER, blockTransactions=struct(headerId=S, transactions=T.ArrayType(TRANSACTION)), extension=struct(fields=T.ArrayType(T.ArrayType(S))), size=I)
 PRICES = struct(prices=T.ArrayType(T.ArrayType(T.DoubleType())))
+SEEDS = {
+    "exchanges": struct(cex_id=I, text_id=S, name=S),
+    "main_addresses": struct(cex_id=I, address=S),
+    "ignored": struct(address=S),
+    "miners": struct(address=S, label=S, mining_pool=S),
+}

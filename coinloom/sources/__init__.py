@@ -1,4 +1,4 @@
-"""Blocks, prices and seeds from files, and tables with upserts."""
+"""Blocks and prices from files (seeds: see there), and tables with upserts."""
 
 from __future__ import annotations
 
@@ -10,9 +10,24 @@ from pyspark.sql import functions as F
 from ..schemas import BLOCK, PRICES
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks as JSON lines, with an explicit schema: nothing is inferred. A slice of a chain is a file of such lines."""
-    return spark.read.schema(BLOCK).json(path)
+def read_blocks(spark: SparkSession, path: str | list[str], stream: bool = False) -> DataFrame:
+    """Blocks as JSON lines, with an explicit schema: nothing is inferred. A slice of a chain is a file of such lines; as a stream,
+    files are taken as they come into a folder."""
+    return (spark.readStream if stream else spark.read).schema(BLOCK).json(path)
+
+
+def checked_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): blocks that can be flattened, each header id once however many slices of a chain hold it, and
+    (height, header_id, reason) of the others: `no header` (its id, height or time is missing, as in lines that can't be parsed),
+    `no transactions`, or `broken transaction` (one without an id or outputs, or an output without an id or a value)."""
+    header, txs = F.col("header"), F.col("blockTransactions.transactions")
+    box = lambda b: b["boxId"].isNull() | b["value"].isNull()
+    broken = F.exists(txs, lambda t: t.isNull() | t["id"].isNull() | t["outputs"].isNull() | F.coalesce(F.exists(t["outputs"], box), F.lit(False)))
+    reason = F.when(header["id"].isNull() | header["height"].isNull() | header["timestamp"].isNull(), "no header").when(txs.isNull() | (F.size(txs) == 0), "no transactions").when(broken, "broken transaction")
+    told = blocks.withColumn("_reason", reason)
+    rejected = told.where("_reason is not null").select("header.height", F.col("header.id").alias("header_id"), F.col("_reason").alias("reason"))
+    good = told.where("_reason is null").withColumn("_id", F.col("header.id")).dropDuplicates(["_id"])
+    return good.drop("_reason", "_id"), rejected
 
 
 def flatten_blocks(blocks: DataFrame) -> dict[str, DataFrame]:
@@ -39,11 +54,6 @@ def read_price_series(spark: SparkSession, path: str, since: int = -1) -> DataFr
     return rows.select(F.col("p")[0].cast("long").alias("timestamp"), F.col("p")[1].alias("price")).where(F.col("timestamp") > since).dropDuplicates(["timestamp"])
 
 
-def seed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A dimension of fixed size: exchanges, main or ignored addresses, known miners."""
-    return spark.createDataFrame(rows, schema)
-
-
 def upserted(target: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
     """target with rows of equal key replaced by those of updates. Keys are not null; updates hold each key once."""
     return target.join(updates.select(*key), key, "left_anti").unionByName(updates)
