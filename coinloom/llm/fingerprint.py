@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -93,18 +94,20 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
 
     Rows are in ascending order of id, nulls first and ties by a hash of the text; the row after the last is the first. One shuffle deals
     whole texts into ranges of ids; each range also gets a copy of the next range's first row, so it streams in
-    order with one row held back. Nothing but the ranges' bounds reaches the driver. An empty table gives an
-    empty one; a single row is its own next.
+    order with one row held back. Nothing but the ranges' bounds reaches the driver. An id that fills several
+    ranges, and null ids, are dealt by the hash that orders them. An empty table gives an empty one; a single
+    row is its own next.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = rows.where("doc_id is not null").stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
-    bounds = sorted({int(b) for b in bounds})
-    # as many ranges as partitions, and as many again for null ids, by the leading bits of the hash that orders them
-    nulls = F.shiftright(F.xxhash64("text"), 58).cast("int") + 32
-    placed = rows.withColumn("part", F.when(F.col("doc_id").isNull(), nulls).otherwise(bucket_of(bounds) + 64))
+    often = Counter(int(b) for b in bounds)
+    hot, bounds = [b for b, n in often.items() if n > 1], sorted(often)  # a bound that comes twice is an id with rows for a range and more
+    # as many ranges as partitions; a hot id comes first in its range, and like null ids has 64, by the leading bits of its hashes
+    by_hash = F.shiftright(F.xxhash64("text"), 58).cast("int") + 32
+    placed = rows.withColumn("part", F.when(F.col("doc_id").isNull(), by_hash).otherwise((bucket_of(bounds) + 1) * 128 + F.when(F.col("doc_id").isin(hot), by_hash).otherwise(64)))
     order = F.struct("doc_id", F.xxhash64("text").alias("h"))
     firsts = placed.groupBy("part").agg(F.min(order).alias("first")).collect()
     heads = sorted(firsts, key=lambda r: r["part"])

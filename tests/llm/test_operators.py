@@ -141,6 +141,19 @@ def test_fingerprints_follow_the_next_document(spark):
     assert np.mean([got[i]["near_edited"] for i in range(30)]) > np.mean([got[i]["near_next"] for i in range(29)]) + 0.1
 
 
+def test_fingerprints_of_an_id_with_many_rows(spark):
+    texts = [(i if i < 60 else 7 if i < 260 else None, prose(12)) for i in range(300)] + [(7, "again")] * 3
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = fingerprint.compared(df, parts=8).withColumn("task", F.spark_partition_id()).collect()
+    rows = [tuple(r) for r in df.orderBy(F.asc_nulls_first("doc_id"), F.xxhash64("text")).collect()]
+    want = []
+    for i, (d, t) in enumerate(rows):
+        new = fingerprint.edited(t, rows[(i + 1) % len(rows)][1])
+        want.append((d, len(t), hashlib.sha256(new.encode()).hexdigest(), *fingerprint.text_of(fingerprint.digests([t, new]))))
+    assert sorted((tuple(r)[:5] for r in got), key=str) == sorted(want, key=str)
+    assert len({r["task"] for r in got if r["doc_id"] == 7}) > 2
+
+
 def plain_code(text):
     """A text's digest in plain Python: triplets, buckets, quartiles, length."""
     data, counts, mask = text.encode(), [0] * fingerprint.BUCKETS, 0xFFFFFFFF
