@@ -13,6 +13,7 @@ from ..operators import diffs, exchanges, network, prices
 from ..shared import materialize
 from ..sources import checked_blocks, flatten_blocks, genesis_outputs, read_blocks, read_price_series
 from ..sources.seeds import checked_seed, read_seed, resolved
+from ..streaming.blocks import BlockFiles
 from . import ledger as led
 from .queries import _CLASS, _PRICE, _address, erg, query
 
@@ -127,21 +128,14 @@ def stream_block_files(s, d):
     """A stream of chain slices as files come in, each of which begins some blocks before the last one ended: unspent boxes by
     address, of tables that follow the chain."""
     path, blocks = streaming.scratch(s, "arriving"), materialize(chain_blocks(s, d), "chain")
-    chain = streaming.Chain(s, f"{path}/chain", {"outputs": "height long, box_id string, address string, value long", "inputs": "height long, box_id string"}, span=1000)
-    long_height = lambda df, *columns: df.select(F.col("height").cast("long").alias("height"), *columns)
-
-    def take(batch, number):
-        flat = flatten_blocks(materialize(checked_blocks(batch)[0], "batch"))
-        chain.follow(long_height(flat["headers"], "header_id", "parent_id"), {"outputs": long_height(flat["outputs"], "box_id", "address", "value"), "inputs": long_height(flat["inputs"], "box_id")})
-
+    book = BlockFiles(s, path)
     height = F.col("header.height")
     top = blocks.agg(F.max(height)).first()[0]
     for i in range(3):
         lo, hi = top * i // 3 - OVERLAP, top * (i + 1) // 3
         blocks.where((height >= lo) & (height <= hi)).write.mode("append").json(f"{path}/source")
-        streaming.run_available(read_blocks(s, f"{path}/source", stream=True), take, f"{path}/checkpoint")
-    left = diffs.unspent_boxes(chain.tables["outputs"].diffs(), chain.tables["inputs"].diffs())
-    return left.groupBy("address").agg(F.sum("value").alias("nano"), F.count("*").alias("n_boxes"))
+        book.follow(f"{path}/source")
+    return book.unspent().groupBy("address").agg(F.sum("value").alias("nano"), F.count("*").alias("n_boxes"))
 
 
 _SINGLE = _PRICE.replace("avg(value) AS p0", "CAST(round(avg(value), 6) AS FLOAT) AS p0").replace("WINDOW w AS (ORDER BY t0))", "WHERE t0 > (SELECT min(t0) + 86400000 FROM pr) WINDOW w AS (ORDER BY t0))")

@@ -10,6 +10,7 @@ from coinloom import sources
 from coinloom.operators import exchanges, prices
 from coinloom.schemas import SEEDS
 from coinloom.sources import seeds
+from coinloom.streaming.blocks import BlockFiles
 
 ADDRESSES = "id long, address string"
 
@@ -49,6 +50,27 @@ def test_blocks_with_equal_heights_stay(spark, tmp_path):
     assert rows(good, "header.id") == [("x",), ("y",)] and bad.isEmpty()
 
 
+def test_block_files_are_followed(spark, tmp_path):
+    def one(branch, height, spends, parent=None):
+        t = {"id": f"t{height}", "inputs": [{"boxId": spends}], "dataInputs": [], "outputs": [{"boxId": f"{branch}{height}", "value": height, "ergoTree": "x"}]}
+        return json.dumps(block(height, f"{branch}{height}", [t], parentId=f"{parent or branch}{height - 1}"))
+
+    source, book = tmp_path / "in", BlockFiles(spark, str(tmp_path / "book"), 2)
+    source.mkdir()
+    (source / "1.json").write_text("\n".join([one("a", 1, "g"), one("a", 2, "a1"), "{cut", one("a", 3, "a2"), one("a", 3, "a2")]))
+    book.follow(str(source))
+    assert rows(book.unspent(), "box_id", "value") == [("a3", 3)] and rows(book.spent(), "height", "box_id", "value") == [(2, "a1", 1), (3, "a2", 2)]
+    (source / "2.json").write_text("\n".join([one("a", 3, "a2"), one("a", 4, "a3")]))
+    book.follow(str(source))
+    (source / "3.json").write_text("{}\n[")
+    book.follow(str(source))
+    assert rows(book.unspent(), "box_id") == [("a4",)] and rows(book.outputs(), "height") == [(1,), (2,), (3,), (4,)]
+    (source / "4.json").write_text("\n".join([one("b", 3, "a2", "a"), one("b", 4, "b3"), one("b", 5, "b4")]))
+    book.follow(str(source))
+    assert rows(book.unspent(), "box_id") == [("b5",)] and rows(book.outputs(), "box_id") == [("a1",), ("a2",), ("b3",), ("b4",), ("b5",)]
+    assert rows(book.rejected(), "reason", "batch") == [("no header", 0), ("no header", 2), ("no header", 2)]
+
+
 def test_seeds_are_checked(spark, tmp_path):
     names = spark.createDataFrame([(1, "a", "A"), (1, "a", "A"), (2, "b", None), (3, "c", "C"), (3, "c", "D"), (None, "d", "D")], "cex_id int, text_id string, name string")
     good, bad = seeds.checked_seed(names.withColumn("reason", F.lit("a column of this name")), "exchanges")
