@@ -97,6 +97,11 @@ def valid(column: Column, kind: str) -> Column:
     return F.coalesce(column.rlike(PATTERNS[kind]), F.lit(False))
 
 
+def base58(column: Column) -> Column:
+    """Whether a text can be an encoded address: the alphabet lacks 0, O, I and l."""
+    return F.coalesce(column.rlike(r"\A[1-9A-HJ-NP-Za-km-z]+\z"), F.lit(False))
+
+
 def asset_amount(assets: Column, asset_id) -> Column:
     """How much of one asset a box holds."""
     return F.coalesce(F.aggregate(F.filter(assets, lambda a: a["asset_id"] == asset_id), F.lit(0).cast("long"), lambda n, a: n + a["amount"]), F.lit(0).cast("long"))

@@ -134,3 +134,9 @@ def test_valid_input(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     told = [[r[k] for r in df.orderBy("i").select(*(fn.valid(F.col("t"), k).alias(k) for k in fn.PATTERNS)).collect()] for k in fn.PATTERNS]
     assert [[i for i, ok in enumerate(t) if ok] for t in told] == [[0, 6, 7, 8, 9, 10], [9], [6]]
+
+
+def test_addresses_are_base58(spark):
+    texts = ["a1", "9xyz", "a0", "O", "I", "l", "", None, "a\n", "é"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in df.where(fn.base58(F.col("t"))).select("i").orderBy("i").collect()] == [0, 1]
