@@ -12,6 +12,8 @@ from .tables import Told, progress, replace_parts, table_or_empty, tell, with_ma
 
 DIFFS = "address_id long, height long, tx_idx long, nano long"
 HEADERS = "height long, header_id string, parent_id string"
+#: Runs of spans that a batch of many heights is written in.
+GROUPS = 32
 
 
 def columns_of(schema: str) -> list[str]:
@@ -22,8 +24,10 @@ class Ledger:
     """Diffs (or other facts of a schema with height) under a folder, with balances of them. append skips heights that are there, so
     replays change nothing; roll_back drops heights. A block's rows come in one batch.
 
-    A span of heights is a part of the table. What lies above the head doesn't count: a rollback lowers the head, by one
-    small file, and the next append replaces the parts from there on, so whoever dies in between leaves no gap.
+    A part of the table holds a span of heights, or a run of spans, and has the number of the last of them. A batch makes GROUPS parts
+    and some at most: the spans that a rollback can reach, and as many runs of those below. What lies above the head doesn't count: a
+    rollback lowers the head, by one small file, and the next append replaces the parts from there on, so whoever dies in between
+    leaves no gap.
     """
 
     def __init__(self, spark: SparkSession, path: str, span: int = 1000, schema: str = DIFFS):
@@ -50,11 +54,19 @@ class Ledger:
         top = new.agg(F.max("height")).first()[0]
         if top is None:
             return
-        part = F.floor(F.col("height") / self.span).cast("long").alias("part")
-        first = (head + 1) // self.span
-        rows = self.since(first * self.span, head).unionByName(new)
-        # parts that a rollback left above the head are replaced too, with or without new rows
-        replace_parts(with_markers(materialize(rows.select("*", part), "facts"), list(range(first, top // self.span + 1))), f"{self.path}/diffs")
+        first, highest = (head + 1) // self.span, top // self.span
+        # rows that stay keep their part; parts that hold none of them, as a rollback leaves, are replaced too, with or without new rows
+        there = table_or_empty(self.spark, f"{self.path}/diffs", f"{self.schema}, part long").where(F.col("part") >= first).groupBy("part").agg(F.min("height").alias("low")).collect()
+        staying = [r["part"] for r in there if r["low"] is not None and r["low"] <= head]  # one at most
+        going, recent = max(staying, default=first), (top - ROLLBACK_HORIZON) // self.span
+        run = max(1, -(-(recent - going - 1) // GROUPS))
+        at = F.floor(F.col("height") / self.span).cast("long")
+        end_of_run = F.least(going + F.floor((at - going - 1) / run) * run + run, F.lit(recent - 1))
+        rows = new.select("*", F.when(at <= going, going).when(at >= recent, at).otherwise(end_of_run).cast("long").alias("part"))
+        if staying:
+            rows = rows.unionByName(materialize(self._table(head).where(F.col("part") >= first).select(*self.columns, "part"), "kept-facts"))
+        marks = sorted({r["part"] for r in there} | {highest})
+        replace_parts(with_markers(rows, marks).hint("rebalance", "part"), f"{self.path}/diffs")
         tell(self.spark, self.path, last, 0, top)
 
     def roll_back(self, height: int) -> None:

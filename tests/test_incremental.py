@@ -181,6 +181,24 @@ def test_what_lies_above_the_head_does_not_come_back(spark, tmp_path):
     assert rows(book.since(5), "height") == [(5,), (15,)]
 
 
+def test_a_long_batch_makes_few_parts(spark, tmp_path):
+    book = streaming.Ledger(spark, str(tmp_path / "b"), span=5)
+    some = lambda lo, hi, n=1: spark.range(lo, hi).select(F.lit(A).cast("long").alias("address_id"), F.col("id").alias("height"), F.lit(0).cast("long").alias("tx_idx"), F.lit(n).cast("long").alias("nano"))
+    parts = lambda: {f.split("/")[0] for f in files(f"{tmp_path}/b/diffs")}
+    book.append(some(0, 3001))
+    assert len(parts()) <= 45 and len(files(f"{tmp_path}/b/diffs")) <= 2 * len(parts())
+    assert [book.since(h).count() for h in (0, 77, 1500, 2994, 3000)] == [3001, 2924, 1501, 7, 1]
+    before = files(f"{tmp_path}/b/diffs")
+    book.append(some(2990, 3003))
+    assert sum(f not in files(f"{tmp_path}/b/diffs") for f in before) <= 2  # a block more rewrites its own part alone
+    book.drop_from(1234)  # into a run of spans, farther than a rollback goes
+    book.append(some(1236, 1300, 2))
+    assert rows(book.diffs(), "height", "nano") == [(h, 1) for h in range(1234)] + [(h, 2) for h in range(1236, 1300)]
+    book.append(some(1300, 6000, 3))
+    assert rows(book.balances()) == [(A, 1234 + 128 + 3 * 4700)] and book.since(1299).count() == 4701
+    assert rows(book.since(5998), "height") == [(5998,), (5999,)]
+
+
 BLOCKS = "height long, tx_idx long, address_id long, nano long"
 
 
