@@ -30,11 +30,10 @@ def contract_supply(balances: DataFrame, value: str = "nano") -> DataFrame:
 
 def token_supply(diffs: DataFrame) -> DataFrame:
     """(asset_id, emitted, in_p2pks, in_contracts, burned): emitted is what the token's first transaction made."""
-    first = diffs.groupBy("asset_id").agg(F.min(F.struct("height", "tx_idx")).alias("at")).select("asset_id", "at.*")
-    emitted = diffs.join(first, ["asset_id", "height", "tx_idx"]).groupBy("asset_id").agg(F.sum("value").alias("emitted"))
     wallet = type_of_id(F.col("address_id")) == P2PK
-    held = diffs.groupBy("asset_id").agg(F.sum("value").alias("total"), F.sum(F.when(wallet, F.col("value")).otherwise(0)).alias("in_p2pks"), F.sum(F.when(~wallet, F.col("value")).otherwise(0)).alias("in_contracts"))
-    return held.join(emitted, "asset_id").select("asset_id", "emitted", "in_p2pks", "in_contracts", (F.col("emitted") - F.col("total")).alias("burned"))
+    by_tx = diffs.groupBy("asset_id", "height", "tx_idx").agg(F.sum("value").alias("total"), F.sum(F.when(wallet, F.col("value")).otherwise(0)).alias("in_p2pks"))
+    held = by_tx.groupBy("asset_id").agg(F.min_by("total", F.struct("height", "tx_idx")).alias("emitted"), F.sum("total").alias("total"), F.sum("in_p2pks").alias("in_p2pks"))
+    return held.select("asset_id", "emitted", "in_p2pks", (F.col("total") - F.col("in_p2pks")).alias("in_contracts"), (F.col("emitted") - F.col("total")).alias("burned"))
 
 
 def holder_buckets(balances: DataFrame) -> DataFrame:
