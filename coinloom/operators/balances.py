@@ -40,12 +40,17 @@ def by_block(diffs: DataFrame, value: str = "nano", keys: tuple = ("address_id",
     return diffs.groupBy(*keys, "height").agg(F.sum(value).alias(value))
 
 
-def balance_history(diffs: DataFrame, value: str = "nano", keys: tuple = ("address_id",)) -> DataFrame:
+def balance_history(diffs: DataFrame, value: str = "nano", keys: tuple = ("address_id",), by_blocks: bool = True) -> DataFrame:
     """diffs with balance: the sum up to and including the block, the same for each of an address's rows in a block.
 
-    Sums by block come first, so a window holds a row a block at most, however busy an address is.
+    Sums by block come first, so a window holds a row a block at most, however busy an address is. Where hardly any of the keys
+    has two rows in a block, these sums are as many as the rows: without by_blocks a window runs over the rows, dealt out once.
+    It holds a key's rows beside it on disk where they are many.
     """
-    run = by_block(diffs, value, keys).withColumn("balance", F.sum(value).over(Window.partitionBy(*keys).orderBy("height")))
+    w = Window.partitionBy(*keys).orderBy("height")  # to the end of the block
+    if not by_blocks:
+        return diffs.select(*keys, *(c for c in diffs.columns if c not in keys), F.sum(value).over(w).alias("balance"))
+    run = by_block(diffs, value, keys).withColumn("balance", F.sum(value).over(w))
     return diffs.join(run.select(*keys, "height", "balance"), [*keys, "height"])
 
 

@@ -70,7 +70,12 @@ def token_diffs(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     """(height, tx_idx, address_id, asset_id, value), from boxes with assets array<struct<asset_id, amount>>; null: none."""
     cols = ["height", "tx_idx", "address_id"]
     legs = lambda df, sign: df.select(*cols, F.explode("assets").alias("a")).select(*cols, "a.asset_id", (F.col("a.amount") * sign).alias("value"))
-    return legs(outputs, 1).unionByName(legs(inputs, -1)).groupBy(*cols, "asset_id").agg(F.sum("value").alias("value")).where("value <> 0")
+    return net_tokens(legs(outputs, 1).unionByName(legs(inputs, -1)))
+
+
+def net_tokens(legs: DataFrame) -> DataFrame:
+    """token_diffs of (height, tx_idx, address_id, asset_id, value), which need no exchange where they lie by transaction already."""
+    return legs.groupBy("height", "tx_idx", "address_id", "asset_id").agg(F.sum("value").alias("value")).where("value <> 0")
 
 
 def transacting_addresses(inputs: DataFrame, outputs: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from coinloom import functions as fn
 from coinloom import shared, sources, streaming
 from coinloom.operators import balances as bal
 from coinloom.operators import bank, calendar, diffs, exchanges, helpers, metrics, network, prices
+from coinloom.plans import ledger as led
+from coinloom.plans import queries
 
 A, B, C = 1001, 1002, 1003
 E9 = 10**9
@@ -301,3 +303,27 @@ def test_keyed_state_matches_batch(spark, tmp_path):
     stream = streaming.running_balances(spark.readStream.schema(d.schema).parquet(str(tmp_path / "d")))
     stream.writeStream.outputMode("update").foreachBatch(lambda b, i: out.extend(map(tuple, b.collect()))).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(x for x in out if x[1]) == [(A, 101 * E9, 1563159994628), (C, 4 * E9, TS + 120000)]
+
+
+def test_token_moves_are_the_legs(spark, tmp_path):
+    spark.createDataFrame([(0, 5, "1994-12-31"), (1, 5, "1995-01-01"), (2, 6, "1995-01-01")], "o_orderkey long, o_custkey long, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(0, 9, 7, 1.0), (0, 8, 7, 2.0), (1, 9, 7, 4.0), (1, 9, 7, 4.0), (2, 9, 3, 5.0), (9, 9, 3, 5.0)]  # the last one is of no order
+    spark.createDataFrame([(k, s, p, 1.0, q) for k, s, p, q in lines], "l_orderkey long, l_suppkey long, l_partkey long, l_extendedprice double, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = diffs.token_diffs(*led.token_legs(spark, str(tmp_path)))
+    got = queries.tokens(spark, str(tmp_path))
+    cols = ["height", "tx_idx", "address_id", "asset_id", "value"]
+    assert got.columns == want.columns == cols and rows(got, *cols) == rows(want, *cols)
+    keys = ("address_id", "asset_id")
+    once = bal.balance_history(want, "value", keys, by_blocks=False)
+    assert rows(once, *cols, "balance") == rows(bal.balance_history(want, "value", keys), *cols, "balance")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hash")
+    assert exchanges(once) == exchanges(want) + 1
+    # of the token's lines alone, by a filter that reaches the scan
+    assert "EqualTo(l_partkey,7)" in got.where("asset_id = 7")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_supply_of_tokens_by_one_pass(spark):
+    moved = spark.createDataFrame([(2, 0, 1001, 1, 5), (2, 0, 1003, 1, 7), (2, 1, 1001, 1, 100), (3, 0, 1003, 1, -2), (1, 0, 1002, 2, 4)], "height long, tx_idx long, address_id long, asset_id long, value long")
+    told = metrics.token_supply(moved)
+    assert rows(told, "asset_id", "emitted", "in_p2pks", "in_contracts", "burned") == [(1, 12, 105, 5, -98), (2, 4, 0, 4, 0)]
+    assert told._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
