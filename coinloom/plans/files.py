@@ -54,10 +54,10 @@ def slices(s, d) -> list[str]:
     path, blocks = streaming.scratch(s, "slices"), materialize(chain_blocks(s, d), "chain")
     height = F.col("header.height")
     middle = blocks.agg(F.max(height)).first()[0] // 2
-    blocks.where(height < middle + OVERLAP).write.json(f"{path}/low")
-    blocks.where(height >= middle).write.json(f"{path}/high")
+    blocks.where(height < middle + OVERLAP).write.json(f"{path}/low", compression="gzip")
+    blocks.where(height >= middle).write.json(f"{path}/high", compression="gzip")
     line = F.to_json(F.struct("header", "blockTransactions", "extension"))
-    blocks.where(height % 50 == 0).select(F.substring(line, F.lit(1), (F.length(line) * 0.6).cast("int"))).write.text(f"{path}/cut")
+    blocks.where(height % 50 == 0).select(F.substring(line, F.lit(1), (F.length(line) * 0.6).cast("int"))).write.text(f"{path}/cut", compression="gzip")
     return [f"{path}/{name}" for name in ("low", "high", "cut")]
 
 
@@ -133,7 +133,7 @@ def stream_block_files(s, d):
     top = blocks.agg(F.max(height)).first()[0]
     for i in range(3):
         lo, hi = top * i // 3 - OVERLAP, top * (i + 1) // 3
-        blocks.where((height >= lo) & (height <= hi)).write.mode("append").json(f"{path}/source")
+        blocks.where((height >= lo) & (height <= hi)).write.mode("append").json(f"{path}/source", compression="gzip")
         book.follow(f"{path}/source")
     return book.unspent().groupBy("address").agg(F.sum("value").alias("nano"), F.count("*").alias("n_boxes"))
 

@@ -1,6 +1,7 @@
 """Sources: blocks that can't be flattened, seeds that contradict each other, prices of single precision, valid input."""
 
 import json
+import os
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -8,9 +9,11 @@ from pyspark.sql import functions as F
 from coinloom import functions as fn
 from coinloom import sources
 from coinloom.operators import exchanges, prices
+from coinloom.plans import files
 from coinloom.schemas import SEEDS
 from coinloom.sources import seeds
 from coinloom.streaming.blocks import BlockFiles
+from conftest import SF
 
 ADDRESSES = "id long, address string"
 
@@ -140,3 +143,11 @@ def test_addresses_are_base58(spark):
     texts = ["a1", "9xyz", "a0", "O", "I", "l", "", None, "a\n", "é"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     assert [r[0] for r in df.where(fn.base58(F.col("t"))).select("i").orderBy("i").collect()] == [0, 1]
+
+
+def test_slices_are_written_compressed(spark):
+    folders = files.slices(spark, SF)
+    stored = [os.path.join(f, n) for f in folders for n in os.listdir(f) if n.startswith("part-")]
+    assert stored and all(n.endswith(".gz") for n in stored)
+    text = sum(len(r[0]) for r in spark.read.text(folders).collect())
+    assert sum(map(os.path.getsize, stored)) < text / 3
