@@ -4,6 +4,7 @@ import datetime
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,6 +315,33 @@ def test_keyed_state_waits_for_late_rows(spark, tmp_path):
     assert last[A] == (120, mean) and last[B] == (0, 0) and last[C][0] == 2
 
 
+def test_many_addresses_share_few_keys_of_state(spark, tmp_path, monkeypatch):
+    """400 addresses in batches, rows out of order: the state has a row for each part, not for each address."""
+    for k, v in keyed.STORE.items():
+        spark.conf.set(k, v)
+    r, schema, out, kept = random.Random(4), "address_id long, height long, tx_idx long, nano long, timestamp long", [], []
+    moved = [(2000 + r.randrange(400), h, 0, r.choice([1, -1]) * r.randint(1, 10**15)) for h in range(3000)]
+    try:
+
+        def start(stream):
+            q = keyed.ages(stream, "1 second", parts=8).writeStream.outputMode("update").foreachBatch(lambda b, n: out.extend((n, *r) for r in b.collect())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+            q.awaitTermination()
+            kept.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+
+        batches = [r.sample(some, len(some)) for some in (moved[:1500], moved[1500:2000], moved[2000:])]
+        fed(spark, tmp_path, [[(*m, TS + m[1]) for m in b] for b in batches], schema, start)
+    finally:
+        for k in keyed.STORE:
+            spark.conf.unset(k)
+    assert all(0 < n <= 8 for n in kept)
+    last = {r[1]: r[2:] for r in sorted(out)}
+    assert sorted((a, b, m) for a, (b, m) in last.items() if b > 0) == plain_ages(moved, 2999 - 1000 - 1)
+    rows = np.array([(a, h, x, n, TS + h) for a, h, x, n in sorted(moved)])
+    monkeypatch.setattr(keyed, "SLICE", 7)
+    assert sorted((a, b, m) for a, (b, m) in keyed._fold(rows, {}).items() if b > 0) == plain_ages(moved, 2999)
+    assert keyed._fold(rows[:0], {1: (2, 3)}) == {}
+
+
 def test_the_state_follows_the_chain(spark, tmp_path, monkeypatch):
     """A fork, and a death between the two halves of going over: the next call finds where chain and state part."""
     chain = streaming.Chain(spark, str(tmp_path / "chain"), {"nano": streaming.DIFFS, "times": "height long, timestamp long"}, span=3)
