@@ -105,9 +105,9 @@ def file_diffs(s, d):
     every = made.unionByName(genesis_outputs(genesis).select(made.columns))
     ids = materialize(diffs.index_addresses(every), "ids")
     spent = diffs.expand_inputs(flat["inputs"], every)
-    known = lambda df: df.select("height", "tx_idx", "address", "value").join(ids.select(F.col("id").alias("address_id"), "address"), "address")
+    known = lambda df: df.select("height", "tx_idx", "address", "value").join(diffs.merged(ids.select(F.col("id").alias("address_id"), "address")), "address")
     net = diffs.erg_diffs(known(spent), known(made))
-    return net.join(ids, net["address_id"] == ids["id"]).select(F.col("height").cast("long").alias("height"), "address", "nano")
+    return net.join(diffs.merged(ids.select(F.col("id").alias("address_id"), "address")), "address_id").select(F.col("height").cast("long").alias("height"), "address", "nano")
 
 
 @query(f"WITH {_BLOCKS} SELECT k AS height, 'o' || (k - 1) AS box_id, lag(v) OVER (ORDER BY k) AS value FROM o QUALIFY k > 0")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import valid
+from ..operators.diffs import merged
 from ..schemas import SEEDS
 
 #: What tells a seed's rows apart.
@@ -47,5 +48,5 @@ def checked_seed(rows: DataFrame, kind: str, exchanges: DataFrame | None = None)
 def resolved(rows: DataFrame, addresses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with address_id, rows whose address the dictionary (id, address) doesn't hold yet). The latter are to be resolved again when
     it has grown; the former keep their ids, as the dictionary never changes one."""
-    found = rows.join(addresses.select("address", F.col("id").alias("address_id")), "address", "left").select(*rows.columns, "address_id")
+    found = rows.join(merged(addresses.select("address", F.col("id").alias("address_id"))), "address", "left").select(*rows.columns, "address_id")
     return found.where("address_id is not null"), found.where("address_id is null").drop("address_id")

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from coinloom import functions as fn
 from coinloom import sources
-from coinloom.operators import exchanges, prices
+from coinloom.operators import diffs, exchanges, prices
 from coinloom.plans import files
+from coinloom.plans.queries import ORACLE
 from coinloom.schemas import SEEDS
+from coinloom.shared import materialize
 from coinloom.sources import seeds
 from coinloom.streaming.blocks import BlockFiles
-from conftest import SF
+from conftest import SF, canonical
 
 ADDRESSES = "id long, address string"
 
@@ -151,3 +153,38 @@ def test_slices_are_written_compressed(spark):
     assert stored and all(n.endswith(".gz") for n in stored)
     text = sum(len(r[0]) for r in spark.read.text(folders).collect())
     assert sum(map(os.path.getsize, stored)) < text / 3
+
+
+def broadcasts(df):
+    """The joins of a plan that broadcast a side, but for those on the rows that ordered_rank has for each partition."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [line for line in plan if "Broadcast" in line and "Join" in line and "_part#" not in line]
+
+
+def test_diffs_of_files_broadcast_no_dictionary_and_no_boxes(spark, oracle):
+    got = files.file_diffs(spark, SF)
+    assert not broadcasts(got)
+    assert canonical(got.toPandas()) == oracle(ORACLE["file_diffs"])
+
+
+def test_what_grows_with_the_chain_is_not_broadcast(spark):
+    df = lambda rows, schema: materialize(spark.createDataFrame(rows, schema), "table")
+    boxes = df([(1, 0, 0, "b1", "x", 5), (1, 0, 1, "b2", "y", 6)], "height int, tx_idx int, out_idx int, box_id string, address string, value long")
+    reads = df([(2, 0, "b1"), (2, 1, "b9")], "height int, tx_idx int, box_id string")
+    tokens = df([(1, 0, 0, [("k",)]), (1, 0, 1, [("m",)])], "height int, tx_idx int, out_idx int, assets array<struct<token_id: string>>")
+    known, ids = df([(13, 1, "x")], "id long, spot_height int, address string"), df([(13, "x")], ADDRESSES)
+    minted = df([(1, 1, "k")], "asset_id long, spot_height int, token_id string")
+    found, pending = seeds.resolved(df([(1, "x"), (2, "z")], "cex_id int, address string"), ids)
+    told = {
+        "expand_inputs": (diffs.expand_inputs(reads, boxes).select("height", "tx_idx", "box_id", "output_height", "value"), [(2, 0, "b1", 1, 5)]),
+        "expand_data_inputs": (diffs.expand_data_inputs(reads, boxes).select("box_id", "value"), [("b1", 5), ("b9", None)]),
+        "unspent_boxes": (diffs.unspent_boxes(boxes, reads).select("box_id"), [("b2",)]),
+        "lookup": (diffs.lookup(boxes, ids, "address", "id").select("address", "id"), [("x", 13), ("y", None)]),
+        "index_addresses": (diffs.index_addresses(boxes, known), [(13, 1, "x"), (23, 1, "y")]),
+        "index_tokens": (diffs.index_tokens(tokens, minted), [(1, 1, "k"), (2, 1, "m")]),
+        "found": (found, [(1, "x", 13)]),
+        "pending": (pending, [(2, "z")]),
+    }
+    for name, (got, want) in told.items():
+        assert not broadcasts(got), name
+        assert rows(got) == want, name
